@@ -59,18 +59,20 @@ def running(
     keys: list[str],
     order: list[Column],
     values: dict[str, tuple],
+    hot: tuple[DataFrame | None, int] | None = None,
 ) -> DataFrame:
     """Adds running values over the rows of each key, in the given order.
 
     ``values`` maps a new column to ``(kind, column)`` or ``(kind, column, False)``
     where the row itself is left out.  Kinds: sum, max, min, last (newest non-null).
-    With no keys the whole table is one sequence.
+    With no keys the whole table is one sequence.  ``hot`` may hand in an earlier
+    answer of ``hot_keys``.
     """
     wanted = {name: (spec[0], spec[1], spec[2] if len(spec) > 2 else True)
               for name, spec in values.items()}
     if not keys:
         return _running_in_pieces(df, keys, order, wanted, 0)
-    hot, pieces = hot_keys(df, keys)
+    hot, pieces = hot if hot is not None else hot_keys(df, keys)
     if hot is None:
         return _running_in_window(df, keys, order, wanted)
     hot = F.broadcast(hot)
@@ -96,6 +98,27 @@ def topmost(
     return placed.where(F.col(name) <= n)
 
 
+def last_before(
+    asked: DataFrame, events: DataFrame, keys: list[str], name: str, hot=None
+) -> DataFrame:
+    """Adds to each asked record the newest event of its keys before its ``seq``.
+
+    Both sides carry the keys and ``seq``; events also carry a struct ``_event``.
+    An event with the seq of a record comes after it.
+    """
+    rest = [c for c in asked.columns if c not in (*keys, "seq")]
+    body = F.struct(F.lit(True).alias("_asked"), *rest).alias("_body")
+    left = asked.select(*keys, "seq", body)
+    left = left.withColumn("_event", F.lit(None).cast(events.schema["_event"].dataType))
+    right = events.select(
+        *keys, "seq", F.lit(None).cast(left.schema["_body"].dataType).alias("_body"), "_event"
+    )
+    order = [F.col("seq").asc(), F.col("_body").isNull().asc()]
+    walked = running(left.unionByName(right), keys, order, {name: ("last", F.col("_event"))}, hot)
+    kept = walked.where(F.col("_body").isNotNull())
+    return kept.select(*keys, "seq", *[F.col(f"_body.{c}").alias(c) for c in rest], name)
+
+
 def _over(kind: str, column: Column, frame) -> Column:
     if kind == "last":
         return F.last(column, ignorenulls=True).over(frame)
@@ -181,21 +204,30 @@ def _finish(kind: str, carry: Column | None, here: Column) -> Column:
     return F.greatest(carry, here) if kind == "max" else F.least(carry, here)
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Measured, not guessed: few rows and few bytes."""
-    rows = _setting(df, BROADCAST_ROWS_SETTING, BROADCAST_ROWS_DEFAULT)
+def row_bytes(df: DataFrame) -> Column:
     width = F.lit(0).cast("bigint")
     for field in df.schema.fields:
         if isinstance(field.dataType, (T.BinaryType, T.StringType)):
             width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
         width = width + 16
-    size = df.limit(rows + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
-    return size[0] <= rows and (size[1] or 0) <= BROADCAST_BYTES
+    return width
+
+
+def within_broadcast(df: DataFrame, rows: int, size: int | None) -> bool:
+    limit = _setting(df, BROADCAST_ROWS_SETTING, BROADCAST_ROWS_DEFAULT)
+    return rows <= limit and (size or 0) <= BROADCAST_BYTES
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """Marks ``df`` for broadcast if it is measured to be small; else leaves it alone."""
+    limit = _setting(df, BROADCAST_ROWS_SETTING, BROADCAST_ROWS_DEFAULT)
+    rows, size = df.limit(limit + 1).agg(F.count(F.lit(1)), F.sum(row_bytes(df))).first()
+    return F.broadcast(df) if within_broadcast(df, rows, size) else df
 
 
 def attach(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
-    """Join with a side that is usually small; its size is measured first."""
-    return left.join(F.broadcast(right) if fits_broadcast(right) else right, on, how)
+    """Join a large table with a side that is usually small; its size is measured first."""
+    return left.join(sized(right), on, how)
 
 
 def first_rows(cells: DataFrame, n: int, reverse: bool = False) -> DataFrame:

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from cellarium.workload import filtering, scans  # noqa: F401
+from cellarium.workload import filtering, mutations, scans  # noqa: F401
 from cellarium.workload.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellarium.model import CELL, from_wide
+from cellarium.functions.bytewise import long_to_bytes
+from cellarium.model import CELL, LATEST, from_wide
 
 SQL_CELLS = """cells AS (SELECT printf('u%05d', user_id) AS row_key,
   CASE WHEN event_type IN ('purchase','signup') THEN 'tx' ELSE 'nav' END AS family,
@@ -84,3 +85,95 @@ def line_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         millis("l_shipdate").alias("ts"),
         F.inline(F.array(*values)),
     ).select(*CELL)
+
+
+# ---- change logs ------------------------------------------------------------
+
+SPLIT = 1704844800000  # 2024-01-10: earlier events are the stored table, later ones the log
+
+SQL_COUNTERS = """counters AS (SELECT printf('u%05d', c_custkey) AS row_key, 'tx' AS family,
+  'total' AS qualifier, CAST(0 AS BIGINT) AS ts, CAST(round(c_acctbal*100) AS BIGINT) AS n FROM customer)"""
+
+
+def counter_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored counter per customer, at timestamp 0."""
+    return table(spark, sf_dir, "customer").select(
+        F.format_string("u%05d", "c_custkey").cast("binary").alias("row"),
+        F.lit("tx").alias("family"),
+        F.lit(b"total").alias("qualifier"),
+        F.lit(0).cast("bigint").alias("ts"),
+        long_to_bytes(F.round(F.col("c_acctbal") * 100).cast("bigint")).alias("value"),
+    )
+
+
+def stored_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_cells(spark, sf_dir).where(F.col("ts") < SPLIT)
+
+
+SQL_LOG = f"""stored AS (SELECT row_key,family,qualifier,ts,value FROM cells WHERE ts < {SPLIT}),
+late AS (SELECT row_key, qualifier AS kind, ts, value, seq AS id FROM cells WHERE ts >= {SPLIT}),
+log AS (
+ SELECT row_key, CASE WHEN kind IN ('purchase','signup') THEN 'tx'
+     WHEN kind='error' AND id%4=3 AND id%12<>3 THEN 'tx' ELSE 'nav' END AS family,
+   CASE WHEN kind='purchase' THEN 'total' WHEN kind='signup' THEN 'log' WHEN kind<>'error' THEN kind
+     WHEN id%4=0 THEN 'view' WHEN id%4=2 THEN 'click' END AS qualifier,
+   CASE WHEN kind='error' AND id%4<>0 THEN {LATEST} ELSE ts END AS ts,
+   CASE WHEN kind IN ('view','click','signup') THEN value END AS value, id*2 AS seq,
+   CASE WHEN kind IN ('view','click') THEN 'PUT' WHEN kind='purchase' THEN 'INCREMENT'
+     WHEN kind='signup' THEN 'APPEND' WHEN id%4=0 THEN 'DELETE_COLUMN_TO' WHEN id%4=1 THEN 'DELETE_FAMILY'
+     WHEN id%4=2 THEN 'DELETE_COLUMN' WHEN id%12=3 THEN 'DELETE_ROW' ELSE 'DELETE_FAMILY' END AS op,
+   CASE WHEN kind='purchase' THEN CAST(value AS BIGINT) END AS amount
+ FROM late
+ UNION ALL
+ SELECT row_key, 'nav', 'view', ts, NULL, id*2 + CASE WHEN id%10=0 THEN 1 ELSE -1 END, 'DELETE_VERSION', NULL
+ FROM late WHERE kind='view' AND id%10 IN (0,5))"""
+
+
+def mutation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later events as mutations of every kind.
+
+    Views and clicks are puts, purchases increments, signups appends, errors deletes;
+    some views are deleted again right after (or, without effect, right before) they
+    are put.
+    """
+    events = event_cells(spark, sf_dir, seq=True).where(F.col("ts") >= SPLIT)
+    kind, number = F.col("qualifier").cast("string"), F.col("seq")
+    error, turn = kind == "error", F.col("seq") % 4
+    none = F.lit(None)
+    main = F.struct(
+        F.when(kind.isin("purchase", "signup"), "tx")
+        .when(error & (turn == 3) & (number % 12 != 3), "tx")
+        .otherwise("nav")
+        .alias("family"),
+        F.when(kind == "purchase", "total")
+        .when(kind == "signup", "log")
+        .when(~error, kind)
+        .when(turn == 0, "view")
+        .when(turn == 2, "click")
+        .cast("binary")
+        .alias("qualifier"),
+        F.when(error & (turn != 0), F.lit(LATEST)).otherwise(F.col("ts")).alias("ts"),
+        F.when(kind.isin("view", "click", "signup"), F.col("value")).alias("value"),
+        (number * 2).alias("seq"),
+        F.when(kind.isin("view", "click"), "PUT")
+        .when(kind == "purchase", "INCREMENT")
+        .when(kind == "signup", "APPEND")
+        .when(turn == 0, "DELETE_COLUMN_TO")
+        .when(turn == 1, "DELETE_FAMILY")
+        .when(turn == 2, "DELETE_COLUMN")
+        .when(number % 12 == 3, "DELETE_ROW")
+        .otherwise("DELETE_FAMILY")
+        .alias("op"),
+        F.when(kind == "purchase", F.col("value").cast("string").cast("bigint")).alias("amount"),
+    )
+    point = F.struct(
+        F.lit("nav").alias("family"),
+        F.lit(b"view").alias("qualifier"),
+        F.col("ts"),
+        none.cast("binary").alias("value"),
+        (number * 2 + F.when(number % 10 == 0, 1).otherwise(-1)).alias("seq"),
+        F.when((kind == "view") & (number % 10).isin(0, 5), "DELETE_VERSION").alias("op"),
+        none.cast("bigint").alias("amount"),
+    )
+    both = F.filter(F.array(main, point), lambda m: m["op"].isNotNull())
+    return events.select("row", F.inline(both))
