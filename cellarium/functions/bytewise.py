@@ -104,28 +104,33 @@ def in_time_range(ts: Column, start: int | None, stop: int | None) -> Column:
     return test
 
 
-def cell_digest_parts(ts: Column | None = None) -> list[Column]:
-    """Two 60-bit numbers from the md5 of one cell.
-
-    Every byte field is written in hex, so two different cells never give the
-    same text.  The numbers are meant to be summed: see operators.compare.
-    """
-    stamp = (F.col("ts") if ts is None else ts).cast("string")
-    body = F.concat_ws(
-        "|",
-        F.hex("row"),
-        F.hex(F.col("family").cast("binary")),
-        F.hex("qualifier"),
-        stamp,
-        F.hex("value"),
+def cell_md5() -> Column:
+    """md5 of one cell; every byte field is in hex, so no two cells give one text."""
+    return F.md5(
+        F.concat_ws(
+            "|",
+            F.hex("row"),
+            F.hex(F.col("family").cast("binary")),
+            F.hex("qualifier"),
+            F.col("ts").cast("string"),
+            F.hex("value"),
+        )
     )
-    digest = F.md5(body)
+
+
+def md5_lanes() -> list[Column]:
+    """Two 60-bit numbers from the md5 of a cell, to be combined by XOR."""
     return [
-        F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint"),
-        F.conv(F.substring(digest, 17, 15), 16, 10).cast("bigint"),
+        F.conv(F.substring(cell_md5(), start, 15), 16, 10).cast("bigint") for start in (1, 17)
     ]
 
 
+def fast_lanes() -> list[Column]:
+    """Two 64-bit numbers of a cell for comparisons inside one job."""
+    fields = ["row", "family", "qualifier", "ts", "value"]
+    return [F.xxhash64(*fields), F.xxhash64(F.lit("second lane"), *fields)]
+
+
 def hash_share(key: Column, share: float, seed: str = "") -> Column:
     """True for about ``share`` of the keys; the same key always answers the same."""
     head = F.substring(F.md5(F.concat(key, F.lit(seed.encode("utf-8")))), 1, 8)

@@ -177,3 +177,33 @@ def mutation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     both = F.filter(F.array(main, point), lambda m: m["op"].isNotNull())
     return events.select("row", F.inline(both))
+
+
+# ---- a second copy of the event table, with every kind of difference ---------
+
+SQL_MIRROR = """mirror AS (
+  SELECT row_key,family,qualifier,ts, CASE WHEN seq%97=0 THEN CAST(CAST(value AS BIGINT)+1 AS VARCHAR) ELSE value END AS value
+    FROM cells WHERE CAST(substr(row_key,2) AS BIGINT)%15<>3 AND seq%89<>0
+  UNION ALL SELECT row_key,family,qualifier,ts+1,value FROM cells
+    WHERE seq%101=0 AND CAST(substr(row_key,2) AS BIGINT)%15<>3
+  UNION ALL SELECT 'z'||row_key,family,qualifier,ts,value FROM cells WHERE seq%1999=7)"""
+
+
+def mirror_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows missing, cells missing, values changed, cells added, rows added."""
+    cells = event_cells(spark, sf_dir, seq=True)
+    user = F.substring(F.col("row").cast("string"), 2, 9).cast("bigint")
+    seq, value = F.col("seq"), F.col("value")
+    more = (value.cast("string").cast("bigint") + 1).cast("string").cast("binary")
+    copied = F.struct(
+        (user % 15 != 3) & (seq % 89 != 0),
+        F.col("row"),
+        F.col("ts"),
+        F.when(seq % 97 == 0, more).otherwise(value).alias("value"),
+    )
+    added = F.struct((user % 15 != 3) & (seq % 101 == 0), F.col("row"), F.col("ts") + 1, value)
+    foreign = F.struct(seq % 1999 == 7, F.concat(F.lit(b"z"), F.col("row")), F.col("ts"), value)
+    versions = F.array(*[v.cast("struct<keep:boolean,row:binary,ts:bigint,value:binary>")
+                         for v in (copied, added, foreign)])
+    kept = F.inline(F.filter(versions, lambda v: v["keep"]))
+    return cells.select("family", "qualifier", kept).select(*CELL)
