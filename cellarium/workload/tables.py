@@ -207,3 +207,50 @@ def mirror_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
                          for v in (copied, added, foreign)])
     kept = F.inline(F.filter(versions, lambda v: v["keep"]))
     return cells.select("family", "qualifier", kept).select(*CELL)
+
+
+# ---- exported cells with delete markers -------------------------------------
+
+SQL_TYPED = """typed AS (SELECT row_key, family, CASE WHEN qualifier='error' THEN 'view' ELSE qualifier END AS qualifier,
+  ts, value, CASE WHEN qualifier<>'error' THEN 'PUT' ELSE
+    ['DELETE','DELETE_FAMILY_VERSION','DELETE_COLUMN','DELETE_FAMILY'][1 + seq%4] END AS type, seq FROM (
+  SELECT row_key, family, qualifier, CASE WHEN qualifier IN ('error','view') AND seq%4 < 2 THEN ts - ts%43200000 ELSE ts END AS ts,
+    value, seq FROM cells WHERE qualifier<>'error' OR seq%4<2 OR ts < 1704326400000) e)"""
+
+
+def typed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as exported cells: errors become delete markers of the four kinds.
+
+    Exact markers, and half of the views, have timestamps cut to half a day, so that
+    some meet; markers that reach back are kept for the first days only.
+    """
+    cells = event_cells(spark, sf_dir, seq=True)
+    error, turn = F.col("qualifier") == F.lit(b"error"), F.col("seq") % 4
+    cells = cells.where(~error | (turn < 2) | (F.col("ts") < 1704326400000))
+    half_day = (error | (F.col("qualifier") == F.lit(b"view"))) & (turn < 2)
+    kinds = ["DELETE", "DELETE_FAMILY_VERSION", "DELETE_COLUMN", "DELETE_FAMILY"]
+    marker = F.element_at(F.array(*[F.lit(kind) for kind in kinds]), (turn + 1).cast("int"))
+    return cells.select(
+        "row",
+        "family",
+        F.when(error, F.lit(b"view")).otherwise(F.col("qualifier")).alias("qualifier"),
+        F.when(half_day, F.col("ts") - F.col("ts") % 43200000).otherwise(F.col("ts")).alias("ts"),
+        "value",
+        F.when(error, marker).otherwise("PUT").alias("type"),
+        "seq",
+    )
+
+
+def document_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as large cells: one row per source and language, one cell per document."""
+    return table(spark, sf_dir, "documents").select(
+        F.concat_ws("/", "lang", "source").cast("binary").alias("row"),
+        F.lit("d").alias("family"),
+        F.lpad(F.col("doc_id").cast("string"), 9, "0").cast("binary").alias("qualifier"),
+        F.col("n_chars").alias("ts"),
+        F.col("text").cast("binary").alias("value"),
+    )
+
+
+SQL_DOCS = """docs AS (SELECT lang||'/'||source AS row_key, 'd' AS family, lpad(CAST(doc_id AS VARCHAR),9,'0') AS qualifier,
+  n_chars AS ts, text AS value, 24+strlen(lang||'/'||source)+1+9+strlen(text) AS bytes, strlen(text) AS len FROM documents)"""
