@@ -19,7 +19,7 @@ from cellarium.workload.tables import SQL_CELLS, SQL_MIRROR, event_cells, mirror
 
 HEAD = f"WITH {SQL_CELLS}, {SQL_MIRROR} "
 SHOW = "SELECT row_key,family,qualifier,ts,value "
-BATCH_BYTES = 20_000
+BATCH_BYTES = 3_000
 
 
 def _digests(source: str, name: str) -> str:

@@ -254,3 +254,84 @@ def document_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL_DOCS = """docs AS (SELECT lang||'/'||source AS row_key, 'd' AS family, lpad(CAST(doc_id AS VARCHAR),9,'0') AS qualifier,
   n_chars AS ts, text AS value, 24+strlen(lang||'/'||source)+1+9+strlen(text) AS bytes, strlen(text) AS len FROM documents)"""
+
+
+# ---- change-log entries -----------------------------------------------------
+
+LOOP_TAG, ORIGIN_TAG = "FROM_COPY", "FROM_MAIN"
+
+SQL_ENTRIES = f"""raw AS (SELECT row_key, family, qualifier AS kind, ts, value, seq AS id,
+   CASE WHEN seq%53=0 THEN ts-1000 ELSE ts + (seq%7)*60000 END AS written FROM cells),
+ main AS (SELECT id AS entry, CASE WHEN family='tx' THEN 'shop' ELSE 'web' END AS "table", written, 0 AS place, row_key, family,
+   CASE WHEN kind<>'error' THEN kind WHEN id%4 IN (0,1) THEN 'view' ELSE '' END AS qualifier,
+   CASE WHEN kind<>'error' THEN 'PUT' ELSE ['DELETE','DELETE_COLUMN','DELETE_FAMILY','INCREMENT'][1+id%4] END AS type,
+   CASE WHEN id%59=0 THEN 9223372036854775 + id WHEN kind='error' AND id%4=0 AND id%3=0 THEN {LATEST} ELSE ts END AS ts,
+   CASE WHEN kind<>'error' THEN value END AS value FROM raw),
+ entry_cells AS (SELECT * FROM main
+  UNION ALL SELECT id, 'shop', written, 1, row_key, 'tx', 'purchase', 'DELETE_COLUMN', {LATEST}, NULL FROM raw WHERE kind='signup'
+  UNION ALL SELECT id, CASE WHEN family='tx' THEN 'shop' ELSE 'web' END, written, CASE WHEN kind='signup' THEN 2 ELSE 1 END,
+   row_key, family, '{LOOP_TAG}', 'DELETE', 0, NULL FROM raw WHERE id%11=0)"""
+
+
+def entries_of(events: DataFrame) -> DataFrame:
+    """Events as log entries; works on a stream of events too.
+
+    Signups also delete the purchases; errors are deletes of several kinds and one
+    unknown kind; some entries carry the loop tag, come before their own cells, or
+    have a timestamp past the supported range.
+    """
+    number, kind = F.col("event_id"), F.col("event_type")
+    row = F.format_string("u%05d", "user_id").cast("binary")
+    shop = kind.isin("purchase", "signup")
+    family = F.when(shop, "tx").otherwise("nav")
+    ts, turn, error = millis("ts"), number % 4, kind == "error"
+    none = F.lit(None).cast("binary")
+    value = F.round(F.col("value") * 100).cast("bigint").cast("string").cast("binary")
+    kinds = F.array(*[F.lit(k) for k in ("DELETE", "DELETE_COLUMN", "DELETE_FAMILY", "INCREMENT")])
+    main = F.struct(
+        row.alias("row"),
+        family.alias("family"),
+        F.when(~error, kind).when(turn < 2, "view").otherwise("").cast("binary").alias("qualifier"),
+        F.when(~error, "PUT").otherwise(F.element_at(kinds, (turn + 1).cast("int"))).alias("type"),
+        F.when(number % 59 == 0, number + 9223372036854775)
+        .when(error & (turn == 0) & (number % 3 == 0), F.lit(LATEST))
+        .otherwise(ts)
+        .alias("ts"),
+        F.when(~error, value).alias("value"),
+    )
+
+    def extra(test, family, qualifier, kind, ts):
+        cell = F.struct(
+            row.alias("row"), family.alias("family"), F.lit(qualifier).cast("binary").alias("qualifier"),
+            F.lit(kind).alias("type"), F.lit(ts).cast("bigint").alias("ts"), none.alias("value"),
+        )
+        return F.when(test, cell)
+
+    cells = F.array_compact(
+        F.array(
+            main,
+            extra(kind == "signup", F.lit("tx"), "purchase", "DELETE_COLUMN", LATEST),
+            extra(number % 11 == 0, family, LOOP_TAG, "DELETE", 0),
+        )
+    )
+    written = F.when(number % 53 == 0, ts - 1000).otherwise(ts + number % 7 * 60000)
+    return events.select(
+        number.alias("entry"),
+        F.when(shop, "shop").otherwise("web").alias("table"),
+        written.alias("written"),
+        cells.alias("cells"),
+    )
+
+
+def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return entries_of(table(spark, sf_dir, "events"))
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event table as a stream of its files.
+
+    The path is written as a pattern because a stream does not take a plain file.
+    """
+    schema = table(spark, sf_dir, "events").schema
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64)
+    return reader.parquet(f"{sf_dir}/events.parque[t]")
