@@ -268,8 +268,9 @@ class ValueFound(Filter):
 def newest(cells: DataFrame, n: int = 1) -> DataFrame:
     """The newest n versions of every column."""
     if n == 1:
-        rest = [name for name in cells.columns if name not in COLUMN]
-        picked = cells.groupBy(*COLUMN).agg(F.max_by(F.struct(*rest), F.col("ts")).alias("_new"))
+        # The largest (ts, ...) struct: a partial aggregate leaves one cell per task.
+        rest = ["ts", *[name for name in cells.columns if name not in VERSION]]
+        picked = cells.groupBy(*COLUMN).agg(F.max(F.struct(*rest)).alias("_new"))
         return picked.select(*COLUMN, "_new.*").select(*cells.columns)
     return topmost(cells, COLUMN, version_order(), n, "_rank").drop("_rank")
 
@@ -494,7 +495,7 @@ class Any(Filter):
         rest = [name for name in cells.columns if name not in VERSION]
         return (
             together.groupBy(*VERSION)
-            .agg(F.min_by(F.struct(*rest), F.col("_branch")).alias("_one"))
+            .agg(F.min(F.struct("_branch", *rest)).alias("_one"))
             .select(*VERSION, "_one.*")
             .select(*cells.columns)
         )

@@ -21,6 +21,7 @@ from cellarium.plans.keyspace import KeySet
 from cellarium.plans.scratch import settle
 from cellarium.plans.skew import (
     last_before,
+    lookup,
     ranked,
     row_bytes,
     running,
@@ -119,7 +120,7 @@ def last_writes(puts: DataFrame) -> DataFrame:
     Whether a delete covers a put depends on its version and its place in the
     order, so a put older than a dead put is dead too: reducing first is safe.
     """
-    last = puts.groupBy(*VERSION).agg(F.max_by(F.struct("value", "seq"), F.col("seq")).alias("_w"))
+    last = puts.groupBy(*VERSION).agg(F.max(F.struct("seq", "value")).alias("_w"))
     return last.select(*VERSION, "_w.value", "_w.seq")
 
 
@@ -184,20 +185,29 @@ def _walk_marks(puts: DataFrame, reach: DataFrame) -> DataFrame:
 # ---- increments and appends -------------------------------------------------
 
 
-def _since_reset(base: DataFrame, log: DataFrame, op: str, marks: Marks) -> DataFrame:
+def by_op(log: DataFrame) -> DataFrame:
+    """The log written once, a folder per operation.
+
+    Every step reads its own operations and columns only, instead of deriving the
+    whole log again.
+    """
+    return settle(log.select(*LOG), "log", by="op")
+
+
+def _since_reset(base: DataFrame, log: DataFrame, marks: Marks, *ops: str) -> DataFrame:
     """Operations after the last reset of their column, with the value they start from.
 
     A covering delete resets to nothing; a put resets to its value; before any of
     them stands the newest version of the base table.
     """
-    work = last_cover(only(log, op), marks)
-    columns = only(log, op).select(*COLUMN).distinct()
+    work = last_cover(only(log, *ops), marks)
+    columns = only(log, *ops).select(*COLUMN).distinct()
     stored = newest(base.select(*CELL).join(columns, COLUMN, "left_semi"))
     put = only(log, PUT).join(columns, COLUMN, "left_semi").select(*CELL, "seq")
     last = as_log(stored).unionByName(put).groupBy(*COLUMN).agg(
         F.max("seq").alias("_start_seq"), F.max_by("value", "seq").alias("_start")
     )
-    work = work.join(last, COLUMN, "left")
+    work = lookup(work, last, COLUMN)
     cover, start = F.col("_cover"), F.col("_start_seq")
     from_put = start.isNotNull() & (cover.isNull() | (start > cover))
     return work.where(F.col("seq") > F.coalesce(F.greatest(cover, start), F.lit(BASE_SEQ))).select(
@@ -205,14 +215,17 @@ def _since_reset(base: DataFrame, log: DataFrame, op: str, marks: Marks) -> Data
     )
 
 
-def increments(base: DataFrame, log: DataFrame, marks: Marks | None = None) -> DataFrame:
+def increments(base: DataFrame, log: DataFrame) -> DataFrame:
     """After-images of counters: one put per incremented column."""
-    work = _since_reset(base, log, INCREMENT, marks or Marks(log))
+    log = by_op(log)
+    return _add_up(_since_reset(base, log, Marks(log), INCREMENT))
+
+
+def _add_up(work: DataFrame) -> DataFrame:
+    start = F.coalesce(bytes_to_long(F.max("_start")), F.lit(0))
     return work.groupBy(*COLUMN).agg(
         F.max("ts").alias("ts"),
-        long_to_bytes(
-            F.coalesce(bytes_to_long(F.max("_start")), F.lit(0)) + F.sum("amount")
-        ).alias("value"),
+        long_to_bytes(start + F.sum("amount")).alias("value"),
         F.max("seq").alias("seq"),
     )
 
@@ -252,18 +265,17 @@ def running_increments(base: DataFrame, log: DataFrame) -> DataFrame:
     return total.select("seq", *COLUMN, (F.col("_start") + F.col("_sum")).alias("result"))
 
 
-def appends(
-    base: DataFrame,
-    log: DataFrame,
-    marks: Marks | None = None,
-    max_bytes: int = MAX_CELL_BYTES,
-) -> DataFrame:
-    """After-images of appended columns: start value and pieces joined in order.
+def appends(base: DataFrame, log: DataFrame, max_bytes: int = MAX_CELL_BYTES) -> DataFrame:
+    """After-images of appended columns: start value and pieces joined in order."""
+    log = by_op(log)
+    work = _since_reset(base, log, Marks(log), APPEND)
+    return _join_up(settle(work, "appends"), max_bytes)
+
 
-    The result is one cell, so its size is measured first.  Where a column has very
+def _join_up(work: DataFrame, max_bytes: int = MAX_CELL_BYTES) -> DataFrame:
+    """The result is one cell, so its size is measured first.  Where a column has very
     many pieces they are joined in short runs and then run by run.
     """
-    work = settle(_since_reset(base, log, APPEND, marks or Marks(log)), "appends")
     length = F.sum(F.octet_length("value").cast("bigint")) + F.coalesce(
         F.octet_length(F.max("_start")), F.lit(0)
     )
@@ -289,11 +301,17 @@ def _joined(place: str, value: str) -> Column:
     return F.aggregate(items, F.lit(b""), lambda so_far, item: F.concat(so_far, item[value]))
 
 
-def after_images(base: DataFrame, log: DataFrame, marks: Marks | None = None) -> DataFrame:
+def after_images(base: DataFrame, log: DataFrame) -> DataFrame:
     """Increments and appends as the puts a second copy of the table needs."""
-    marks = marks or Marks(log)
-    both = increments(base, log, marks).unionByName(appends(base, log, marks))
-    return both.select(*CELL, "seq", F.lit(PUT).alias("op"), F.lit(None).cast("bigint").alias("amount"))
+    log = by_op(log)
+    both = _after_images(base, log, Marks(log))
+    return both.withColumn("op", F.lit(PUT)).withColumn("amount", F.lit(None).cast("bigint"))
+
+
+def _after_images(base: DataFrame, log: DataFrame, marks: Marks) -> DataFrame:
+    work = settle(_since_reset(base, log, marks, INCREMENT, APPEND), "work", by="op")
+    sums, joins = _add_up(only(work, INCREMENT)), _join_up(only(work, APPEND))
+    return sums.unionByName(joins).select(*CELL, "seq")
 
 
 # ---- replay -----------------------------------------------------------------
@@ -305,13 +323,14 @@ def replay(base: DataFrame, log: DataFrame) -> DataFrame:
     Rows the log does not name are passed through; when the log's keys are few
     that costs the table no shuffle.
     """
+    log = by_op(log)
     marks = Marks(log)
     rows = sized(log.select("row").distinct())
     touched = base.select(*CELL).join(rows, ROW, "left_semi")
     untouched = base.select(*CELL).join(rows, ROW, "left_anti")
     puts = as_log(touched).unionByName(only(log, PUT).select(*CELL, "seq"))
     if not only(log, INCREMENT, APPEND).isEmpty():
-        puts = puts.unionByName(after_images(touched, log, marks).select(*CELL, "seq"))
+        puts = puts.unionByName(_after_images(touched, log, marks))
     return untouched.unionByName(survivors(last_writes(puts), marks).select(*CELL))
 
 
@@ -340,8 +359,8 @@ def fill_timestamps(log: DataFrame, batch_ts: int) -> DataFrame:
 
 def last_of_each(df: DataFrame, keys: list[str]) -> DataFrame:
     """Input of one operation with repeated keys: the last one counts."""
-    rest = [name for name in df.columns if name not in keys]
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("seq")).alias("_last"))
+    rest = ["seq", *[name for name in df.columns if name not in (*keys, "seq")]]
+    picked = df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_last"))
     return picked.select(*keys, "_last.*").select(*df.columns)
 
 

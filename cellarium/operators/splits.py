@@ -73,11 +73,13 @@ def balanced_splits(regions: DataFrame, target_bytes: int) -> DataFrame:
             "_before": ("sum", small_bytes, False),
         },
     )
-    first_in_run = placed.groupBy("_run").agg(F.min("_before").alias("_offset"))
-    bundle = F.when(big, F.lit(-1)).otherwise(
-        F.floor((F.col("_before") - F.col("_offset")) / target_bytes)
+    # Bytes before the first small range of a run: those before its big range.
+    placed = running(
+        placed, [], by_start, {"_offset": ("last", F.when(big, F.col("_before")))}
     )
-    numbered = placed.join(first_in_run, ["_run"]).withColumn("_bundle", bundle)
+    since = F.col("_before") - F.coalesce("_offset", F.lit(0))
+    bundle = F.when(big, F.lit(-1)).otherwise(F.floor(since / target_bytes))
+    numbered = placed.withColumn("_bundle", bundle)
     stop = F.max_by(F.struct("stop"), F.col("start"))["stop"]
     return numbered.groupBy("_run", "_bundle").agg(
         F.min("start").alias("start"),
@@ -92,14 +94,33 @@ def key_number(key: Column) -> Column:
     return F.conv(F.rpad(F.hex(F.substring(key, 1, 7)), 14, "0"), 16, 10).cast("bigint")
 
 
+# Up to this many buckets a cell finds its own by comparing keys.
+COMPARED_BUCKETS = 256
+
+
 def uniform_buckets(cells: DataFrame, start: bytes, stop: bytes, buckets: int) -> DataFrame:
     """Cells and bytes in each of ``buckets`` even cuts of the key space [start, stop)."""
     if start >= stop:
         raise ValueError("start must be before stop")
     low, high = (int.from_bytes(key[:7].ljust(7, b"\x00")) for key in (start, stop))
     inside = cells.where((F.col("row") >= F.lit(start)) & (F.col("row") < F.lit(stop)))
-    scaled = (key_number(F.col("row")) - low).cast("decimal(20,0)") * buckets
-    place = (scaled - scaled % (high - low)) / (high - low)  # exact: no remainder is left
-    return inside.groupBy(place.cast("bigint").alias("bucket")).agg(
+    if buckets <= COMPARED_BUCKETS:
+        # Rounded up: a cut is the first key number inside its bucket.
+        cuts = [low - (low - high) * i // buckets for i in range(buckets)]
+        bucket = _bucket_of(cuts, 0, buckets)
+    else:
+        scaled = (key_number(F.col("row")) - low).cast("decimal(20,0)") * buckets
+        bucket = (scaled - scaled % (high - low)) / (high - low)  # no remainder is left
+    return inside.groupBy(bucket.cast("bigint").alias("bucket")).agg(
         F.count(F.lit(1)).alias("cells"), F.sum(stored_cell_size()).alias("bytes")
     )
+
+
+def _bucket_of(cuts: list[int], first: int, last: int) -> Column:
+    """Binary search among the first keys of the buckets, as nested comparisons."""
+    if last - first == 1:
+        return F.lit(first)
+    middle = (first + last) // 2
+    key = cuts[middle].to_bytes(7).rstrip(b"\x00")
+    below, above = _bucket_of(cuts, first, middle), _bucket_of(cuts, middle, last)
+    return F.when(F.col("row") < F.lit(key), below).otherwise(above)

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR = "spark.checkpoint.dir"
 
+_made: list[str] = []
+
 
 def new_path(spark: SparkSession, label: str = "cut") -> str:
     """A fresh path in the shared folder.
@@ -22,16 +24,29 @@ def new_path(spark: SparkSession, label: str = "cut") -> str:
             raise RuntimeError(f"set {SHARED_DIR} to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="cellarium-")
         spark.conf.set(SHARED_DIR, base)
-    return f"{base}/cellarium-{label}-{uuid.uuid4().hex}"
+    path = f"{base}/cellarium-{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Deletes the tables this process has cut so far; call it once results are kept."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        gone += path.getFileSystem(conf).delete(path, True)
+    return gone
 
 
-def settle(df: DataFrame, label: str = "cut") -> DataFrame:
-    """Write ``df`` once and read it back.
+def settle(df: DataFrame, label: str = "cut", by: str | None = None) -> DataFrame:
+    """Write ``df`` once and read it back, with a folder per value of ``by`` if given.
 
     A later loss of an executor then re-reads the same rows, in the same files,
     rather than running a shuffle again that may place rows differently.
     """
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -7,16 +7,17 @@ Three situations, three plans:
 * a running value over all rows of a key (``running``, ``ranked``): ordinary keys
   use a window; hot keys are found first, cut into ordered pieces by range, scanned
   piece by piece, and joined up with one small carry record per piece;
-* one record per key looked up by many rows (``attach``): broadcast when the
-  measured size allows it, otherwise a shuffle join, whose hot partitions adaptive
-  execution splits.
+* one record per key looked up by many rows: broadcast when the measured size allows
+  it (``attach``); otherwise a shuffle join, whose hot partitions adaptive execution
+  splits (``tune``), or a join in which the records of hot keys are broadcast
+  (``lookup``).
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,26 +33,36 @@ HOT_KEYS = 4096
 BROADCAST_ROWS_SETTING = "spark.cellarium.broadcastRows"
 BROADCAST_ROWS_DEFAULT = 100_000
 BROADCAST_BYTES = 32 << 20
-# Spark drops rows beyond the limit before the shuffle only below this limit.
-GROUP_LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
-GROUP_LIMIT_DEFAULT = 1000
+# Up to this many rows per key every task may ship its own first rows of a hot key.
+# (Spark itself limits groups before the shuffle below 1000 rows.)
+SHIPPED_ROWS = 100
 
 
 def _setting(df: DataFrame, name: str, default: int) -> int:
     return int(df.sparkSession.conf.get(name, str(default)))
 
 
+def tune(spark: SparkSession) -> None:
+    """Session settings the joins rely on.
+
+    Without the last one Spark leaves a skewed join alone if a later aggregate or
+    window could reuse its partitioning; the hot key would then stay in one task.
+    """
+    for name in ("enabled", "skewJoin.enabled", "forceOptimizeSkewedJoin"):
+        spark.conf.set(f"spark.sql.adaptive.{name}", "true")
+
+
 def hot_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame | None, int]:
     """The keys with too many rows for one task (at most HOT_KEYS) and the pieces
     their rows should be cut into.
     """
     limit = _setting(df, HOT_ROWS_SETTING, HOT_ROWS_DEFAULT)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
-    found = counts.orderBy(F.col("_n").desc()).limit(HOT_KEYS).collect()
-    if not found:
+    found = counts.orderBy(F.col("_n").desc()).limit(HOT_KEYS).toArrow()
+    if not found.num_rows:
         return None, 0
-    hot = df.sparkSession.createDataFrame(found, counts.schema).select(*keys)
-    return hot, sum(row["_n"] for row in found) // limit + 1
+    pieces = sum(found.column("_n").to_pylist()) // limit + 1
+    return df.sparkSession.createDataFrame(found.select(keys), df.select(*keys).schema), pieces
 
 
 def running(
@@ -65,13 +76,17 @@ def running(
 
     ``values`` maps a new column to ``(kind, column)`` or ``(kind, column, False)``
     where the row itself is left out.  Kinds: sum, max, min, last (newest non-null).
-    With no keys the whole table is one sequence.  ``hot`` may hand in an earlier
+    With no keys the whole table is one sequence, in one task only if its counted rows
+    are no more than one task of a hot key may have.  ``hot`` may hand in an earlier
     answer of ``hot_keys``.
     """
     wanted = {name: (spec[0], spec[1], spec[2] if len(spec) > 2 else True)
               for name, spec in values.items()}
     if not keys:
-        return _running_in_pieces(df, keys, order, wanted, 0)
+        stored = settle(df, "sequence")
+        if stored.count() <= _setting(df, HOT_ROWS_SETTING, HOT_ROWS_DEFAULT):
+            return _running_in_window(stored, keys, order, wanted)
+        return _running_in_pieces(stored, keys, order, wanted, 0)
     hot, pieces = hot if hot is not None else hot_keys(df, keys)
     if hot is None:
         return _running_in_window(df, keys, order, wanted)
@@ -90,7 +105,7 @@ def topmost(
     df: DataFrame, keys: list[str], order: list[Column], n: int, name: str = "rank"
 ) -> DataFrame:
     """The first n rows of each key, with their position."""
-    if n < _setting(df, GROUP_LIMIT_SETTING, GROUP_LIMIT_DEFAULT):
+    if n <= SHIPPED_ROWS:
         window = Window.partitionBy(*keys).orderBy(*order)
         placed = df.withColumn(name, F.row_number().over(window))
     else:
@@ -230,6 +245,21 @@ def attach(left: DataFrame, right: DataFrame, on: list[str], how: str = "left")
     return left.join(sized(right), on, how)
 
 
+def lookup(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Left join with one record per key, where a key may own much of the left side.
+
+    The records of the hot keys (at most HOT_KEYS of them) are broadcast to the rows
+    where they lie; only the rest is shuffled.
+    """
+    hot, _ = hot_keys(left, on)
+    if hot is None:
+        return left.join(right, on, "left")
+    hot = F.broadcast(hot)
+    few = F.broadcast(right.join(hot, on, "left_semi"))
+    cold = left.join(hot, on, "left_anti").join(right, on, "left")
+    return cold.unionByName(left.join(hot, on, "left_semi").join(few, on, "left"))
+
+
 def first_rows(cells: DataFrame, n: int, reverse: bool = False) -> DataFrame:
     """All cells of the first n row keys in scan order.
 

@@ -20,6 +20,7 @@ from cellarium.workload.tables import (
     mutation_log,
     stored_cells,
     table,
+    user_key,
 )
 
 HEAD = f"WITH {SQL_CELLS}, {SQL_LOG} "
@@ -265,7 +266,7 @@ def _checks(spark, sf_dir, op, expected):
     """One check per customer, on the view column of the user with the same number."""
     return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("seq"),
-        F.format_string("u%05d", "c_custkey").cast("binary").alias("row"),
+        user_key("c_custkey").alias("row"),
         F.lit("nav").alias("family"),
         F.lit(b"view").alias("qualifier"),
         op.alias("op"),
@@ -321,7 +322,7 @@ SELECT seq, coalesce(value > greatest(start, coalesce(prior, '')) AND start IS N
 def check_and_put(spark, sf_dir):
     """A chain of checks per user: each event raises the user's record if it beats it."""
     base = table(spark, sf_dir, "customer").select(
-        F.format_string("u%05d", "c_custkey").cast("binary").alias("row"),
+        user_key("c_custkey").alias("row"),
         F.lit("tx").alias("family"),
         F.lit(b"best").alias("qualifier"),
         F.lit(0).cast("bigint").alias("ts"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cellarium.functions.bytewise import long_to_bytes
 from cellarium.model import CELL, LATEST, from_wide
+from cellarium.plans.skew import tune
 
 SQL_CELLS = """cells AS (SELECT printf('u%05d', user_id) AS row_key,
   CASE WHEN event_type IN ('purchase','signup') THEN 'tx' ELSE 'nav' END AS family,
@@ -18,18 +19,30 @@ SQL_LATEST = """latest AS (SELECT * FROM cells QUALIFY row_number() OVER
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    tune(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def millis(column: str):
-    return F.expr(f"timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', {column})")
+    """Whole milliseconds since 1970 of a timestamp without zone, in any session zone."""
+    day = F.unix_date(F.to_date(column)) * F.lit(86_400_000).cast("bigint")
+    second = F.hour(column) * 3600 + F.minute(column) * 60
+    fraction = F.floor(F.date_part(F.lit("SECOND"), F.col(column)) * 1000).cast("bigint")
+    return day + second * 1000 + fraction
+
+
+def user_key(column: str):
+    """``u`` and the number, padded to five digits."""
+    number = F.col(column).cast("string")
+    padded = F.when(F.length(number) < 5, F.lpad(number, 5, "0")).otherwise(number)
+    return F.concat(F.lit("u"), padded).cast("binary")
 
 
 def event_cells(spark: SparkSession, sf_dir: str, seq: bool = False) -> DataFrame:
     """One version per event: a user's row, two families, five qualifiers."""
     events = table(spark, sf_dir, "events")
     cells = events.select(
-        F.format_string("u%05d", "user_id").cast("binary").alias("row"),
+        user_key("user_id").alias("row"),
         F.when(F.col("event_type").isin("purchase", "signup"), "tx").otherwise("nav").alias("family"),
         F.col("event_type").cast("binary").alias("qualifier"),
         millis("ts").alias("ts"),
@@ -98,7 +111,7 @@ SQL_COUNTERS = """counters AS (SELECT printf('u%05d', c_custkey) AS row_key, 'tx
 def counter_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored counter per customer, at timestamp 0."""
     return table(spark, sf_dir, "customer").select(
-        F.format_string("u%05d", "c_custkey").cast("binary").alias("row"),
+        user_key("c_custkey").alias("row"),
         F.lit("tx").alias("family"),
         F.lit(b"total").alias("qualifier"),
         F.lit(0).cast("bigint").alias("ts"),
@@ -175,8 +188,7 @@ def mutation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((kind == "view") & (number % 10).isin(0, 5), "DELETE_VERSION").alias("op"),
         none.cast("bigint").alias("amount"),
     )
-    both = F.filter(F.array(main, point), lambda m: m["op"].isNotNull())
-    return events.select("row", F.inline(both))
+    return events.select("row", F.inline(F.array(main, point))).where(F.col("op").isNotNull())
 
 
 # ---- a second copy of the event table, with every kind of difference ---------
@@ -205,8 +217,7 @@ def mirror_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     foreign = F.struct(seq % 1999 == 7, F.concat(F.lit(b"z"), F.col("row")), F.col("ts"), value)
     versions = F.array(*[v.cast("struct<keep:boolean,row:binary,ts:bigint,value:binary>")
                          for v in (copied, added, foreign)])
-    kept = F.inline(F.filter(versions, lambda v: v["keep"]))
-    return cells.select("family", "qualifier", kept).select(*CELL)
+    return cells.select("family", "qualifier", F.inline(versions)).where("keep").select(*CELL)
 
 
 # ---- exported cells with delete markers -------------------------------------
@@ -281,7 +292,7 @@ def entries_of(events: DataFrame) -> DataFrame:
     have a timestamp past the supported range.
     """
     number, kind = F.col("event_id"), F.col("event_type")
-    row = F.format_string("u%05d", "user_id").cast("binary")
+    row = user_key("user_id")
     shop = kind.isin("purchase", "signup")
     family = F.when(shop, "tx").otherwise("nav")
     ts, turn, error = millis("ts"), number % 4, kind == "error"
