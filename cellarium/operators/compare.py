@@ -17,7 +17,7 @@ from cellarium.model import CELL, COLUMN, ROW, VERSION, version_order
 from cellarium.operators.mutate import DELETE_VERSION, PUT, replay
 from cellarium.operators.scan import locate
 from cellarium.plans.scratch import settle
-from cellarium.plans.skew import ranked, running, sized
+from cellarium.plans.skew import measured, ranked, running
 
 LANES = ["_a", "_b"]
 
@@ -130,9 +130,9 @@ def _side_by_side(source: DataFrame, target: DataFrame) -> DataFrame:
     On copies that mostly agree the cells of the tables are not shuffled at all.
     """
     rows = compare_rows(source, target).where(F.col("verdict") != MATCH).select("row")
-    rows = sized(settle(rows, "differing"))
-    ours = source.join(rows, ROW, "left_semi").select(*VERSION, F.col("value").alias("source_value"))
-    theirs = target.join(rows, ROW, "left_semi").select(
+    rows = measured(settle(rows, "differing"))
+    ours = rows.join(source.select(*CELL), ROW, "left_semi").select(*VERSION, F.col("value").alias("source_value"))
+    theirs = rows.join(target.select(*CELL), ROW, "left_semi").select(
         *VERSION, F.col("value").alias("target_value")
     )
     return ours.join(theirs, VERSION, "full_outer").withColumn(

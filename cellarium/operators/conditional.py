@@ -11,7 +11,7 @@ from cellarium.model import CELL, COLUMN, LATEST
 from cellarium.operators.filters import COMPARE, newest
 from cellarium.operators.mutate import BASE_SEQ, COVERING, PUT, as_log, only
 from cellarium.plans.scratch import settle
-from cellarium.plans.skew import hot_keys, last_before
+from cellarium.plans.skew import attach, hot_keys, last_before
 
 # Columns of a check.  ``expected`` NULL or empty asks for absence, or for presence
 # with "!=".  The time range is tested on the newest version.
@@ -60,7 +60,7 @@ def check_and_mutate(
         raise ValueError("a conditional mutation must stay in the checked row")
     mutations = mutations.withColumn("ts", F.coalesce("ts", F.lit(now).cast("bigint")))
     columns = checks.select(*COLUMN).distinct()
-    stored = settle(as_log(newest(base.select(*CELL).join(columns, COLUMN, "left_semi"))), "checked")
+    stored = settle(as_log(newest(attach(base.select(*CELL), columns, COLUMN, "left_semi"))), "checked")
     scopes = {PUT: COLUMN} | {
         found["op"]: COVERING[found["op"]]
         for found in mutations.where(F.col("op").isin(*COVERING)).select("op").distinct().collect()

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from cellarium.functions.bytewise import found, hash_share, in_time_range
 from cellarium.model import COLUMN, VERSION, as_bytes, bytes_lit, cell_order, version_order
 from cellarium.plans.keyspace import KeySet
-from cellarium.plans.skew import first_rows, ranked, topmost
+from cellarium.plans.scratch import settle
+from cellarium.plans.skew import attach, first_rows, measured, ranked, topmost
 
 COMPARE = {
     "<": lambda a, b: a < b,
@@ -366,8 +367,8 @@ class KeyOnly(Filter):
 class ColumnValue(Filter):
     """Keep or drop whole rows by the value of one column.
 
-    Only the cells of that column are looked at, and only one record per row comes
-    out of them, so the other side of the join is small and pruned.
+    Only the cells of that column are looked at, and only the keys of the rows to
+    keep (or to drop) come out of them; they are written and measured, then joined.
     """
 
     family: str
@@ -387,9 +388,11 @@ class ColumnValue(Filter):
         hit = F.max(F.when(self.matches.test(), 1).otherwise(0))
         rows = column.groupBy("row").agg(hit.alias("_hit"))
         if self.keep_if_missing:
-            kept = cells.join(rows.where("_hit = 0"), ["row"], "left_anti")
+            failing = settle(rows.where("_hit = 0").select("row"), "rows")
+            kept = attach(cells, failing, ["row"], "left_anti")
         else:
-            kept = cells.join(rows.where("_hit = 1"), ["row"], "left_semi")
+            passing = settle(rows.where("_hit = 1").select("row"), "rows")
+            kept = attach(cells, passing, ["row"], "left_semi")
         return kept.where(~here) if self.drop_column else kept
 
 
@@ -402,9 +405,10 @@ class Condition(Filter):
     otherwise: Filter = field(default_factory=Block)
 
     def apply(self, cells, reverse=False):
-        rows = self.when.apply(cells, reverse).select("row").distinct()
-        yes = self.then.apply(cells.join(rows, ["row"], "left_semi"), reverse)
-        no = self.otherwise.apply(cells.join(rows, ["row"], "left_anti"), reverse)
+        rows = settle(self.when.apply(cells, reverse).select("row").distinct(), "rows")
+        chosen = measured(rows)
+        yes = self.then.apply(chosen.join(cells, ["row"], "left_semi"), reverse)
+        no = self.otherwise.apply(chosen.join(cells, ["row"], "left_anti"), reverse)
         return yes.select(*cells.columns).unionByName(no.select(*cells.columns))
 
 

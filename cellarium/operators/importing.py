@@ -11,7 +11,7 @@ from cellarium.functions.bytewise import stored_cell_size
 from cellarium.model import CELL, COLUMN, FAMILY, ROW, VERSION, cell_order
 from cellarium.operators.mutate import PUT
 from cellarium.plans.scratch import settle
-from cellarium.plans.skew import ranked, row_bytes, running, sized, within_broadcast
+from cellarium.plans.skew import Side, attach, ranked, row_bytes, running, within_broadcast
 
 # Kinds of delete markers in exported data.
 DELETE = "DELETE"
@@ -56,14 +56,12 @@ def mask_tombstones(typed: DataFrame) -> DataFrame:
     for found in sizes.collect():
         scope = MARKER_SCOPE[found["type"]]
         marks = reduced.where(kind == found["type"]).select(*scope, "_to")
-        if within_broadcast(typed, found["rows"], found["bytes"]):
-            marks = F.broadcast(marks)
+        side = Side(marks, within_broadcast(typed, found["rows"], found["bytes"]))
         if "ts" in scope:
-            live = live.join(marks, scope, "left_anti")
+            live = side.join(live, scope, "left_anti")
         else:
-            live = live.join(marks, scope, "left")
-            live = live.where(F.col("_to").isNull() | (F.col("ts") > F.col("_to")))
-        live = live.select(*CELL)
+            live = side.join(live, scope)
+            live = live.where(F.col("_to").isNull() | (F.col("ts") > F.col("_to"))).select(*CELL)
     return live
 
 
@@ -117,7 +115,7 @@ def size_guards(cells: DataFrame, limits: Limits, by: list[str] = ROW) -> DataFr
     if limits.row_bytes is None and limits.row_cells is None:
         return kept
     bad = settle(_row_totals(tested, limits, by).where("_over").select(*by), "overlimit")
-    return kept.join(sized(bad), by, "left_anti").select(*cells.columns)
+    return attach(kept, bad, by, "left_anti")
 
 
 def size_guard_counts(cells: DataFrame, limits: Limits) -> DataFrame:
@@ -129,9 +127,9 @@ def size_guard_counts(cells: DataFrame, limits: Limits) -> DataFrame:
     long_keys = cells.where(_over(F.octet_length("row"), limits.row_key_bytes))
     tested = _sized_cells(cells, limits)
     rows = settle(_row_totals(tested, limits, ROW), "rowtotals")
-    split = sized(rows.where(F.col("_over") & (F.col("_large_cells") > 0)).select("row"))
+    split = rows.where(F.col("_over") & (F.col("_large_cells") > 0)).select("row")
     read = running(
-        tested.join(split, ROW, "left_semi"),
+        attach(tested, split, ROW, "left_semi"),
         ROW,
         cell_order(),
         {

@@ -20,12 +20,14 @@ from cellarium.operators.filters import newest
 from cellarium.plans.keyspace import KeySet
 from cellarium.plans.scratch import settle
 from cellarium.plans.skew import (
+    Side,
+    attach,
     last_before,
     lookup,
+    measured,
     ranked,
     row_bytes,
     running,
-    sized,
     topmost,
     within_broadcast,
 )
@@ -98,18 +100,21 @@ class Marks:
     def __contains__(self, op: str) -> bool:
         return op in self.small
 
-    def last(self, op: str, name: str) -> DataFrame:
-        marks = only(self.table, op).select(*SCOPES[op], F.col("seq").alias(name))
-        return F.broadcast(marks) if self.small[op] else marks
+    def of(self, op: str, name: str = "seq") -> DataFrame:
+        return only(self.table, op).select(*SCOPES[op], F.col("seq").alias(name))
+
+    def join(self, df: DataFrame, op: str, name: str) -> DataFrame:
+        """Adds the seq of the last mark of this kind over each record."""
+        return Side(self.of(op, name), self.small[op]).join(df, SCOPES[op])
 
 
 def last_cover(df: DataFrame, marks: Marks) -> DataFrame:
     """Adds ``_cover``: seq of the last delete covering the whole column, else NULL."""
     names = []
-    for op, scope in COVERING.items():
+    for op in COVERING:
         if op in marks:
             names.append(f"_{op.lower()}")
-            df = df.join(marks.last(op, names[-1]), scope, "left")
+            df = marks.join(df, op, names[-1])
     none = F.lit(None).cast("bigint")
     return df.withColumn("_cover", F.greatest(none, none, *names)).drop(*names)
 
@@ -129,7 +134,7 @@ def survivors(puts: DataFrame, marks: Marks) -> DataFrame:
     live = last_cover(puts, marks)
     live = live.where(F.col("_cover").isNull() | (F.col("seq") > F.col("_cover"))).drop("_cover")
     if DELETE_VERSION in marks:
-        live = live.join(marks.last(DELETE_VERSION, "_point"), VERSION, "left")
+        live = marks.join(live, DELETE_VERSION, "_point")
         live = live.where(F.col("_point").isNull() | (F.col("seq") > F.col("_point")))
     live = live.select(*puts.columns)
     return _drop_older(live, marks) if DELETE_COLUMN_TO in marks else live
@@ -144,18 +149,21 @@ def _drop_older(puts: DataFrame, marks: Marks) -> DataFrame:
     instead, where the largest mark so far decides.
     """
     reach = running(
-        marks.last(DELETE_COLUMN_TO, "seq"),
+        marks.of(DELETE_COLUMN_TO),
         COLUMN,
         [F.col("seq").desc()],
         {"_later": ("max", F.col("ts"), False)},
     ).where(F.col("_later").isNull() | (F.col("ts") > F.col("_later")))
     reach = settle(reach.select(*VERSION, "seq"), "reach")
     counts = reach.groupBy(*COLUMN).agg(F.count(F.lit(1)).alias("_n"))
-    long = sized(counts.where(F.col("_n") > CARRIED_MARKS).select(*COLUMN))
+    long = counts.where(F.col("_n") > CARRIED_MARKS).select(*COLUMN)
     if long.isEmpty():
         return _carry_marks(puts, reach)
-    rest = _carry_marks(puts.join(long, COLUMN, "left_anti"), reach.join(long, COLUMN, "left_anti"))
-    walked = _walk_marks(puts.join(long, COLUMN, "left_semi"), reach.join(long, COLUMN, "left_semi"))
+    long = measured(long)
+    rest, walked = (
+        step(long.join(puts, COLUMN, how), long.join(reach, COLUMN, how))
+        for step, how in ((_carry_marks, "left_anti"), (_walk_marks, "left_semi"))
+    )
     return rest.unionByName(walked)
 
 
@@ -164,7 +172,7 @@ def _carry_marks(puts: DataFrame, reach: DataFrame) -> DataFrame:
     dead = F.exists(
         "_marks", lambda mark: (mark["seq"] > F.col("seq")) & (mark["ts"] >= F.col("ts"))
     )
-    kept = puts.join(carried, COLUMN, "left").where(F.col("_marks").isNull() | ~dead)
+    kept = lookup(puts, carried, COLUMN).where(F.col("_marks").isNull() | ~dead)
     return kept.select(*puts.columns)
 
 
@@ -201,9 +209,9 @@ def _since_reset(base: DataFrame, log: DataFrame, marks: Marks, *ops: str) -> Da
     them stands the newest version of the base table.
     """
     work = last_cover(only(log, *ops), marks)
-    columns = only(log, *ops).select(*COLUMN).distinct()
-    stored = newest(base.select(*CELL).join(columns, COLUMN, "left_semi"))
-    put = only(log, PUT).join(columns, COLUMN, "left_semi").select(*CELL, "seq")
+    columns = measured(only(log, *ops).select(*COLUMN).distinct())
+    stored = newest(columns.join(base.select(*CELL), COLUMN, "left_semi"))
+    put = columns.join(only(log, PUT).select(*CELL, "seq"), COLUMN, "left_semi")
     last = as_log(stored).unionByName(put).groupBy(*COLUMN).agg(
         F.max("seq").alias("_start_seq"), F.max_by("value", "seq").alias("_start")
     )
@@ -236,9 +244,9 @@ def running_increments(base: DataFrame, log: DataFrame) -> DataFrame:
     Resets cut the history of a column into segments; inside one it is a running sum.
     """
     work = only(log, INCREMENT).select(*COLUMN, "seq", "amount")
-    columns = work.select(*COLUMN).distinct()
-    stored = newest(base.select(*CELL).join(columns, COLUMN, "left_semi"))
-    put = only(log, PUT).join(columns, COLUMN, "left_semi").select(*CELL, "seq")
+    columns = measured(work.select(*COLUMN).distinct())
+    stored = newest(columns.join(base.select(*CELL), COLUMN, "left_semi"))
+    put = columns.join(only(log, PUT).select(*CELL, "seq"), COLUMN, "left_semi")
     event = F.struct("seq", "value").alias("_event")
     work = last_before(
         work, as_log(stored).unionByName(put).select(*COLUMN, "seq", event), COLUMN, "_put"
@@ -325,9 +333,9 @@ def replay(base: DataFrame, log: DataFrame) -> DataFrame:
     """
     log = by_op(log)
     marks = Marks(log)
-    rows = sized(log.select("row").distinct())
-    touched = base.select(*CELL).join(rows, ROW, "left_semi")
-    untouched = base.select(*CELL).join(rows, ROW, "left_anti")
+    rows = measured(log.select("row").distinct())
+    touched = rows.join(base.select(*CELL), ROW, "left_semi")
+    untouched = rows.join(base.select(*CELL), ROW, "left_anti")
     puts = as_log(touched).unionByName(only(log, PUT).select(*CELL, "seq"))
     if not only(log, INCREMENT, APPEND).isEmpty():
         puts = puts.unionByName(_after_images(touched, log, marks))
@@ -405,8 +413,9 @@ def batch_results(base: DataFrame, log: DataFrame, max_put_bytes: int = MAX_CELL
     """
     good, _ = checked(log, max_put_bytes)
     asked = only(good, GET).select("seq", *COLUMN)
-    stored = newest(base.join(asked.select(*COLUMN).distinct(), COLUMN, "left_semi"))
-    got = asked.join(stored.select(*COLUMN, "value"), COLUMN, "left").select("seq", "value")
+    wanted = asked.select(*COLUMN).distinct()
+    stored = newest(attach(base.select(*CELL), wanted, COLUMN, "left_semi"))
+    got = lookup(asked, stored.select(*COLUMN, "value"), COLUMN).select("seq", "value")
     counted = running_increments(base, good).select("seq", long_to_bytes(F.col("result")).alias("value"))
     results = got.unionByName(counted).withColumnRenamed("value", "result")
     judged = log.select("seq", "op", problem(max_put_bytes).alias("error"))

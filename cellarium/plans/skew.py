@@ -7,14 +7,15 @@ Three situations, three plans:
 * a running value over all rows of a key (``running``, ``ranked``): ordinary keys
   use a window; hot keys are found first, cut into ordered pieces by range, scanned
   piece by piece, and joined up with one small carry record per piece;
-* one record per key looked up by many rows: broadcast when the measured size allows
-  it (``attach``); otherwise a shuffle join, whose hot partitions adaptive execution
-  splits (``tune``), or a join in which the records of hot keys are broadcast
-  (``lookup``).
+* one record per key looked up by many rows (``measured``, ``attach``): broadcast when
+  its measured size allows it, otherwise shuffled in several copies so that the rows
+  of one key spread over several tasks.  ``lookup`` finds the hot keys first and
+  broadcasts their records only.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -33,6 +34,8 @@ HOT_KEYS = 4096
 BROADCAST_ROWS_SETTING = "spark.cellarium.broadcastRows"
 BROADCAST_ROWS_DEFAULT = 100_000
 BROADCAST_BYTES = 32 << 20
+# Copies of a larger side, each met by a part of every key's rows.
+COPIES = 8
 # Up to this many rows per key every task may ship its own first rows of a hot key.
 # (Spark itself limits groups before the shuffle below 1000 rows.)
 SHIPPED_ROWS = 100
@@ -233,31 +236,62 @@ def within_broadcast(df: DataFrame, rows: int, size: int | None) -> bool:
     return rows <= limit and (size or 0) <= BROADCAST_BYTES
 
 
-def sized(df: DataFrame) -> DataFrame:
-    """Marks ``df`` for broadcast if it is measured to be small; else leaves it alone."""
+@dataclass(frozen=True)
+class Side:
+    """The right side of a join, at most one record per key, of known size class."""
+
+    df: DataFrame
+    small: bool
+
+    def join(self, left: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+        """``left`` (its columns first, in order) with this side."""
+        if self.small:
+            joined = left.join(F.broadcast(self.df), on, how)
+        else:
+            joined = self._spread(left, on, how)
+        added = [] if how in ("left_semi", "left_anti") else self.df.columns
+        return joined.select(*left.columns, *[c for c in added if c not in on])
+
+    def _spread(self, left: DataFrame, on: list[str], how: str) -> DataFrame:
+        """Copies of the records meet the rows of a key in as many tasks.
+
+        Adaptive execution can split a skewed join only where both inputs come
+        straight from a shuffle and nothing above reuses its partitioning; the extra
+        key makes both true, so a very hot key is split further.
+        """
+        rest = [c for c in left.columns if c not in on]
+        if not rest:
+            return left.join(self.df, on, how)
+        copies = F.sequence(F.lit(0), F.lit(COPIES - 1))
+        right = self.df.withColumn("_copy", F.explode(copies))
+        spread = left.withColumn("_copy", F.pmod(F.xxhash64(*rest), F.lit(COPIES)).cast("int"))
+        return spread.join(right, [*on, "_copy"], how)
+
+
+def measured(df: DataFrame) -> Side:
     limit = _setting(df, BROADCAST_ROWS_SETTING, BROADCAST_ROWS_DEFAULT)
     rows, size = df.limit(limit + 1).agg(F.count(F.lit(1)), F.sum(row_bytes(df))).first()
-    return F.broadcast(df) if within_broadcast(df, rows, size) else df
+    return Side(df, within_broadcast(df, rows, size))
 
 
 def attach(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Join a large table with a side that is usually small; its size is measured first."""
-    return left.join(sized(right), on, how)
+    return measured(right).join(left, on, how)
 
 
 def lookup(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     """Left join with one record per key, where a key may own much of the left side.
 
-    The records of the hot keys (at most HOT_KEYS of them) are broadcast to the rows
-    where they lie; only the rest is shuffled.
+    The records of the hot keys (at most HOT_KEYS of them) go to the rows where they
+    lie; only the rest is shuffled by key.
     """
     hot, _ = hot_keys(left, on)
     if hot is None:
         return left.join(right, on, "left")
     hot = F.broadcast(hot)
-    few = F.broadcast(right.join(hot, on, "left_semi"))
+    few = right.join(hot, on, "left_semi")
     cold = left.join(hot, on, "left_anti").join(right, on, "left")
-    return cold.unionByName(left.join(hot, on, "left_semi").join(few, on, "left"))
+    return cold.unionByName(attach(left.join(hot, on, "left_semi"), few, on))
 
 
 def first_rows(cells: DataFrame, n: int, reverse: bool = False) -> DataFrame:
