@@ -65,9 +65,12 @@ def mask_tombstones(typed: DataFrame) -> DataFrame:
     return live
 
 
-def chunk_rows(cells: DataFrame, size: int = MAX_MUTATION_CELLS) -> DataFrame:
-    """Numbers the mutations (``chunk``) a wide row is written in."""
-    placed = ranked(cells, ROW, cell_order(), "_rank")
+def chunk_rows(cells: DataFrame, size: int = MAX_MUTATION_CELLS, hot=None) -> DataFrame:
+    """Numbers the mutations (``chunk``) a wide row is written in.
+
+    ``hot`` may hand in the hot rows of a table the cells were taken from.
+    """
+    placed = ranked(cells, ROW, cell_order(), "_rank", hot)
     return placed.withColumn("chunk", F.floor((F.col("_rank") - 1) / size).cast("bigint")).drop(
         "_rank"
     )

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from cellarium.functions.bytewise import in_time_range
 from cellarium.model import CELL, as_bytes
 from cellarium.operators.filters import Filter, newest
-from cellarium.plans.keyspace import KeySet
+from cellarium.plans.keyspace import KeySet, is_point
+from cellarium.plans.scratch import settle
 from cellarium.plans.skew import attach, first_rows, running
 
 ALL_VERSIONS = None
@@ -65,15 +66,18 @@ def restrict_rows(cells: DataFrame, rows: KeySet) -> DataFrame:
     if len(rows.spans) <= PREDICATE_SPANS:
         return cells.where(rows.test(F.col("row")))
     spark = cells.sparkSession
+    cells = cells.where(KeySet([rows.bounds()]).test(F.col("row")))
+    if all(is_point(span) for span in rows.spans):
+        keys = spark.createDataFrame([(span.start,) for span in rows.spans], "row binary")
+        return attach(cells, keys, ["row"], "left_semi")
+    # The row keys, not the cells, are put between the bounds.
     spans = spark.createDataFrame(
-        [(s.start, s.stop) for s in rows.spans], "span_start binary, span_stop binary"
+        [(span.start, span.stop) for span in rows.spans], "span_start binary, span_stop binary"
     )
-    low = rows.spans[0].start
-    inside = locate(cells.where(F.col("row") >= F.lit(low)), "row", spans)
-    return inside.where(
-        F.col("span_start").isNotNull()
-        & (F.col("span_stop").isNull() | (F.col("row") < F.col("span_stop")))
-    ).select(*cells.columns)
+    placed = locate(cells.select("row").distinct(), "row", spans)
+    inside = F.col("span_stop").isNull() | (F.col("row") < F.col("span_stop"))
+    keys = settle(placed.where(F.col("span_start").isNotNull() & inside).select("row"), "rows")
+    return attach(cells, keys, ["row"], "left_semi")
 
 
 def locate(df: DataFrame, key: str, spans: DataFrame) -> DataFrame:

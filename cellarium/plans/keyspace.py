@@ -91,6 +91,10 @@ class KeySet:
     def __repr__(self) -> str:
         return f"KeySet({self.spans})"
 
+    def bounds(self) -> Span:
+        """The smallest single span around the set."""
+        return Span(self.spans[0].start, self.spans[-1].stop) if self.spans else Span(b"", b"")
+
     def union(self, other: KeySet) -> KeySet:
         return KeySet(self.spans + other.spans)
 
@@ -112,8 +116,12 @@ class KeySet:
         return reduce(lambda a, b: a | b, tests) if tests else F.lit(False)
 
 
+def is_point(span: Span) -> bool:
+    return span.stop == span.start + b"\x00"
+
+
 def _span_test(key: Column, span: Span) -> Column:
-    if span.stop is not None and span.stop == span.start + b"\x00":
+    if is_point(span):
         return key == F.lit(span.start)
     test = key >= F.lit(span.start) if span.start else F.lit(True)
     return test if span.stop is None else test & (key < F.lit(span.stop))

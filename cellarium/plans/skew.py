@@ -99,9 +99,11 @@ def running(
     return cold.unionByName(cut)
 
 
-def ranked(df: DataFrame, keys: list[str], order: list[Column], name: str = "rank") -> DataFrame:
+def ranked(
+    df: DataFrame, keys: list[str], order: list[Column], name: str = "rank", hot=None
+) -> DataFrame:
     """Adds the 1-based position of each row inside its key."""
-    return running(df, keys, order, {name: ("sum", F.lit(1).cast("bigint"))})
+    return running(df, keys, order, {name: ("sum", F.lit(1).cast("bigint"))}, hot)
 
 
 def topmost(

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellarium.model import CELL_SCHEMA, layout
+from cellarium.model import CELL_SCHEMA, ROW, layout
 from cellarium.operators.importing import (
+    MAX_MUTATION_CELLS,
     Limits,
     chunk_rows,
     import_filter,
@@ -18,6 +19,8 @@ from cellarium.operators.importing import (
     size_guards,
 )
 from cellarium.operators.scan import ScanSpec, locate, scan
+from cellarium.plans.scratch import settle
+from cellarium.plans.skew import attach, hot_keys
 
 ALL_VERSIONS = ScanSpec(max_versions=None)
 
@@ -45,13 +48,15 @@ def import_cells(
     row_test=None,
     cell_test=None,
     family_names: dict[str, str] | None = None,
-    chunk: int | None = None,
+    chunk: int = MAX_MUTATION_CELLS,
 ) -> DataFrame:
     """Filter, rename families, hide what delete markers cover, number the mutations."""
+    # Counted on the input, where only the row keys have to be read.
+    hot = hot_keys(typed, ROW)
     kept = import_filter(typed, row_test, cell_test)
     kept = rename_families(kept, family_names or {})
     live = mask_tombstones(kept) if "type" in kept.columns else kept
-    return chunk_rows(live, chunk) if chunk else chunk_rows(live)
+    return chunk_rows(live, chunk, hot)
 
 
 def spread(cells: DataFrame, parts: int) -> DataFrame:
@@ -70,9 +75,8 @@ def write_regions(cells: DataFrame, splits: DataFrame, path: str) -> None:
     """
     rows = cells.select("row").distinct()
     regions = locate(rows, "row", splits.select(F.col("start").alias("span_start")))
-    placed = cells.join(
-        regions.select("row", F.concat(F.lit("from-"), F.hex("span_start")).alias("region")), ["row"]
-    )
+    region = F.concat(F.lit("from-"), F.hex("span_start")).alias("region")
+    placed = attach(cells, settle(regions.select("row", region), "regions"), ROW)
     keys = ["region", "row", "family", "qualifier", F.col("ts").desc()]
     placed.repartitionByRange(*keys).sortWithinPartitions(*keys).write.partitionBy(
         "region"

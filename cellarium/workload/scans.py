@@ -18,7 +18,7 @@ from cellarium.operators.scan import (
     reversed_rows,
     scan,
 )
-from cellarium.plans.keyspace import KeySet
+from cellarium.plans.keyspace import KeySet, Span
 from cellarium.workload.registry import query
 from cellarium.workload.tables import SQL_CELLS, SQL_LATEST, event_cells, table
 
@@ -97,6 +97,20 @@ def scan_row_set_large(spark, sf_dir):
     return text_view(scan(event_cells(spark, sf_dir), rows=rows))
 
 
+@query(
+    "scan_row_set_ranges",
+    HEAD
+    + SHOW
+    + """FROM latest l WHERE EXISTS (SELECT 1 FROM range(9999) r(i)
+  WHERE l.row_key >= printf('u%05d', i*10+2) AND l.row_key < printf('u%05d', i*10+5))""",
+)
+def scan_row_set_ranges(spark, sf_dir):
+    """Ten thousand spans of three neighbouring users each."""
+    starts = range(2, 99_990, 10)
+    rows = KeySet([Span(b"u%05d" % i, b"u%05d" % (i + 3)) for i in starts])
+    return text_view(scan(event_cells(spark, sf_dir), rows=rows))
+
+
 @query("get_row", HEAD + SHOW + "FROM latest WHERE row_key = 'u00011' AND family = 'nav'")
 def get_one(spark, sf_dir):
     return text_view(get_row(event_cells(spark, sf_dir), "u00011", ScanSpec(columns={"nav": None})))
