@@ -34,6 +34,8 @@ HOT_KEYS = 4096
 BROADCAST_ROWS_SETTING = "spark.cellarium.broadcastRows"
 BROADCAST_ROWS_DEFAULT = 100_000
 BROADCAST_BYTES = 32 << 20
+# Up to this many first keys are kept by every task and merged in one.
+ORDERED_KEYS = 100_000
 # Copies of a larger side, each met by a part of every key's rows.
 COPIES = 8
 # Up to this many rows per key every task may ship its own first rows of a hot key.
@@ -304,7 +306,11 @@ def first_rows(cells: DataFrame, n: int, reverse: bool = False) -> DataFrame:
     if n <= 0:
         return cells.where(F.lit(False))
     order = F.col("row").desc() if reverse else F.col("row").asc()
-    keys = cells.select("row").distinct().orderBy(order).limit(n)
+    keys = cells.select("row").distinct()
+    if n <= ORDERED_KEYS:
+        keys = keys.orderBy(order).limit(n)
+    else:
+        keys = ranked(keys, [], [order], "_rank").where(F.col("_rank") <= n)
     if reverse:
         return cells.where(F.col("row") >= keys.agg(F.min("row")).scalar())
     return cells.where(F.col("row") <= keys.agg(F.max("row")).scalar())

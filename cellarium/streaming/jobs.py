@@ -61,38 +61,48 @@ class Copy:
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def _state(self, table: str) -> tuple[DataFrame, DataFrame]:
+    def _state(self, before: int | None) -> tuple[DataFrame, DataFrame]:
+        """Newest base and the log since, all tables in one, up to a micro-batch."""
         bases = self._read("base", _with(BASE_SCHEMA, "upto"))
         upto = bases.agg(F.max("upto")).first()[0]
-        log = self._read("log", _with(LOG_SCHEMA, "batch_id")).where(F.col("table") == table)
-        if upto is None:
-            return bases.drop("upto", "table").limit(0), log
-        base = bases.where((F.col("upto") == upto) & (F.col("table") == table))
-        return base.drop("upto", "table"), log.where(F.col("batch_id") > upto)
+        base = bases.where(F.col("upto") == upto) if upto is not None else bases.limit(0)
+        log = self._read("log", _with(LOG_SCHEMA, "batch_id"))
+        if upto is not None:
+            log = log.where(F.col("batch_id") > upto)
+        if before is not None:
+            log = log.where(F.col("batch_id") < before)
+        return base.drop("upto"), log.drop("batch_id")
 
     def log(self) -> DataFrame:
         return self._read("log", _with(LOG_SCHEMA, "batch_id"))
 
     def read(self, table: str, before: int | None = None) -> DataFrame:
-        """The table now, or as it was before a micro-batch."""
-        base, log = self._state(table)
-        if before is not None:
-            log = log.where(F.col("batch_id") < before)
-        return m.replay(base, log.drop("batch_id", "table"))
+        """One table now, or as it was before a micro-batch."""
+        base, log = (side.where(F.col("table") == table).drop("table") for side in self._state(before))
+        return m.replay(base, log)
+
+    def read_all(self, before: int | None = None) -> DataFrame:
+        """Every table, with ``table``; one replay however many tables there are."""
+        base, log = self._state(before)
+        return split_key(m.replay(table_key(base), table_key(log)))
 
-    def compact(self, tables: list[str], batch_id: int) -> None:
+    def compact(self, batch_id: int) -> None:
         """Folds batches up to ``batch_id`` into a new base; later batches stay log."""
-        for number, table in enumerate(tables):
-            base, log = self._state(table)
-            done = log.where(F.col("batch_id") <= batch_id).drop("batch_id", "table")
-            cells = m.replay(base, done).withColumn("table", F.lit(table))
-            mode = "overwrite" if number == 0 else "append"
-            cells.select("table", *CELL_SCHEMA.fieldNames()).write.mode(mode).parquet(
-                f"{self.path}/next/upto={batch_id}"
-            )
-        # Published in one step, after every table is folded.
-        staged = self.spark.read.schema(BASE_SCHEMA).parquet(f"{self.path}/next/upto={batch_id}")
-        self.start_from(staged, batch_id)
+        self.start_from(self.read_all(before=batch_id + 1), batch_id)
+
+
+def table_key(df: DataFrame) -> DataFrame:
+    """Puts the table in front of the row key, so rows of many tables replay together."""
+    row = F.concat(F.col("table").cast("binary"), F.lit(b"\x00"), F.col("row"))
+    return df.withColumn("row", row).drop("table")
+
+
+def split_key(df: DataFrame) -> DataFrame:
+    bytewise = F.substring_index(F.decode("row", "ISO-8859-1"), "\x00", 1)
+    table = F.encode(bytewise, "ISO-8859-1")
+    return df.withColumn("table", table.cast("string")).withColumn(
+        "row", F.substring(F.col("row"), F.octet_length(table) + 2, F.octet_length("row"))
+    )
 
 
 def _run(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str) -> None:
@@ -244,17 +254,12 @@ def dual_write(
 
 
 def _images(primary: Copy, good: DataFrame, batch_id: int) -> DataFrame:
-    """Results of a batch's increments and appends, table by table.
+    """Results of a batch's increments and appends.
 
     They start from the state before the batch, also when the batch is repeated.
     """
-    out = good.limit(0)
-    names = good.where(F.col("op").isin(m.INCREMENT, m.APPEND)).select("table").distinct()
-    for found in names.collect():
-        log = good.where(F.col("table") == found["table"]).drop("table")
-        images = m.after_images(primary.read(found["table"], batch_id), log)
-        out = out.unionByName(images.withColumn("table", F.lit(found["table"])))
-    return out
+    base = table_key(primary.read_all(before=batch_id))
+    return split_key(m.after_images(base, table_key(good))).select(*good.columns)
 
 
 # ---- counters ---------------------------------------------------------------

@@ -3,11 +3,12 @@ from __future__ import annotations
 import random
 from itertools import groupby
 
+import pytest
 from pyspark.sql import functions as F
 
 from cellarium.operators.filters import All, ColumnValue, FirstCells, Value
 from cellarium.operators.scan import locate
-from cellarium.plans import scratch
+from cellarium.plans import scratch, skew
 from cellarium.plans.skew import (
     BROADCAST_ROWS_SETTING,
     HOT_ROWS_SETTING,
@@ -126,7 +127,9 @@ def test_hot_keys_are_counted(spark):
     assert [r.k for r in hot.collect()] == ["hot"] and pieces == 2
 
 
-def test_first_rows(spark, make_cells, listed):
+@pytest.mark.parametrize("ordered_keys", [100_000, 0])
+def test_first_rows(spark, make_cells, listed, ordered_keys, monkeypatch):
+    monkeypatch.setattr(skew, "ORDERED_KEYS", ordered_keys)
     cells = make_cells([(f"r{i}", "f", "q", t, "v") for i in range(6) for t in range(3)])
     assert {c[0] for c in listed(first_rows(cells, 2))} == {"r0", "r1"}
     assert {c[0] for c in listed(first_rows(cells, 2, reverse=True))} == {"r5", "r4"}
