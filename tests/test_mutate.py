@@ -221,3 +221,17 @@ def test_chained_checks(skewed, make_cells, make_log, seed):
     flags, applied = check_and_mutate(base, checks_of(skewed, rows), make_log(log), now=50)
     assert {r.seq: r.applied for r in flags.collect()} == want
     assert {r.seq for r in applied.collect()} == {s for s, yes in want.items() if yes}
+
+
+def test_rows_the_log_does_not_name_are_not_shuffled(spark, make_cells, make_log, tmp_path):
+    path = str(tmp_path / "base")
+    make_cells([(f"r{i}", "f", "q", 1, "v") for i in range(20)]).write.parquet(path)
+    log = make_log([{"row": "r1", "family": "f", "qualifier": "q", "ts": 2, "value": "w", "seq": 1, "op": m.PUT}])
+    out = m.replay(spark.read.parquet(path), log)
+    assert out.count() == 21
+    plan = out._jdf.queryExecution().toString()
+    physical = plan[plan.index("== Physical Plan") :]
+    passed_through = physical[: physical.index("LeftSemi")]
+    assert "BroadcastHashJoin" in passed_through and "LeftAnti" in passed_through
+    above = passed_through[: passed_through.index("LeftAnti")]
+    assert "Exchange" not in above
