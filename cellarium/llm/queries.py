@@ -7,8 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellarium.llm import token_store
-from cellarium.llm.common import table
+from cellarium.llm import (
+    decontaminate,
+    html_text,
+    langid,
+    mixing,
+    quality,
+    secret_scan,
+    simhash,
+    token_store,
+)
+from cellarium.llm.common import id_number, table
 from cellarium.plans.scratch import new_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -29,8 +38,57 @@ def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_number(F.col("doc_id")) % 4 == 2
+    model = langid.learn(docs.where(~held_out))
+    found = langid.predict(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    judged = quality.judge(docs, carry=["doc_id", "lang", "source"])
+    return judged.select(
+        F.col("_doc.doc_id").alias("doc_id"), *quality.STATS, "base_failed", "kept", "distance"
+    )
+
+
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.take(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return mixed.select(
+        F.col("_doc.doc_id").alias("doc_id"), "size", "source_size", "target", "taken", "shard"
+    )
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.classes(table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.overlaps(docs, benchmark)
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.spans(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
     "op3_token_store": op3_token_store,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_html_extraction": op5_html_extraction,
+    "op6_mixing": op6_mixing,
+    "op7_simhash": op7_simhash,
+    "op8_decontamination": op8_decontamination,
+    "op9_secret_scan": op9_secret_scan,
 }
 
 ORACLES: dict[str, str] = {}
