@@ -17,6 +17,7 @@ agrees by chance (2**-32).
 
 from __future__ import annotations
 
+import array
 import functools
 import zlib
 from collections.abc import Iterator
@@ -33,7 +34,7 @@ from cellarium.llm.common import batches, mix
 END_ID = 1
 BLOCK_IDS = 1 << 18  # a block is closed once it has so many ids
 BUCKET_KEYS = 20_000  # keys of an index bucket, on average
-CACHED_WORDS = 400_000  # words whose ids a task remembers
+CACHED_WORDS = 150_000  # words of a generation whose ids a task remembers
 LEVELS = 24
 SPREAD = 2.0  # bits of a level per key still without one
 
@@ -50,12 +51,24 @@ DOCUMENTS = (
 )
 
 
+# The byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on.
+PLAIN_BYTES = [b for b in range(256) if 0x21 <= b <= 0x7E or (0xA1 <= b and b != 0xAD)]
+LETTERS = {
+    b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in set(PLAIN_BYTES))
+}
+
+
 class WordIds(dict):
     """Packed ids by word.
 
     Words here are runs between ASCII white space.  The tokenizer drops white space before it
     looks at pieces, and no piece, normalization or merge reaches over it, so a text's ids
-    are those of its words, one after the other.
+    are those of its words, one after the other.  A comma or full stop after a letter or digit is a
+    piece of its own, and letter case is dropped, so such words are put together from known ones.
+    A word of Latin letters is one piece that normalization leaves alone, and goes to the
+    tokenizer's model directly; any other word goes through all of the tokenizer.
+
+    The words met lately are kept, in two generations: a full one becomes the old one.
     """
 
     def __init__(self, path: str):
@@ -63,15 +76,30 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.old: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        packed = np.array(ids, dtype="<u4").tobytes()
+        packed = self.old.get(word)
+        if packed is None:
+            packed = self._encode(word)
         if len(self) >= CACHED_WORDS:
+            self.old = dict(self)
             self.clear()
         self[word] = packed
         return packed
 
+    def _encode(self, word: bytes) -> bytes:
+        if word[-1] in b".," and word[-2:-1].isalnum():
+            return self[word[:-1]] + self[word[-1:]]
+        if b"<|" not in word and word.lower() != word:
+            return self[word.lower()]
+        text = word.decode()
+        if text.isalpha() and max(text) < "\u0250" and text.islower() and text.lower() == text:
+            pieces = word.decode("latin-1").translate(LETTERS)
+            return array.array("I", [t.id for t in self.model.tokenize(pieces)]).tobytes()
+        return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
 
 @functools.lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
