@@ -12,9 +12,11 @@ from cellarium.llm import (
     html_text,
     langid,
     mixing,
+    ppm,
     quality,
     secret_scan,
     simhash,
+    substrings,
     token_store,
 )
 from cellarium.llm.common import id_number, table
@@ -38,6 +40,11 @@ def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return ppm.score(docs, id_number(F.col("doc_id")) % 10 == 0)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = id_number(F.col("doc_id")) % 4 == 2
@@ -80,7 +87,20 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.spans(table(spark, sf_dir, "documents")))
 
 
+def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.repeats(table(spark, sf_dir, "documents"), keep="none")
+    length = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        length.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        "kept_sha256",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_language_id": op2_language_id,
     "op3_token_store": op3_token_store,
     "op4_quality_rules": op4_quality_rules,
@@ -89,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_simhash": op7_simhash,
     "op8_decontamination": op8_decontamination,
     "op9_secret_scan": op9_secret_scan,
+    "op10_repeated_substrings": op10_repeated_substrings,
 }
 
 ORACLES: dict[str, str] = {}
