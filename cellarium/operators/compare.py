@@ -76,18 +76,18 @@ def range_bounds(ranges: DataFrame) -> DataFrame:
 def sync_ranges(ranges: DataFrame, target: DataFrame) -> DataFrame:
     """Hashes the target over the source's ranges; ``matches`` is the verdict.
 
-    A range without target rows does not match.
+    A range without target rows does not match, nor one with another number of cells.
     """
-    rows = row_digests(target, exact=True).select("row", *LANES)
+    rows = row_digests(target, exact=True).select("row", "cells", *LANES)
     spans = ranges.select(F.col("start").alias("span_start"))
     found = locate(rows, "row", spans).where(F.col("span_start").isNotNull())
     theirs = found.groupBy(F.col("span_start").alias("start")).agg(
-        *[F.bit_xor(name).alias(name) for name in LANES]
-    )
-    theirs = theirs.select("start", digest_text().alias("target_hash"))
-    return ranges.join(theirs, ["start"], "left").withColumn(
-        "matches", F.col("hash").eqNullSafe(F.col("target_hash"))
+        F.sum("cells").alias("_cells"), *[F.bit_xor(name).alias(name) for name in LANES]
     )
+    theirs = theirs.select("start", "_cells", digest_text().alias("target_hash"))
+    # Equal cells cancel in a digest, so their number is compared too.
+    same = F.col("hash").eqNullSafe(F.col("target_hash")) & F.col("cells").eqNullSafe(F.col("_cells"))
+    return ranges.join(theirs, ["start"], "left").withColumn("matches", same).drop("_cells")
 
 
 def sync_counts(synced: DataFrame) -> DataFrame:

@@ -7,11 +7,23 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellarium.model import CELL, COLUMN, LATEST
+from cellarium.model import CELL, COLUMN, LATEST, ROW
 from cellarium.operators.filters import COMPARE, newest
-from cellarium.operators.mutate import BASE_SEQ, COVERING, PUT, as_log, only
+from cellarium.operators.mutate import (
+    APPEND,
+    BASE_SEQ,
+    COVERING,
+    DELETE_COLUMN_TO,
+    DELETE_VERSION,
+    INCREMENT,
+    MAX_CELL_BYTES,
+    PUT,
+    as_log,
+    only,
+)
+from cellarium.operators.sequential import row_pass
 from cellarium.plans.scratch import settle
-from cellarium.plans.skew import attach, hot_keys, last_before
+from cellarium.plans.skew import attach, hot_keys, last_before, measured, running
 
 # Columns of a check.  ``expected`` NULL or empty asks for absence, or for presence
 # with "!=".  The time range is tested on the newest version.
@@ -41,6 +53,20 @@ def passes(op: Column, expected: Column, value: Column, ts: Column, start: Colum
     )
 
 
+def holds(check: tuple, ts: int | None, stored: bytes | None) -> bool:
+    """``passes`` for one check (op, expected, not_before, before) in an ordered pass."""
+    op, expected, start, stop = check
+    in_time = stored is not None and ts >= (start or 0) and (stop in (None, LATEST) or ts < stop)
+    if not expected:
+        return in_time == (op == "!=")
+    compare = {
+        "=": expected == stored, "!=": expected != stored,
+        "<": in_time and expected < stored, "<=": in_time and expected <= stored,
+        ">": in_time and expected > stored, ">=": in_time and expected >= stored,
+    }
+    return in_time and compare.get(op, False)
+
+
 def check_and_mutate(
     base: DataFrame, checks: DataFrame, mutations: DataFrame, now: int
 ) -> tuple[DataFrame, DataFrame]:
@@ -48,10 +74,12 @@ def check_and_mutate(
 
     ``mutations`` carry the seq of their check, and must stay in its row.  Puts
     without a timestamp get ``now``.  Checks of a row see what earlier checks of the
-    batch changed.  That chain is resolved for all rows at once: every check is
-    judged against the state the current answers imply, until no answer changes.
-    After round k the first k checks of each chain are right, so the answers at
-    rest are the ones a one-by-one run gives; independent checks need one round.
+    batch changed, and each reads the newest version of its column at its place in the order.
+
+    A row's checks are judged in one ordered pass, whatever their mutations are.  Hot rows with puts and
+    covering deletes only don't fit one task: for those the chain is resolved for all checks at
+    once, judged against the state the current answers imply, until no answer changes.  After round k the
+    first k checks of each chain are right, so the answers at rest are those of a one-by-one run.
     """
     moved = mutations.alias("m").join(
         checks.select("seq", F.col("row").alias("_row")), ["seq"]
@@ -59,9 +87,54 @@ def check_and_mutate(
     if not moved.isEmpty():
         raise ValueError("a conditional mutation must stay in the checked row")
     mutations = mutations.withColumn("ts", F.coalesce("ts", F.lit(now).cast("bigint")))
+    if "amount" not in mutations.columns:
+        mutations = mutations.withColumn("amount", F.lit(None).cast("bigint"))
+    hot, _ = hot_keys(checks.select(*ROW).unionAll(mutations.select(*ROW)), ROW)
+    if hot is None:
+        flags = settle(_in_order(base, checks, mutations), "checks")
+    else:
+        mixed = only(mutations, INCREMENT, APPEND, DELETE_COLUMN_TO, DELETE_VERSION).select(*ROW)
+        plain = measured(settle(hot.join(mixed, ROW, "left_anti"), "hot"))
+        apart = [
+            [plain.join(df, ROW, how) for df in (base.select(*CELL), checks, mutations)]
+            for how in ("left_anti", "left_semi")
+        ]
+        flags = settle(_in_order(*apart[0]).unionByName(_at_rest(*apart[1])), "checks")
+    accepted = flags.where("applied").select("seq")
+    return flags, mutations.join(accepted, ["seq"], "left_semi")
+
+
+def _in_order(base: DataFrame, checks: DataFrame, mutations: DataFrame) -> DataFrame:
+    """One pass over the checks and mutations of each row; only columns that are read are kept."""
+    none = F.lit(None)
+    read = checks.select(*COLUMN).unionAll(only(mutations, INCREMENT, APPEND).select(*COLUMN)).distinct()
+    stored = attach(base.select(*CELL), read, COLUMN, "left_semi")
+    fields = ["row", "seq", "kind", "family", "qualifier", "op", "ts", "value", "amount",
+              "expected", "not_before", "before"]
+
+    def event(df: DataFrame, kind, place, **known) -> DataFrame:
+        types = {"family": "string", "qualifier": "binary", "op": "string", "ts": "bigint",
+                 "value": "binary", "amount": "bigint", "expected": "binary",
+                 "not_before": "bigint", "before": "bigint"}
+        blank = {k: none.cast(t) for k, t in types.items() if k not in df.columns and k not in known}
+        return df.withColumns({"kind": F.lit(kind), "_place": place, **known, **blank}).select(*fields, "_place")
+
+    # As in a replay, a delete also covers what its own seq puts.
+    by_kind = F.when(F.col("op").startswith("DELETE"), 4).when(F.col("op") == PUT, 2).otherwise(3)
+    events = (
+        event(as_log(stored), "stored", F.lit(0), op=F.lit(PUT))
+        .unionByName(event(checks, "check", F.lit(1)))
+        .unionByName(event(mutations, "mutation", by_kind))
+    )
+    ordered = events.repartition("row").sortWithinPartitions("row", "seq", "_place", "ts").drop("_place")
+    seq = checks.schema["seq"].dataType.simpleString()
+    return ordered.mapInArrow(row_pass(holds, MAX_CELL_BYTES), f"seq {seq}, applied boolean")
+
+
+def _at_rest(base: DataFrame, checks: DataFrame, mutations: DataFrame) -> DataFrame:
     columns = checks.select(*COLUMN).distinct()
     stored = settle(as_log(newest(attach(base.select(*CELL), columns, COLUMN, "left_semi"))), "checked")
-    scopes = {PUT: COLUMN} | {
+    scopes = {
         found["op"]: COVERING[found["op"]]
         for found in mutations.where(F.col("op").isin(*COVERING)).select("op").distinct().collect()
     }
@@ -77,29 +150,41 @@ def check_and_mutate(
         before = flags.select("seq", F.col("applied").alias("_was"))
         answers = _judge(checks, stored, applied, scopes, hot)
         flags = settle(answers.join(before, ["seq"]), "checks")
-    accepted = flags.where("applied").select("seq")
-    return flags.select("seq", "applied"), mutations.join(accepted, ["seq"], "left_semi")
+    return flags.select("seq", "applied")
 
 
 def _judge(checks, stored, applied, scopes, hot) -> DataFrame:
-    """Answers of all checks, if exactly ``applied`` were the mutations that apply."""
+    """Answers of all checks, if exactly ``applied`` were the mutations that apply.
+
+    The newest version is the running maximum of (ts, seq) since the last covering delete.
+    """
+    none = F.lit(None)
+    rest = [c for c in checks.columns if c not in (*COLUMN, "seq")]
+    asked = checks.withColumn("_check", F.struct(F.lit(True).alias("_asked"), *rest)).drop(*rest)
+    asked = asked.withColumn("ts", none.cast("bigint")).withColumn("value", none.cast("binary"))
     puts = stored.unionByName(only(applied, PUT).select(*CELL, "seq"))
-    event = F.struct("seq", "ts", "value").alias("_event")
-    state = last_before(checks, puts.select(*COLUMN, "seq", event), COLUMN, "_put", hot[PUT])
-    gone = F.lit(BASE_SEQ - 1).cast("bigint")
+    puts = puts.withColumn("_check", none.cast(asked.schema["_check"].dataType))
+    events, gone = asked.unionByName(puts.select(*asked.columns)), []
     for op, scope in scopes.items():
-        if op != PUT:
-            marks = only(applied, op).select(*scope, "seq", F.struct("seq").alias("_event"))
-            state = last_before(state, marks, scope, f"_{op.lower()}", hot[op])
-            gone = F.greatest(gone, F.col(f"_{op.lower()}.seq"))
+        gone.append(f"_{op.lower()}")
+        marks = only(applied, op).select(*scope, "seq", F.struct("seq").alias("_event"))
+        events = last_before(events, marks, scope, gone[-1], hot[op])
+    never = F.lit(BASE_SEQ - 1).cast("bigint")
+    cover = F.greatest(never, never, *[F.col(f"{name}.seq") for name in gone])
+    events = events.withColumn("_cover", cover).drop(*gone)
+    version = F.when(F.col("ts").isNotNull(), F.struct("ts", "seq", "value"))
+    # A check comes before the mutations of its own seq.
+    order = [F.col("seq").asc(), F.col("_check").isNull().asc()]
+    state = running(events, [*COLUMN, "_cover"], order, {"_newest": ("max", version)})
+    state = state.where(F.col("_check").isNotNull())
     return state.select(
         "seq",
         passes(
-            F.col("op"),
-            F.col("expected"),
-            F.when(F.col("_put.seq") > gone, F.col("_put.value")),
-            F.col("_put.ts"),
-            F.col("not_before"),
-            F.col("before"),
+            F.col("_check.op"),
+            F.col("_check.expected"),
+            F.col("_newest.value"),
+            F.col("_newest.ts"),
+            F.col("_check.not_before"),
+            F.col("_check.before"),
         ).alias("applied"),
     )

@@ -3,29 +3,28 @@
 A mutation log has the cell columns plus ``seq`` (the order of application), ``op``
 and, for increments, ``amount``.  Nothing is folded row by row: what a mutation does
 to a cell depends only on the *last* delete that covers it, the last put of the same
-version, or a sum after the last reset, so each of those is an aggregate on its own
-scope.
+version, or a sum since its column's newest put, so each of those is an aggregate on its own
+scope.  The exceptions are walked in order (``operators.sequential``).
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellarium.functions.bytewise import bytes_to_long, long_to_bytes, put_cell_size
 from cellarium.model import CELL, COLUMN, FAMILY, LATEST, ROW, VERSION
 from cellarium.operators.filters import newest
+from cellarium.operators.sequential import column_pass
 from cellarium.plans.keyspace import KeySet
 from cellarium.plans.scratch import settle
 from cellarium.plans.skew import (
     Side,
     attach,
+    hot_keys,
     last_before,
     lookup,
     measured,
-    ranked,
     row_bytes,
     running,
     topmost,
@@ -48,9 +47,6 @@ COVERING = {DELETE_ROW: ROW, DELETE_FAMILY: FAMILY, DELETE_COLUMN: COLUMN}
 BASE_SEQ = -1
 LOG = [*CELL, "seq", "op", "amount"]
 MAX_CELL_BYTES = 100 << 20
-# Pieces of an append one task joins at once.
-APPEND_PIECES = 100_000
-
 
 SCOPES = {**COVERING, DELETE_COLUMN_TO: VERSION, DELETE_VERSION: VERSION}
 
@@ -202,126 +198,129 @@ def by_op(log: DataFrame) -> DataFrame:
     return settle(log.select(*LOG), "log", by="op")
 
 
-def _since_reset(base: DataFrame, log: DataFrame, marks: Marks, *ops: str) -> DataFrame:
-    """Operations after the last reset of their column, with the value they start from.
+def read_modify_write(
+    base: DataFrame, log: DataFrame, marks: Marks | None = None, max_bytes: int = MAX_CELL_BYTES
+) -> DataFrame:
+    """What every increment and append does: column, seq, op, ts, value, or ``error``.
 
-    A covering delete resets to nothing; a put resets to its value; before any of
-    them stands the newest version of the base table.
+    Each reads the newest version of its column at its place in the order, and writes its
+    result at its own timestamp, or at the newest one if that is later.  Columns with
+    increments only are running sums between the puts that became newest; a column where appends, deletes
+    by timestamp or values that are no counters occur is walked in order.
     """
-    work = last_cover(only(log, *ops), marks)
-    columns = measured(only(log, *ops).select(*COLUMN).distinct())
-    stored = newest(columns.join(base.select(*CELL), COLUMN, "left_semi"))
-    put = columns.join(only(log, PUT).select(*CELL, "seq"), COLUMN, "left_semi")
-    last = as_log(stored).unionByName(put).groupBy(*COLUMN).agg(
-        F.max("seq").alias("_start_seq"), F.max_by("value", "seq").alias("_start")
+    marks = Marks(log) if marks is None else marks
+    ops = only(log, INCREMENT, APPEND)
+    columns = measured(ops.groupBy(*COLUMN).agg(F.max(F.col("op") == APPEND).alias("_append")))
+    stored = columns.join(base.select(*CELL), COLUMN, "left_semi")
+    puts = columns.join(only(log, PUT).select(*CELL, "seq"), COLUMN, "left_semi")
+    odd_value = F.octet_length("value") != 8
+    walked = (
+        columns.df.where("_append").select(*COLUMN)
+        .unionByName(only(marks.table, DELETE_COLUMN_TO, DELETE_VERSION).select(*COLUMN))
+        .unionByName(stored.where(odd_value).select(*COLUMN))
+        .unionByName(puts.where(odd_value).select(*COLUMN))
+    )
+    walked = measured(settle(columns.join(walked, COLUMN, "left_semi").distinct(), "walked"))
+
+    def part(df: DataFrame, how: str) -> DataFrame:
+        return walked.join(df, COLUMN, how)
+
+    summed = _sums(
+        newest(part(stored, "left_anti")), part(puts, "left_anti"), part(ops, "left_anti"), marks, log
     )
-    work = lookup(work, last, COLUMN)
-    cover, start = F.col("_cover"), F.col("_start_seq")
-    from_put = start.isNotNull() & (cover.isNull() | (start > cover))
-    return work.where(F.col("seq") > F.coalesce(F.greatest(cover, start), F.lit(BASE_SEQ))).select(
-        *log.columns, F.when(from_put, F.col("_start")).alias("_start")
+    passed = _walk(
+        part(stored, "left_semi"), part(puts, "left_semi"), part(ops, "left_semi"), walked, log, max_bytes
     )
+    return summed.unionByName(passed)
 
 
-def increments(base: DataFrame, log: DataFrame) -> DataFrame:
-    """After-images of counters: one put per incremented column."""
-    log = by_op(log)
-    return _add_up(_since_reset(base, log, Marks(log), INCREMENT))
+def _sums(stored, puts, ops, marks: Marks, log: DataFrame) -> DataFrame:
+    """Increments of columns that hold counters only and lose them to covering deletes only."""
+    none = F.lit(None)
+    number, own = bytes_to_long(F.col("value")).alias("put"), [*COLUMN, "seq", "ts"]
+    events = as_log(stored).select(*own, number).unionByName(puts.select(*own, number))
+    events = events.withColumn("amount", none.cast("bigint")).unionByName(
+        ops.select(*own, none.cast("bigint").alias("put"), "amount")
+    )
+    covers = []
+    for op, scope in COVERING.items():
+        if op in marks:
+            covers.append(f"_{op.lower()}")
+            deletes = only(log, op).select(*scope, "seq", F.struct("seq").alias("_event"))
+            events = last_before(events, deletes, scope, covers[-1])
+    never = F.lit(BASE_SEQ - 1).cast("bigint")
+    cover = F.greatest(never, never, *[F.col(f"{name}.seq") for name in covers])
+    events = settle(events.withColumn("_cover", cover).drop(*covers), "events")
+    keys, order = [*COLUMN, "_cover"], [F.col("seq").asc()]
+    hot = hot_keys(events, keys)
+    totals = running(
+        events, keys, order,
+        {"_top": ("max", F.col("ts"), False), "_sum": ("sum", F.col("amount"))}, hot,
+    )
+    # A put that is older than the newest version is no start for later increments.
+    leads = F.col("put").isNotNull() & (F.col("_top").isNull() | (F.col("ts") >= F.col("_top")))
+    start = F.when(leads, F.struct("put", "_sum"))
+    placed = running(totals, keys, order, {"_start": ("last", start)}, hot)
+    value = (
+        F.coalesce(F.col("_start.put"), F.lit(0))
+        + F.col("_sum")
+        - F.coalesce(F.col("_start._sum"), F.lit(0))
+    )
+    return placed.where(F.col("amount").isNotNull()).select(
+        *COLUMN, "seq", F.lit(INCREMENT).alias("op"), F.greatest("ts", "_top").alias("ts"),
+        long_to_bytes(value).alias("value"), none.cast("string").alias("error"),
+    )
 
 
-def _add_up(work: DataFrame) -> DataFrame:
-    start = F.coalesce(bytes_to_long(F.max("_start")), F.lit(0))
-    return work.groupBy(*COLUMN).agg(
-        F.max("ts").alias("ts"),
-        long_to_bytes(start + F.sum("amount")).alias("value"),
-        F.max("seq").alias("seq"),
+def _walk(stored, puts, ops, walked: Side, log: DataFrame, max_bytes: int) -> DataFrame:
+    none = F.lit(None)
+    fields = [*COLUMN, "seq", "op", "ts", "value", "amount"]
+    no_amount = none.cast("bigint").alias("amount")
+    events = as_log(stored).unionByName(puts.select(*CELL, "seq"))
+    events = events.withColumn("op", F.lit(PUT)).withColumn("amount", no_amount).select(*fields)
+    events = events.unionByName(ops.select(*fields))
+    for op, scope in SCOPES.items():
+        scope = [c for c in scope if c in COLUMN]
+        # Each delete is copied to the walked columns of its scope only.
+        deletes = only(log, op).select(*scope, "seq", "op", "ts")
+        met = walked.df.select(*COLUMN).join(deletes, scope)
+        events = events.unionByName(
+            met.withColumn("value", none.cast("binary")).withColumn("amount", no_amount).select(*fields)
+        )
+    sorted_events = events.repartition(*COLUMN).sortWithinPartitions(*COLUMN, "seq", "ts")
+    seq = log.schema["seq"].dataType.simpleString()
+    schema = (
+        "row binary, family string, qualifier binary, "
+        f"seq {seq}, op string, ts bigint, value binary, error string"
     )
+    return sorted_events.mapInArrow(column_pass(max_bytes), schema)
 
 
-def running_increments(base: DataFrame, log: DataFrame) -> DataFrame:
-    """The value each increment returns to its caller.
+def _written(results: DataFrame) -> DataFrame:
+    return results.where("error IS NULL").select(*CELL, "seq")
 
-    Resets cut the history of a column into segments; inside one it is a running sum.
-    """
-    work = only(log, INCREMENT).select(*COLUMN, "seq", "amount")
-    columns = measured(work.select(*COLUMN).distinct())
-    stored = newest(columns.join(base.select(*CELL), COLUMN, "left_semi"))
-    put = columns.join(only(log, PUT).select(*CELL, "seq"), COLUMN, "left_semi")
-    event = F.struct("seq", "value").alias("_event")
-    work = last_before(
-        work, as_log(stored).unionByName(put).select(*COLUMN, "seq", event), COLUMN, "_put"
-    )
-    cuts = []
-    for found in log.where(F.col("op").isin(*COVERING)).select("op").distinct().collect():
-        op, name = found["op"], f"_{found['op'].lower()}"
-        events = only(log, op).select(*COVERING[op], "seq", F.struct("seq").alias("_event"))
-        work = last_before(work, events, COVERING[op], name)
-        cuts.append(F.col(f"{name}.seq"))
-    never = F.lit(BASE_SEQ - 1).cast("bigint")
-    cover = F.greatest(never, never, *cuts)
-    from_put = F.coalesce(F.col("_put.seq") > cover, F.lit(False))
-    work = work.select(
-        *COLUMN,
-        "seq",
-        "amount",
-        F.when(from_put, F.col("_put.seq")).otherwise(cover).alias("_segment"),
-        F.when(from_put, bytes_to_long(F.col("_put.value"))).otherwise(0).alias("_start"),
-    )
-    total = running(
-        work, [*COLUMN, "_segment"], [F.col("seq").asc()], {"_sum": ("sum", F.col("amount"))}
-    )
-    return total.select("seq", *COLUMN, (F.col("_start") + F.col("_sum")).alias("result"))
 
-
-def appends(base: DataFrame, log: DataFrame, max_bytes: int = MAX_CELL_BYTES) -> DataFrame:
-    """After-images of appended columns: start value and pieces joined in order."""
+def increments(base: DataFrame, log: DataFrame) -> DataFrame:
+    """After-images of counters: the put that each increment amounts to."""
     log = by_op(log)
-    work = _since_reset(base, log, Marks(log), APPEND)
-    return _join_up(settle(work, "appends"), max_bytes)
+    return _written(only(read_modify_write(base, log), INCREMENT))
+
 
+def appends(base: DataFrame, log: DataFrame, max_bytes: int = MAX_CELL_BYTES) -> DataFrame:
+    """After-images of appended columns: the put that each append amounts to.
 
-def _join_up(work: DataFrame, max_bytes: int = MAX_CELL_BYTES) -> DataFrame:
-    """The result is one cell, so its size is measured first.  Where a column has very
-    many pieces they are joined in short runs and then run by run.
+    One that would make a cell larger than ``max_bytes`` writes nothing.
     """
-    length = F.sum(F.octet_length("value").cast("bigint")) + F.coalesce(
-        F.octet_length(F.max("_start")), F.lit(0)
-    )
-    per_column = work.groupBy(*COLUMN).agg(length.alias("bytes"), F.count(F.lit(1)).alias("pieces"))
-    most = per_column.agg(F.max("bytes").alias("bytes"), F.max("pieces").alias("pieces")).first()
-    if (most["bytes"] or 0) > max_bytes:
-        raise ValueError(f"an appended cell would exceed {max_bytes} bytes")
-    ends = F.max("ts").alias("ts"), F.max("seq").alias("seq"), F.max("_start").alias("_start")
-    if (most["pieces"] or 0) <= APPEND_PIECES:
-        whole = work.groupBy(*COLUMN).agg(*ends, _joined("seq", "value").alias("_tail"))
-    else:
-        placed = ranked(work, COLUMN, [F.col("seq").asc()], "_at")
-        runs_of = F.floor((F.col("_at") - 1) / APPEND_PIECES).alias("_run")
-        pieces = placed.groupBy(*COLUMN, runs_of).agg(*ends, _joined("_at", "value").alias("_piece"))
-        whole = pieces.groupBy(*COLUMN).agg(*ends, _joined("_run", "_piece").alias("_tail"))
-    empty = F.lit(b"")
-    value = F.concat(F.coalesce("_start", empty), F.coalesce("_tail", empty))
-    return whole.select(*COLUMN, "ts", value.alias("value"), "seq")
-
-
-def _joined(place: str, value: str) -> Column:
-    items = F.array_sort(F.collect_list(F.struct(place, value)))
-    return F.aggregate(items, F.lit(b""), lambda so_far, item: F.concat(so_far, item[value]))
+    log = by_op(log)
+    return _written(only(read_modify_write(base, log, max_bytes=max_bytes), APPEND))
 
 
 def after_images(base: DataFrame, log: DataFrame) -> DataFrame:
     """Increments and appends as the puts a second copy of the table needs."""
-    log = by_op(log)
-    both = _after_images(base, log, Marks(log))
+    both = _written(read_modify_write(base, by_op(log)))
     return both.withColumn("op", F.lit(PUT)).withColumn("amount", F.lit(None).cast("bigint"))
 
 
-def _after_images(base: DataFrame, log: DataFrame, marks: Marks) -> DataFrame:
-    work = settle(_since_reset(base, log, marks, INCREMENT, APPEND), "work", by="op")
-    sums, joins = _add_up(only(work, INCREMENT)), _join_up(only(work, APPEND))
-    return sums.unionByName(joins).select(*CELL, "seq")
-
-
 # ---- replay -----------------------------------------------------------------
 
 
@@ -338,7 +337,7 @@ def replay(base: DataFrame, log: DataFrame) -> DataFrame:
     untouched = rows.join(base.select(*CELL), ROW, "left_anti")
     puts = as_log(touched).unionByName(only(log, PUT).select(*CELL, "seq"))
     if not only(log, INCREMENT, APPEND).isEmpty():
-        puts = puts.unionByName(_after_images(touched, log, marks))
+        puts = puts.unionByName(_written(read_modify_write(touched, log, marks)))
     return untouched.unionByName(survivors(last_writes(puts), marks).select(*CELL))
 
 
@@ -406,21 +405,30 @@ def checked(log: DataFrame, max_put_bytes: int = MAX_CELL_BYTES) -> tuple[DataFr
     return judged.where("error IS NULL").drop("error"), judged.where("error IS NOT NULL")
 
 
-def batch_results(base: DataFrame, log: DataFrame, max_put_bytes: int = MAX_CELL_BYTES) -> DataFrame:
-    """One outcome per action: ok, error, and the result of gets and increments.
+def batch_results(
+    base: DataFrame,
+    log: DataFrame,
+    max_put_bytes: int = MAX_CELL_BYTES,
+    max_bytes: int = MAX_CELL_BYTES,
+) -> DataFrame:
+    """One outcome per action: ok, error, and the result of gets, increments and appends.
 
-    Gets read the table as it was before the batch.
+    Gets read the table as it was before the batch.  An increment of a value that is no
+    counter, or an append past ``max_bytes``, fails alone.
     """
     good, _ = checked(log, max_put_bytes)
     asked = only(good, GET).select("seq", *COLUMN)
     wanted = asked.select(*COLUMN).distinct()
     stored = newest(attach(base.select(*CELL), wanted, COLUMN, "left_semi"))
     got = lookup(asked, stored.select(*COLUMN, "value"), COLUMN).select("seq", "value")
-    counted = running_increments(base, good).select("seq", long_to_bytes(F.col("result")).alias("value"))
-    results = got.unionByName(counted).withColumnRenamed("value", "result")
-    judged = log.select("seq", "op", problem(max_put_bytes).alias("error"))
+    done = read_modify_write(base, by_op(good), max_bytes=max_bytes).select("seq", "value", "error")
+    results = got.withColumn("error", F.lit(None).cast("string")).unionByName(done).select(
+        "seq", F.col("value").alias("result"), F.col("error").alias("_failed")
+    )
+    judged = log.select("seq", "op", problem(max_put_bytes).alias("_refused"))
+    error = F.coalesce("_refused", "_failed")
     return judged.join(results, ["seq"], "left").select(
-        "seq", "op", F.col("error").isNull().alias("ok"), "error", "result"
+        "seq", "op", error.isNull().alias("ok"), error.alias("error"), "result"
     )
 
 
@@ -436,20 +444,33 @@ def apply_retention(
     time to live and (if min versions is set) also beyond min versions.  Families
     without a rule keep everything.
     """
-    out = [cells.where(~F.col("family").isin(*rules))] if rules else [cells]
-    for family, (most, least, ttl) in rules.items():
+    if not rules:
+        return cells
+    for most, least, _ in rules.values():
         if least is not None and most is not None and least >= most:
             raise ValueError("min versions must be less than max versions")
-        part = cells.where(F.col("family") == family)
-        newest_first = [F.col("ts").desc()]
-        young = F.lit(True) if ttl is None else F.col("ts") >= now - ttl
-        if most is not None:
-            part = topmost(part, COLUMN, newest_first, most, "_rank")
-            spared = F.col("_rank") <= least if least and ttl is not None else F.lit(False)
-            out.append(part.where(young | spared).drop("_rank"))
-        else:
-            out.append(part.where(young))
-            if least and ttl is not None:
-                kept = topmost(part, COLUMN, newest_first, least, "_rank")
-                out.append(kept.where(~young).drop("_rank"))
-    return reduce(DataFrame.unionByName, out)
+
+    def ruled(rule) -> Column:
+        """The rule of a cell's family; NULL where there is none."""
+        chosen = F.lit(None).cast("bigint")
+        for family, values in rules.items():
+            own = F.lit(rule(*values)).cast("bigint")
+            chosen = F.when(F.col("family") == family, own).otherwise(chosen)
+        return chosen
+
+    # Ranks beyond the largest number of versions any rule asks for don't matter.
+    deepest = max(max(most or 0, least or 0) for most, least, _ in rules.values())
+    young = F.coalesce(F.col("ts") >= ruled(lambda most, least, ttl: None if ttl is None else now - ttl), F.lit(True))
+    if not deepest:
+        return cells.where(young)
+    ranked_cells = topmost(cells.where(F.col("family").isin(*rules)), COLUMN, [F.col("ts").desc()], deepest, "_rank")
+    most = ruled(lambda most, least, ttl: most)
+    least = ruled(lambda most, least, ttl: least if ttl is not None else None)
+    rank = F.col("_rank")
+    kept = ranked_cells.where(
+        F.coalesce(rank <= most, F.lit(True)) & (young | F.coalesce(rank <= least, F.lit(False)))
+    ).drop("_rank")
+    # Families without a limit on versions keep the young ones whatever their rank.
+    unlimited = F.col("family").isin(*[name for name, (most, _, _) in rules.items() if most is None])
+    rest = cells.where(~F.col("family").isin(*rules) | (unlimited & young))
+    return kept.where(~unlimited | ~young).unionByName(rest)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellarium.functions.bytewise import in_time_range
 from cellarium.model import CELL, as_bytes
@@ -17,6 +18,9 @@ from cellarium.plans.skew import attach, first_rows, running
 ALL_VERSIONS = None
 # More spans than this are joined instead of written into the predicate.
 PREDICATE_SPANS = 200
+# Up to this many spans a record finds its own by comparing keys.
+SEARCHED_SPANS_SETTING = "spark.cellarium.searchedSpans"
+SEARCHED_SPANS_DEFAULT = 200
 
 
 @dataclass(frozen=True)
@@ -80,14 +84,22 @@ def restrict_rows(cells: DataFrame, rows: KeySet) -> DataFrame:
     return attach(cells, keys, ["row"], "left_semi")
 
 
+def searched_spans(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(SEARCHED_SPANS_SETTING, str(SEARCHED_SPANS_DEFAULT)))
+
+
 def locate(df: DataFrame, key: str, spans: DataFrame) -> DataFrame:
     """Gives every record the span that starts at or before its key.
 
-    ``spans`` has span_start and further columns, and at most one span per start.
-    Records and spans are merged in key order and the newest span is carried
-    forward, so there is no condition-only join and no pair of record and span is
-    ever formed except the right one.
+    ``spans`` has span_start and further columns, and at most one span per start.  Up to
+    ``spark.cellarium.searchedSpans`` of them are searched by every record where it lies.  More are
+    merged with the records in key order and the newest span is carried forward, so there is no
+    condition-only join and no pair of record and span is ever formed except the right one.
     """
+    few = searched_spans(df)
+    starts = spans.orderBy("span_start").limit(few + 1).toArrow()
+    if starts.num_rows <= few:
+        return _search(df, key, spans, starts)
     payload = F.struct(*[F.col(name) for name in spans.columns]).alias("_span")
     records = df.select(F.col(key).alias("_key"), F.lit(1).alias("_kind"),
                         F.struct(*df.columns).alias("_rec"),
@@ -104,6 +116,25 @@ def locate(df: DataFrame, key: str, spans: DataFrame) -> DataFrame:
     return merged.where("_kind = 1").select("_rec.*", "_found.*")
 
 
+def _search(df: DataFrame, key: str, spans: DataFrame, found) -> DataFrame:
+    """Binary search among the starts, as nested comparisons that give a span's place."""
+    starts = found.column("span_start").to_pylist()
+
+    def place(first: int, last: int) -> Column:
+        """The place of the last start at or before the key; -1 if all lie after it."""
+        if first == last:
+            return F.lit(first - 1)
+        middle = (first + last) // 2
+        below = F.col(key) < F.lit(bytes(starts[middle]))
+        return F.when(below, place(first, middle)).otherwise(place(middle + 1, last))
+
+    numbered = [(k, *row.values()) for k, row in enumerate(found.to_pylist())]
+    schema = T.StructType([T.StructField("_place", T.IntegerType()), *spans.schema.fields])
+    listed = df.sparkSession.createDataFrame(numbered, schema)
+    placed = df.withColumn("_place", place(0, len(starts)))
+    return placed.join(F.broadcast(listed), "_place", "left").drop("_place")
+
+
 def project(cells: DataFrame, columns: dict[str, list[bytes | str] | None]) -> DataFrame:
     """Union of whole families and single columns."""
     wanted = F.lit(False)
@@ -137,7 +168,12 @@ def multi_get(
     Requests of one filter are answered together, by one join.
     """
     wanted = attach(cells, requests.select("row").distinct(), ["row"], "left_semi")
-    return requests.join(scan(wanted, spec), ["row"], "left").select("request", *CELL)
+    # Read twice below; the cells of a requested hot row are met by its requests in many tasks.
+    got = settle(scan(wanted, spec), "got")
+    found = attach(got, requests, ["row"], "inner").select("request", *CELL)
+    missed = requests.join(got.select("row").distinct(), ["row"], "left_anti")
+    blank = [F.lit(None).cast(got.schema[c].dataType).alias(c) for c in CELL if c != "row"]
+    return found.unionByName(missed.select("request", "row", *blank))
 
 
 def exists_all(cells: DataFrame, requests: DataFrame, spec: ScanSpec | None = None) -> DataFrame:

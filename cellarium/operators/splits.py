@@ -89,38 +89,32 @@ def balanced_splits(regions: DataFrame, target_bytes: int) -> DataFrame:
     ).drop("_run", "_bundle")
 
 
-def key_number(key: Column) -> Column:
-    """First 7 bytes of a key as a number; shorter keys are padded with zero bytes."""
-    return F.conv(F.rpad(F.hex(F.substring(key, 1, 7)), 14, "0"), 16, 10).cast("bigint")
+def even_cuts(start: bytes, stop: bytes, buckets: int) -> list[tuple[int, bytes]]:
+    """The first key of each of ``buckets`` even cuts of [start, stop), with the bucket's number.
 
-
-# Up to this many buckets a cell finds its own by comparing keys.
-COMPARED_BUCKETS = 256
+    Keys are whole numbers of any length, with eight bytes more than the longer bound, so that keys
+    which share a long prefix are cut too.  Buckets too narrow for a key of their own are left out.
+    """
+    if start >= stop:
+        raise ValueError("start must be before stop")
+    width = max(len(start), len(stop)) + 8
+    low, high = (int.from_bytes(key.ljust(width, b"\x00")) for key in (start, stop))
+    firsts = {low - (low - high) * i // buckets: i for i in range(buckets)}  # rounded up
+    return [(i, key.to_bytes(width).rstrip(b"\x00")) for key, i in firsts.items()]
 
 
 def uniform_buckets(cells: DataFrame, start: bytes, stop: bytes, buckets: int) -> DataFrame:
-    """Cells and bytes in each of ``buckets`` even cuts of the key space [start, stop)."""
-    if start >= stop:
-        raise ValueError("start must be before stop")
-    low, high = (int.from_bytes(key[:7].ljust(7, b"\x00")) for key in (start, stop))
+    """Cells and bytes in each of ``buckets`` even cuts of the key space [start, stop).
+
+    Rows are added up first, so what is put into buckets is one record per row.
+    """
+    cuts = cells.sparkSession.createDataFrame(
+        even_cuts(start, stop, buckets), "bucket bigint, span_start binary"
+    )
     inside = cells.where((F.col("row") >= F.lit(start)) & (F.col("row") < F.lit(stop)))
-    if buckets <= COMPARED_BUCKETS:
-        # Rounded up: a cut is the first key number inside its bucket.
-        cuts = [low - (low - high) * i // buckets for i in range(buckets)]
-        bucket = _bucket_of(cuts, 0, buckets)
-    else:
-        scaled = (key_number(F.col("row")) - low).cast("decimal(20,0)") * buckets
-        bucket = (scaled - scaled % (high - low)) / (high - low)  # no remainder is left
-    return inside.groupBy(bucket.cast("bigint").alias("bucket")).agg(
+    rows = inside.groupBy("row").agg(
         F.count(F.lit(1)).alias("cells"), F.sum(stored_cell_size()).alias("bytes")
     )
-
-
-def _bucket_of(cuts: list[int], first: int, last: int) -> Column:
-    """Binary search among the first keys of the buckets, as nested comparisons."""
-    if last - first == 1:
-        return F.lit(first)
-    middle = (first + last) // 2
-    key = cuts[middle].to_bytes(7).rstrip(b"\x00")
-    below, above = _bucket_of(cuts, first, middle), _bucket_of(cuts, middle, last)
-    return F.when(F.col("row") < F.lit(key), below).otherwise(above)
+    return locate(rows, "row", cuts).groupBy("bucket").agg(
+        F.sum("cells").alias("cells"), F.sum("bytes").alias("bytes")
+    )

@@ -2,40 +2,60 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR = "spark.checkpoint.dir"
 
-_made: list[str] = []
+# Tables cut so far, by the run that owns them; the last run is the one that is open.
+_runs: list[list[str]] = [[]]
 
 
 def new_path(spark: SparkSession, label: str = "cut") -> str:
-    """A fresh path in the shared folder.
+    """A fresh path in the shared folder, owned by the run that is open.
 
-    Only a local-mode session may go without the setting; it then gets a
-    temporary folder for the life of the session.
+    Only a local-mode session may go without the setting; it then gets a temporary
+    folder, which goes when the process ends.
     """
     base = spark.conf.get(SHARED_DIR, None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {SHARED_DIR} to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="cellarium-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set(SHARED_DIR, base)
     path = f"{base}/cellarium-{label}-{uuid.uuid4().hex}"
-    _made.append(path)
+    _runs[-1].append(path)
     return path
 
 
+@contextmanager
+def run(spark: SparkSession) -> Iterator[None]:
+    """Tables cut inside belong to this run alone and go at its end.
+
+    What is computed from them has to be stored, or read, before.  Runs may be nested.
+    """
+    _runs.append([])
+    try:
+        yield
+    finally:
+        release(spark)
+        _runs.pop()
+
+
 def release(spark: SparkSession) -> int:
-    """Deletes the tables this process has cut so far; call it once results are kept."""
+    """Deletes the tables of the run that is open; call it once results are kept."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     gone = 0
-    while _made:
-        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+    while _runs[-1]:
+        path = jvm.org.apache.hadoop.fs.Path(_runs[-1].pop())
         gone += path.getFileSystem(conf).delete(path, True)
     return gone
 

@@ -27,9 +27,9 @@ from cellarium.plans.scratch import settle
 # Rows of one key above which its ordered work is cut into pieces.
 HOT_ROWS_SETTING = "spark.cellarium.hotGroupRows"
 HOT_ROWS_DEFAULT = 2_000_000
-# Only the largest hot keys are cut.  A key outside this list holds less than
-# 1/4096 of the rows, and goes through an ordinary (spilling) window.
-HOT_KEYS = 4096
+# Up to this many hot keys are listed by the driver; more are kept as a table.
+HOT_KEYS_SETTING = "spark.cellarium.listedHotKeys"
+HOT_KEYS_DEFAULT = 4096
 # Largest right side that is broadcast, in rows and in bytes.
 BROADCAST_ROWS_SETTING = "spark.cellarium.broadcastRows"
 BROADCAST_ROWS_DEFAULT = 100_000
@@ -58,14 +58,16 @@ def tune(spark: SparkSession) -> None:
 
 
 def hot_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame | None, int]:
-    """The keys with too many rows for one task (at most HOT_KEYS) and the pieces
-    their rows should be cut into.
-    """
+    """The keys with too many rows for one task and the pieces their rows should be cut into."""
     limit = _setting(df, HOT_ROWS_SETTING, HOT_ROWS_DEFAULT)
+    most = _setting(df, HOT_KEYS_SETTING, HOT_KEYS_DEFAULT)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
-    found = counts.orderBy(F.col("_n").desc()).limit(HOT_KEYS).toArrow()
+    found = counts.limit(most + 1).toArrow()
     if not found.num_rows:
         return None, 0
+    if found.num_rows > most:
+        stored = settle(counts, "hot")
+        return stored.select(*keys), stored.agg(F.sum("_n")).first()[0] // limit + 1
     pieces = sum(found.column("_n").to_pylist()) // limit + 1
     return df.sparkSession.createDataFrame(found.select(keys), df.select(*keys).schema), pieces
 
@@ -95,9 +97,9 @@ def running(
     hot, pieces = hot if hot is not None else hot_keys(df, keys)
     if hot is None:
         return _running_in_window(df, keys, order, wanted)
-    hot = F.broadcast(hot)
-    cold = _running_in_window(df.join(hot, keys, "left_anti"), keys, order, wanted)
-    cut = _running_in_pieces(df.join(hot, keys, "left_semi"), keys, order, wanted, pieces)
+    side = measured(hot)
+    cold = _running_in_window(side.join(df, keys, "left_anti"), keys, order, wanted)
+    cut = _running_in_pieces(side.join(df, keys, "left_semi"), keys, order, wanted, pieces)
     return cold.unionByName(cut)
 
 
@@ -182,7 +184,7 @@ def _running_in_pieces(df, keys, order, wanted, pieces: int) -> DataFrame:
         *[_total(kind, F.col(f"_in_{name}")).alias(f"_end_{name}")
           for name, (kind, _, _) in wanted.items()]
     )
-    # One record per piece and hot key: at most parts + HOT_KEYS records.
+    # One record per piece and hot key in it.
     before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     carry = ends.select(
         *group,
@@ -200,7 +202,7 @@ def _running_in_pieces(df, keys, order, wanted, pieces: int) -> DataFrame:
             for name, (kind, _, inclusive) in wanted.items()
         ],
     )
-    return local.join(F.broadcast(carry), group, "left").select(
+    return measured(settle(carry, "carry")).join(local, group).select(
         *columns,
         *[
             _finish(kind, F.col(f"_carry_{name}"), F.col(f"_here_{name}")).alias(name)
@@ -286,16 +288,16 @@ def attach(left: DataFrame, right: DataFrame, on: list[str], how: str = "left")
 def lookup(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     """Left join with one record per key, where a key may own much of the left side.
 
-    The records of the hot keys (at most HOT_KEYS of them) go to the rows where they
-    lie; only the rest is shuffled by key.
+    The records of the hot keys go to the rows where they lie; only the rest is
+    shuffled by key.
     """
     hot, _ = hot_keys(left, on)
     if hot is None:
         return left.join(right, on, "left")
-    hot = F.broadcast(hot)
-    few = right.join(hot, on, "left_semi")
-    cold = left.join(hot, on, "left_anti").join(right, on, "left")
-    return cold.unionByName(attach(left.join(hot, on, "left_semi"), few, on))
+    side = measured(hot)
+    few = side.join(right, on, "left_semi")
+    cold = side.join(left, on, "left_anti").join(right, on, "left")
+    return cold.unionByName(attach(side.join(left, on, "left_semi"), few, on))
 
 
 def first_rows(cells: DataFrame, n: int, reverse: bool = False) -> DataFrame:

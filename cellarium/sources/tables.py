@@ -18,9 +18,9 @@ from cellarium.operators.importing import (
     rename_families,
     size_guards,
 )
-from cellarium.operators.scan import ScanSpec, locate, scan
+from cellarium.operators.scan import ScanSpec, locate, scan, searched_spans
 from cellarium.plans.scratch import settle
-from cellarium.plans.skew import attach, hot_keys
+from cellarium.plans.skew import attach, hot_keys, ranked
 
 ALL_VERSIONS = ScanSpec(max_versions=None)
 
@@ -67,22 +67,41 @@ def spread(cells: DataFrame, parts: int) -> DataFrame:
     return cells.repartition(parts, F.xxhash64("row", "family", "qualifier", "ts"))
 
 
+STARTS = "_starts"
+
+
 def write_regions(cells: DataFrame, splits: DataFrame, path: str) -> None:
     """Sorted files that never cross a split point (column ``start``).
 
-    Folders are named by the hex of their region's start.  The files are cut by range of the whole cell key, so a region that holds most
-    of the data is written by many tasks.
+    Folders are named by the number of their region; ``region_starts`` has the keys, which may be of any
+    length.  Files are cut by range of the whole cell key, so a region that holds most of the
+    data is written by many tasks.  With few split points every cell finds its region where it lies.
     """
-    rows = cells.select("row").distinct()
-    regions = locate(rows, "row", splits.select(F.col("start").alias("span_start")))
-    region = F.concat(F.lit("from-"), F.hex("span_start")).alias("region")
-    placed = attach(cells, settle(regions.select("row", region), "regions"), ROW)
+    spans = splits.select(F.col("start").alias("span_start")).distinct()
+    spans = settle(ranked(spans, [], [F.col("span_start").asc()], "region"), "regions")
+    spans.withColumnRenamed("span_start", "start").write.parquet(f"{path}/{STARTS}")
+    if spans.count() <= searched_spans(cells):
+        placed = locate(cells, "row", spans).drop("span_start")
+    else:
+        rows = locate(cells.select("row").distinct(), "row", spans)
+        placed = attach(cells, settle(rows.select("row", "region"), "regions"), ROW)
     keys = ["region", "row", "family", "qualifier", F.col("ts").desc()]
-    placed.repartitionByRange(*keys).sortWithinPartitions(*keys).write.partitionBy(
+    placed.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("append").partitionBy(
         "region"
     ).parquet(path)
 
 
+def region_starts(spark: SparkSession, path: str) -> DataFrame:
+    """(start, region) of the regions under ``path``."""
+    return spark.read.schema("start binary, region bigint").parquet(f"{path}/{STARTS}")
+
+
+def read_regions(spark: SparkSession, path: str) -> DataFrame:
+    """All cells under ``path`` with the number of their region."""
+    schema = T.StructType([*CELL_SCHEMA.fields, T.StructField("region", T.LongType())])
+    return spark.read.schema(schema).parquet(path)
+
+
 def write_tables(cells: DataFrame, path: str) -> None:
     """One folder per value of ``table``; a table may be written by many tasks."""
     cells.write.partitionBy("table").parquet(path)

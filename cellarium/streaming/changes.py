@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellarium.functions.bytewise import MILLIS_CEILING, stored_cell_size
 from cellarium.model import CELL, LATEST, bytes_lit
@@ -22,8 +23,10 @@ from cellarium.plans.skew import running
 CELL_FIELDS = (
     "struct<row:binary,family:string,qualifier:binary,type:string,ts:bigint,value:binary>"
 )
-# Places in the order kept free for the cells of one entry.
-ENTRY_CELLS = 100_000
+# The order of a log's cells: the entry above, and below it the place inside the entry, which is
+# less than an array can have.  Wide enough for any entry number.
+SEQ = T.DecimalType(38, 0)
+PLACES = 1 << 31
 FAMILY_DELETE_WINDOW_MS = 5 * 60 * 1000
 BATCH_BYTES = 500_000
 BATCH_CELLS = 99_999
@@ -89,7 +92,9 @@ def classify(
     return cells.select(
         "*",
         F.when(live, op).alias("op"),
-        (F.col("entry") * ENTRY_CELLS + F.col("place")).alias("seq"),
+        (F.col("entry").cast("decimal(20,0)") * F.lit(PLACES).cast("decimal(10,0)") + F.col("place"))
+        .cast(SEQ)
+        .alias("seq"),
         (live & (ts >= MILLIS_CEILING) & (ts != LATEST)).alias("overflow"),
         (live & put & (ts > written)).alias("future"),
         (live & delete & ~valid).alias("bad_delete"),
@@ -118,7 +123,7 @@ def origin_tags(log: DataFrame, tag: bytes | str) -> DataFrame:
     return last.select(
         "table", "row", "family", bytes_lit(tag).alias("qualifier"),
         F.lit(0).cast("bigint").alias("ts"), none.cast("binary").alias("value"),
-        (F.col("_last") + 1).alias("seq"), F.lit(m.DELETE_VERSION).alias("op"),
+        (F.col("_last") + 1).cast(log.schema["seq"].dataType).alias("seq"), F.lit(m.DELETE_VERSION).alias("op"),
         none.cast("bigint").alias("amount"),
     )
 

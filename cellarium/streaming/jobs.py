@@ -9,20 +9,22 @@ twice, increments included; nothing is rewritten per batch.  Reading replays the
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellarium.model import CELL_SCHEMA, COLUMN
+from cellarium.model import CELL_SCHEMA, COLUMN, ROW
 from cellarium.operators import mutate as m
+from cellarium.plans.skew import measured
 from cellarium.streaming import changes as ch
 
 LOG_SCHEMA = T.StructType(
     [
         T.StructField("table", T.StringType()),
         *CELL_SCHEMA.fields,
-        T.StructField("seq", T.LongType()),
+        T.StructField("seq", ch.SEQ),
         T.StructField("op", T.StringType()),
         T.StructField("amount", T.LongType()),
     ]
@@ -41,9 +43,8 @@ class Copy:
         self.spark, self.path = spark, path
 
     def append(self, log: DataFrame, batch_id: int) -> None:
-        log.select(*LOG_SCHEMA.fieldNames()).write.mode("overwrite").parquet(
-            f"{self.path}/log/batch_id={batch_id}"
-        )
+        log = log.withColumn("seq", F.col("seq").cast(ch.SEQ)).select(*LOG_SCHEMA.fieldNames())
+        log.write.mode("overwrite").parquet(f"{self.path}/log/batch_id={batch_id}")
 
     def start_from(self, tables: DataFrame, batch_id: int = -1) -> None:
         """Stores a base (cells with ``table``) holding every batch up to ``batch_id``."""
@@ -81,10 +82,16 @@ class Copy:
         base, log = (side.where(F.col("table") == table).drop("table") for side in self._state(before))
         return m.replay(base, log)
 
-    def read_all(self, before: int | None = None) -> DataFrame:
-        """Every table, with ``table``; one replay however many tables there are."""
-        base, log = self._state(before)
-        return split_key(m.replay(table_key(base), table_key(log)))
+    def read_all(self, before: int | None = None, rows: DataFrame | None = None) -> DataFrame:
+        """Every table, with ``table``; one replay however many tables there are.
+
+        With ``rows`` (keys as ``table_key`` makes them) only those are read and replayed.
+        """
+        base, log = (table_key(side) for side in self._state(before))
+        if rows is not None:
+            side = measured(rows)
+            base, log = (side.join(part, ROW, "left_semi") for part in (base, log))
+        return split_key(m.replay(base, log))
 
     def compact(self, batch_id: int) -> None:
         """Folds batches up to ``batch_id`` into a new base; later batches stay log."""
@@ -155,73 +162,54 @@ def dry_run(
 
 # ---- two copies -------------------------------------------------------------
 
+# A failed write: the log record as it was (bytes in base64), why and when it failed.
 DEAD_LETTER = T.StructType(
     [
-        T.StructField("timestamp", T.StringType()),
-        T.StructField("cause", T.StringType()),
-        T.StructField("stackTrace", T.StringType()),
-        T.StructField("rowKey", T.StringType()),
-        T.StructField("mutationType", T.StringType()),
-        T.StructField(
-            "mutation",
-            T.StructType(
-                [
-                    T.StructField("table", T.StringType()),
-                    T.StructField("family", T.StringType()),
-                    T.StructField("qualifier", T.StringType()),
-                    T.StructField("ts", T.LongType()),
-                    T.StructField("value", T.StringType()),
-                    T.StructField("seq", T.LongType()),
-                    T.StructField("op", T.StringType()),
-                    T.StructField("amount", T.LongType()),
-                ]
-            ),
-        ),
+        T.StructField("failed_at", T.StringType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("batch", T.LongType()),
+        *[
+            T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.BinaryType) else f.dataType)
+            for f in LOG_SCHEMA.fields
+        ],
     ]
 )
 
 
-def dead_letters(failed: DataFrame) -> DataFrame:
+def dead_letters(failed: DataFrame, batch_id: int | None = None) -> DataFrame:
     """Failed writes (log columns and ``error``) as records of the failure log."""
-    kind = (
-        F.when(F.col("op") == m.PUT, "put")
-        .when(F.col("op") == m.INCREMENT, "inc")
-        .when(F.col("op") == m.APPEND, "append")
-        .otherwise("delete")
-    )
     return failed.select(
-        F.current_timestamp().cast("string").alias("timestamp"),
-        F.col("error").alias("cause"),
-        F.lit(None).cast("string").alias("stackTrace"),
-        F.base64("row").alias("rowKey"),
-        kind.alias("mutationType"),
-        F.struct(
-            "table", "family", F.base64("qualifier").alias("qualifier"), "ts",
-            F.base64("value").alias("value"), "seq", "op", "amount",
-        ).alias("mutation"),
-    )
+        F.current_timestamp().cast("string").alias("failed_at"),
+        F.col("error").alias("reason"),
+        F.lit(batch_id).cast("bigint").alias("batch"),
+        *[
+            (F.base64(f.name) if isinstance(f.dataType, T.BinaryType) else F.col(f.name).cast(f.dataType))
+            .alias(f.name)
+            for f in LOG_SCHEMA.fields
+        ],
+    )
 
 
 def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
     """The failure log as a mutation log again."""
     return spark.read.schema(DEAD_LETTER).json(path).select(
-        "mutation.table",
-        F.unbase64("rowKey").alias("row"),
-        "mutation.family",
-        F.unbase64("mutation.qualifier").alias("qualifier"),
-        "mutation.ts",
-        F.unbase64("mutation.value").alias("value"),
-        "mutation.seq",
-        "mutation.op",
-        "mutation.amount",
-    )
+        *[
+            F.unbase64(f.name).alias(f.name) if isinstance(f.dataType, T.BinaryType) else F.col(f.name)
+            for f in LOG_SCHEMA.fields
+        ]
+    )
+
+
+def write_dead_letters(failed: DataFrame, path: str, batch_id: int) -> None:
+    """The usual consumer of failed writes: a folder of records per micro-batch."""
+    dead_letters(failed, batch_id).write.mode("overwrite").json(f"{path}/batch_id={batch_id}")
 
 
 def dual_write(
     mutations: DataFrame,
     primary: Copy,
     secondary: Copy,
-    letters: str,
+    letters: str | Callable[[DataFrame, int], None],
     checkpoint: str,
     refuses: Column,
     concurrent: bool = False,
@@ -232,8 +220,10 @@ def dual_write(
     appends as puts of their results.  Concurrent: both get everything, which only puts
     and deletes allow; a batch with other operations is written one after the other.
     ``refuses`` gives the second copy's reason to refuse a mutation, or NULL; those go
-    to the failure log ``letters``.
+    to the failure log ``letters``: a folder, or what is called with them (log columns and
+    ``error``) and the number of the micro-batch.
     """
+    consume = letters if callable(letters) else partial(write_dead_letters, path=letters)
     results = [m.INCREMENT, m.APPEND]
 
     def each(batch: DataFrame, batch_id: int) -> None:
@@ -247,7 +237,7 @@ def dual_write(
             offered = plain.unionByName(_images(primary, good, batch_id))
         second = offered.withColumn("error", refuses)
         failed = second.where("error IS NOT NULL")
-        dead_letters(failed).write.mode("overwrite").json(f"{letters}/batch_id={batch_id}")
+        consume(failed, batch_id=batch_id)
         secondary.append(second.where("error IS NULL"), batch_id)
 
     _run(mutations, each, checkpoint)
@@ -256,10 +246,13 @@ def dual_write(
 def _images(primary: Copy, good: DataFrame, batch_id: int) -> DataFrame:
     """Results of a batch's increments and appends.
 
-    They start from the state before the batch, also when the batch is repeated.
+    They start from the state before the batch, also when the batch is repeated.  A row's
+    state depends on that row alone, so no other is read back.
     """
-    base = table_key(primary.read_all(before=batch_id))
-    return split_key(m.after_images(base, table_key(good))).select(*good.columns)
+    log = table_key(good)
+    asked = m.only(log, m.INCREMENT, m.APPEND).select(*ROW).distinct()
+    base = table_key(primary.read_all(before=batch_id, rows=asked))
+    return split_key(m.after_images(base, log)).select(*good.columns)
 
 
 # ---- counters ---------------------------------------------------------------

@@ -174,10 +174,8 @@ def bulk_sorted(spark, sf_dir):
     path = new_path(spark, "regions")
     splits = spark.createDataFrame([(b"",), (b"0000001000",), (b"0000010000",)], "start binary")
     t.write_regions(order_cells(spark, sf_dir), splits, path)
-    stored = spark.read.option("basePath", path).schema(
-        "row binary, family string, qualifier binary, ts bigint, value binary, region string"
-    ).parquet(path)
-    return stored.groupBy(text(F.unhex(F.substring("region", 6, 8192))).alias("region")).agg(
+    stored = t.read_regions(spark, path).join(t.region_starts(spark, path), "region")
+    return stored.groupBy(text("start").alias("region")).agg(
         F.count(F.lit(1)).alias("cells"),
         text(F.min("row")).alias("first_row"),
         text(F.max("row")).alias("last_row"),
@@ -217,7 +215,7 @@ def select_snapshots(spark, sf_dir):
 
 
 SQL_KEYED = f"""bounds AS (SELECT start, lead(start) OVER (ORDER BY start) AS stop FROM
- (SELECT '' AS start UNION ALL SELECT DISTINCT printf('u%05d', c_custkey*40) FROM customer WHERE c_custkey*40 < 2000)),
+ (SELECT '' AS start UNION ALL SELECT DISTINCT printf('u%05d', c_custkey*40) FROM customer)),
  sized AS (SELECT b.start, b.stop, CAST(coalesce(sum(24+length(row_key)+length(family)+length(qualifier)+length(value)),0) AS BIGINT) AS bytes
    FROM bounds b LEFT JOIN cells c ON c.row_key >= b.start AND (b.stop IS NULL OR c.row_key < b.stop) GROUP BY 1,2)"""
 
@@ -226,7 +224,7 @@ def _ranges(spark, sf_dir):
     """Ranges sampled from the customer keys, with repeats and an empty sample."""
     number = F.col("c_custkey") * 40
     key = F.format_string("u%05d", number)
-    samples = table(spark, sf_dir, "customer").where(number < 2000).select(
+    samples = table(spark, sf_dir, "customer").select(
         F.explode(F.array(key, key, F.lit(""))).alias("key")
     )
     return s.key_ranges(samples.select(F.col("key").cast("binary").alias("key")))
@@ -287,12 +285,15 @@ def split_points(spark, sf_dir):
   unnest([{'q':'l_partkey','v':CAST(l_partkey AS VARCHAR)},{'q':'l_suppkey','v':CAST(l_suppkey AS VARCHAR)},
    {'q':'l_returnflag','v':l_returnflag},{'q':'l_linestatus','v':l_linestatus},
    {'q':'l_quantity','v':CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)}]) AS t(u)),
- n AS (SELECT *, CAST('0x'||substr(hex(k),1,14) AS HUGEINT) AS x, CAST('0x'||substr(hex('0000000000'),1,14) AS HUGEINT) AS lo,
-   CAST('0x'||substr(hex('0001000000'),1,14) AS HUGEINT) AS hi FROM l WHERE k < '0001000000')
-SELECT CAST((x-lo)*16//(hi-lo) AS BIGINT) AS bucket, count(*) AS cells, CAST(sum(24+10+1+length(q)+length(v)) AS BIGINT) AS bytes FROM n GROUP BY 1""",
+ n AS (SELECT *, CAST('0x'||hex(k) AS HUGEINT) AS x FROM l), e AS (SELECT min(x) AS lo, max(x) AS hi FROM n)
+SELECT CAST(least((x-lo)*16//(hi-lo), 15) AS BIGINT) AS bucket, count(*) AS cells,
+  CAST(sum(24+16+1+length(q)+length(v)) AS BIGINT) AS bytes FROM n, e GROUP BY 1""",
 )
 def uniform_buckets(spark, sf_dir):
-    return s.uniform_buckets(line_cells(spark, sf_dir), b"0000000000", b"0001000000", 16)
+    """Even cuts between the first and the last key; all keys share their first six bytes or more."""
+    cells = line_cells(spark, sf_dir).withColumn("row", F.concat(F.lit(b"order:"), "row"))
+    first, last = cells.agg(F.min("row"), F.max("row")).first()
+    return s.uniform_buckets(cells, bytes(first), bytes(last) + b"\x00", 16)
 
 
 def _multi(spark, sf_dir):

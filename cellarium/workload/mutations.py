@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cellarium.functions.bytewise import bytes_to_long, put_cell_size
-from cellarium.model import CELL, COLUMN, LATEST, bytes_lit, text, text_view
+from cellarium.model import CELL, CELL_SCHEMA, COLUMN, LATEST, bytes_lit, text, text_view
 from cellarium.operators import mutate as m
 from cellarium.operators.conditional import check_and_mutate
 from cellarium.plans.keyspace import KeySet
 from cellarium.workload.registry import query
 from cellarium.workload.tables import (
+    DAY,
     SPLIT,
     SQL_CELLS,
     SQL_COUNTERS,
@@ -18,12 +19,16 @@ from cellarium.workload.tables import (
     counter_cells,
     event_cells,
     mutation_log,
+    sql_log,
+    sql_walk,
     stored_cells,
     table,
     user_key,
 )
 
 HEAD = f"WITH {SQL_CELLS}, {SQL_LOG} "
+# With every event in the log and nothing stored before.
+HEAD_ALL = f"WITH {SQL_CELLS}, {sql_log(0)} "
 SHOW = "SELECT row_key,family,qualifier,ts,value "
 
 
@@ -38,7 +43,7 @@ def apply_puts(spark, sf_dir):
     """Log timestamps are cut to the day, so versions are written more than once."""
     log = m.only(mutation_log(spark, sf_dir), m.PUT)
     daily = log.withColumn("ts", F.col("ts") - F.col("ts") % 86400000)
-    return text_view(m.apply_puts(stored_cells(spark, sf_dir), daily))
+    return shown(m.apply_puts(stored_cells(spark, sf_dir), daily))
 
 
 @query(
@@ -86,7 +91,7 @@ SELECT row_key,family,qualifier,ts,value FROM v p WHERE NOT EXISTS (SELECT 1 FRO
 )
 def delete_column_to(spark, sf_dir):
     log = m.only(mutation_log(spark, sf_dir), m.PUT, m.DELETE_COLUMN_TO)
-    return text_view(m.replay(stored_cells(spark, sf_dir), log))
+    return shown(m.replay(stored_cells(spark, sf_dir), log))
 
 
 @query(
@@ -99,29 +104,30 @@ SELECT row_key,family,qualifier,ts,value FROM v p WHERE NOT EXISTS (SELECT 1 FRO
 )
 def delete_version(spark, sf_dir):
     log = m.only(mutation_log(spark, sf_dir), m.PUT, m.DELETE_VERSION)
-    return text_view(m.replay(stored_cells(spark, sf_dir), log))
+    return shown(m.replay(stored_cells(spark, sf_dir), log))
 
 
-SQL_SETTLED = f"""{SQL_COUNTERS},
-work AS (SELECT i.* FROM log i WHERE op IN ('INCREMENT','APPEND') AND NOT EXISTS (SELECT 1 FROM log d
-  WHERE d.seq>i.seq AND d.row_key=i.row_key AND (d.op='DELETE_ROW' OR (d.op='DELETE_FAMILY' AND d.family='tx')))),
-reset AS (SELECT DISTINCT row_key FROM log WHERE op='DELETE_ROW' OR (op='DELETE_FAMILY' AND family='tx')),
-inc AS (SELECT w.row_key, 'tx' AS family, 'total' AS qualifier, max(w.ts) AS ts,
-    CAST(sum(w.amount) + coalesce(any_value(c.n),0) AS BIGINT) AS n, max(w.seq) AS seq
-  FROM work w LEFT JOIN (SELECT * FROM counters WHERE row_key NOT IN (SELECT row_key FROM reset)) c
-  ON c.row_key=w.row_key WHERE w.op='INCREMENT' GROUP BY 1),
-app AS (SELECT row_key, 'tx' AS family, 'log' AS qualifier, max(ts) AS ts,
-    string_agg(value,'' ORDER BY seq) AS value, max(seq) AS seq FROM work WHERE op='APPEND' GROUP BY 1)"""
+SQL_BASE = f"""{SQL_COUNTERS},
+base AS (SELECT row_key,family,qualifier,ts,value FROM stored
+  UNION ALL SELECT row_key,family,qualifier,ts,CAST(n AS VARCHAR) FROM counters),
+{sql_walk("log", "base")}"""
 
 
-@query("increment", f"{HEAD}, {SQL_SETTLED} SELECT row_key, ts, n, seq FROM inc")
+@query(
+    "increment",
+    f"""WITH RECURSIVE {SQL_CELLS}, {sql_log(0)}, {SQL_BASE}
+SELECT row_key, ts, CAST(value AS BIGINT) AS n, seq FROM images WHERE op='INCREMENT'""",
+)
 def increment(spark, sf_dir):
-    log = mutation_log(spark, sf_dir)
-    images = m.increments(counter_cells(spark, sf_dir), log)
+    images = m.increments(counter_cells(spark, sf_dir), mutation_log(spark, sf_dir, since=0))
     return images.select(text("row").alias("row_key"), "ts", bytes_to_long(F.col("value")).alias("n"), "seq")
 
 
-@query("append", f"{HEAD}, {SQL_SETTLED} SELECT row_key, ts, value, seq FROM app")
+@query(
+    "append",
+    f"""WITH RECURSIVE {SQL_CELLS}, {SQL_LOG}, {SQL_BASE}
+SELECT row_key, ts, value, seq FROM images WHERE op='APPEND'""",
+)
 def append(spark, sf_dir):
     images = m.appends(stored_cells(spark, sf_dir), mutation_log(spark, sf_dir))
     return images.select(text("row").alias("row_key"), "ts", text("value").alias("value"), "seq")
@@ -140,20 +146,18 @@ def shown(cells):
 
 @query(
     "after_image_puts",
-    f"""{HEAD}, {SQL_SETTLED} SELECT row_key,family,qualifier,ts,CAST(n AS VARCHAR) AS value FROM inc
-  UNION ALL SELECT row_key,family,qualifier,ts,value FROM app""",
+    f"""WITH RECURSIVE {SQL_CELLS}, {SQL_LOG}, {SQL_BASE}
+SELECT row_key,family,qualifier,ts,value FROM images""",
 )
 def after_image_puts(spark, sf_dir):
     base = stored_cells(spark, sf_dir).unionByName(counter_cells(spark, sf_dir))
     return shown(m.after_images(base, mutation_log(spark, sf_dir)))
 
 
-SQL_REPLAY = f"""{HEAD}, {SQL_SETTLED},
-puts AS (SELECT row_key,family,qualifier,ts,value,-1 AS seq FROM stored
-  UNION ALL SELECT row_key,family,qualifier,ts,CAST(n AS VARCHAR),-1 FROM counters
+SQL_REPLAY = f"""WITH RECURSIVE {SQL_CELLS}, {SQL_LOG}, {SQL_BASE},
+puts AS (SELECT row_key,family,qualifier,ts,value,-1 AS seq FROM base
   UNION ALL SELECT row_key,family,qualifier,ts,value,seq FROM log WHERE op='PUT'
-  UNION ALL SELECT row_key,family,qualifier,ts,CAST(n AS VARCHAR),seq FROM inc
-  UNION ALL SELECT row_key,family,qualifier,ts,value,seq FROM app),
+  UNION ALL SELECT row_key,family,qualifier,ts,value,seq FROM images),
 live AS (SELECT p.* FROM puts p WHERE NOT EXISTS (SELECT 1 FROM log d WHERE d.row_key=p.row_key AND d.seq>p.seq
   AND (d.op='DELETE_ROW' OR (d.op='DELETE_FAMILY' AND d.family=p.family)
    OR (d.op='DELETE_COLUMN' AND d.family=p.family AND d.qualifier=p.qualifier)
@@ -170,7 +174,7 @@ def replay_mutations(spark, sf_dir):
 
 @query(
     "row_mutations",
-    f"""{HEAD}, ops AS (SELECT * FROM log WHERE op IN ('PUT','DELETE_FAMILY','DELETE_VERSION')),
+    f"""{HEAD_ALL}, ops AS (SELECT * FROM log WHERE op IN ('PUT','DELETE_FAMILY','DELETE_VERSION')),
 live AS (SELECT p.* FROM ops p WHERE op='PUT' AND NOT EXISTS (SELECT 1 FROM ops d WHERE d.row_key=p.row_key
   AND d.seq>p.seq AND ((d.op='DELETE_FAMILY' AND d.family=p.family) OR (d.op='DELETE_VERSION'
    AND d.family=p.family AND d.qualifier=p.qualifier AND p.ts=d.ts))))
@@ -178,27 +182,34 @@ SELECT row_key,family,qualifier,ts,value FROM live""",
 )
 def row_mutations(spark, sf_dir):
     """Ordered puts and deletes on rows that start empty."""
-    log = m.only(mutation_log(spark, sf_dir), m.PUT, m.DELETE_FAMILY, m.DELETE_VERSION)
-    return text_view(m.replay(stored_cells(spark, sf_dir).limit(0), log))
+    log = mutation_log(spark, sf_dir, since=0)
+    log = m.only(log, m.PUT, m.DELETE_FAMILY, m.DELETE_VERSION)
+    return shown(m.replay(spark.createDataFrame([], CELL_SCHEMA), log))
 
 
-SQL_ACTIONS = f"""actions AS (SELECT row_key, seq,
+def sql_actions(since: int = 0) -> str:
+    return f"""actions AS (SELECT row_key, seq,
   CASE WHEN qualifier IN ('purchase','signup') OR (qualifier='error' AND seq%4=0) THEN 'tx' ELSE 'nav' END AS family,
-  CASE WHEN qualifier='purchase' THEN 'total' ELSE qualifier END AS qualifier,
-  CASE qualifier WHEN 'view' THEN 'GET' WHEN 'click' THEN 'PUT' WHEN 'signup' THEN 'PUT' WHEN 'purchase' THEN 'INCREMENT'
-    ELSE ['DELETE_FAMILY','DELETE_VERSION','DELETE_ROW','MERGE'][1+seq%4] END AS op,
-  CASE WHEN qualifier='click' THEN value END AS value,
+  CASE WHEN qualifier='purchase' THEN 'total' WHEN qualifier='signup' AND seq%3<>0 THEN 'log' ELSE qualifier END AS qualifier,
+  CASE qualifier WHEN 'view' THEN 'GET' WHEN 'click' THEN 'PUT' WHEN 'signup' THEN CASE WHEN seq%3=0 THEN 'PUT' ELSE 'APPEND' END
+    WHEN 'purchase' THEN 'INCREMENT' ELSE ['DELETE_FAMILY','DELETE_VERSION','DELETE_ROW','MERGE'][1+seq%4] END AS op,
+  CASE WHEN qualifier='click' OR (qualifier='signup' AND seq%3<>0) THEN value END AS value,
   CASE WHEN qualifier='purchase' THEN CAST(value AS BIGINT) END AS amount,
   CASE WHEN qualifier='error' AND seq%4 IN (1,2) THEN {LATEST} ELSE ts END AS ts
-  FROM cells WHERE ts >= {SPLIT})"""
+  FROM cells WHERE ts >= {since})"""
+
 
+SQL_ACTIONS = sql_actions()
 
-def actions(spark, sf_dir):
-    """Later events as a batch: gets, puts, increments, and every kind of refusal."""
-    events = event_cells(spark, sf_dir, seq=True).where(F.col("ts") >= SPLIT)
+
+def actions(spark, sf_dir, since=0):
+    """Events as a batch: gets, puts, increments, appends, and every kind of refusal."""
+    events = event_cells(spark, sf_dir, seq=True).where(F.col("ts") >= since)
     kind, turn = F.col("qualifier").cast("string"), F.col("seq") % 4
+    appended = (kind == "signup") & (F.col("seq") % 3 != 0)
     op = (
         F.when(kind == "view", m.GET)
+        .when(appended, m.APPEND)
         .when(kind.isin("click", "signup"), m.PUT)
         .when(kind == "purchase", m.INCREMENT)
         .when(turn == 0, m.DELETE_FAMILY)
@@ -211,9 +222,12 @@ def actions(spark, sf_dir):
         F.when(kind.isin("purchase", "signup") | ((kind == "error") & (turn == 0)), "tx")
         .otherwise("nav")
         .alias("family"),
-        F.when(kind == "purchase", F.lit(b"total")).otherwise(F.col("qualifier")).alias("qualifier"),
+        F.when(kind == "purchase", F.lit(b"total"))
+        .when(appended, F.lit(b"log"))
+        .otherwise(F.col("qualifier"))
+        .alias("qualifier"),
         F.when((kind == "error") & turn.isin(1, 2), F.lit(LATEST)).otherwise(F.col("ts")).alias("ts"),
-        F.when(kind == "click", F.col("value")).alias("value"),
+        F.when((kind == "click") | appended, F.col("value")).alias("value"),
         "seq",
         op.alias("op"),
         F.when(kind == "purchase", F.col("value").cast("string").cast("bigint")).alias("amount"),
@@ -222,23 +236,21 @@ def actions(spark, sf_dir):
 
 @query(
     "batch_results",
-    f"""WITH {SQL_CELLS}, {SQL_COUNTERS}, {SQL_ACTIONS},
+    f"""WITH RECURSIVE {SQL_CELLS}, {SQL_COUNTERS}, {sql_actions(SPLIT)},
 judged AS (SELECT *, CASE WHEN op='MERGE' THEN 'unknown operation' WHEN op='PUT' AND value IS NULL THEN 'empty put'
   WHEN op='DELETE_FAMILY' THEN 'scope delete at a timestamp'
   WHEN op='DELETE_VERSION' THEN 'delete of the single latest version' END AS error FROM actions),
 got AS (SELECT a.seq, (SELECT arg_max(c.value, c.ts) FROM cells c WHERE c.ts < {SPLIT} AND c.row_key=a.row_key
     AND c.family=a.family AND c.qualifier=a.qualifier) AS result FROM actions a WHERE op='GET'),
-cut AS (SELECT a.seq, a.row_key, a.amount, (SELECT max(d.seq) FROM actions d WHERE d.op='DELETE_ROW'
-    AND d.row_key=a.row_key AND d.seq<a.seq) AS segment FROM actions a WHERE op='INCREMENT'),
-counted AS (SELECT cut.seq, CAST(CAST(sum(amount) OVER (PARTITION BY cut.row_key, segment ORDER BY cut.seq)
-    + CASE WHEN segment IS NULL THEN coalesce(n,0) ELSE 0 END AS BIGINT) AS VARCHAR) AS result
-  FROM cut LEFT JOIN counters USING (row_key)),
-res AS (SELECT * FROM got UNION ALL SELECT * FROM counted)
+base AS (SELECT row_key,family,qualifier,ts,value FROM cells WHERE ts < {SPLIT}
+  UNION ALL SELECT row_key,family,qualifier,ts,CAST(n AS VARCHAR) FROM counters),
+good AS (SELECT * FROM judged WHERE error IS NULL AND op<>'GET'), {sql_walk("good", "base")},
+res AS (SELECT * FROM got UNION ALL SELECT seq, value FROM images)
 SELECT judged.seq, op, error IS NULL AS ok, error, result FROM judged LEFT JOIN res USING (seq)""",
 )
 def batch_results(spark, sf_dir):
     base = stored_cells(spark, sf_dir).unionByName(counter_cells(spark, sf_dir))
-    out = m.batch_results(base, actions(spark, sf_dir))
+    out = m.batch_results(base, actions(spark, sf_dir, since=SPLIT))
     result = F.when(
         F.col("op") == m.INCREMENT, bytes_to_long(F.col("result")).cast("string")
     ).otherwise(text("result"))
@@ -359,9 +371,6 @@ def drop_family(spark, sf_dir):
     return text_view(m.drop_families(event_cells(spark, sf_dir), "tx"))
 
 
-DAY = 86_400_000
-
-
 @query(
     "apply_retention",
     f"""WITH {SQL_CELLS}, r AS (SELECT *, row_number() OVER (PARTITION BY row_key,family,qualifier ORDER BY ts DESC) AS n FROM cells)
@@ -375,11 +384,11 @@ def apply_retention(spark, sf_dir):
 
 @query(
     "fill_timestamps",
-    HEAD
+    HEAD_ALL
     + f"""SELECT row_key, seq, op, CASE WHEN op='PUT' AND seq%4=0 THEN {NOW} ELSE ts END AS ts FROM log""",
 )
 def fill_timestamps(spark, sf_dir):
-    log = mutation_log(spark, sf_dir)
+    log = mutation_log(spark, sf_dir, since=0)
     unset = log.withColumn(
         "ts",
         F.when((F.col("op") == m.PUT) & (F.col("seq") % 4 == 0), F.lit(LATEST)).otherwise(F.col("ts")),
@@ -389,12 +398,12 @@ def fill_timestamps(spark, sf_dir):
 
 @query(
     "dedup_last",
-    f"""{HEAD} SELECT row_key, qualifier, ts - ts%{DAY} AS day, arg_max(amount, seq) AS amount, max(seq) AS seq
+    f"""{HEAD_ALL} SELECT row_key, qualifier, ts - ts%{DAY} AS day, arg_max(amount, seq) AS amount, max(seq) AS seq
 FROM log WHERE op='INCREMENT' GROUP BY 1,2,3""",
 )
 def dedup_last(spark, sf_dir):
     """Increments of one day are one operation: of a repeated column the last counts."""
-    log = m.only(mutation_log(spark, sf_dir), m.INCREMENT)
+    log = m.only(mutation_log(spark, sf_dir, since=0), m.INCREMENT)
     daily = log.select("row", "qualifier", (F.col("ts") - F.col("ts") % DAY).alias("day"), "amount", "seq")
     last = m.last_of_each(daily, ["row", "qualifier", "day"])
     return last.select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cellarium.model import CELL, bytes_lit, text
+from cellarium.model import CELL_SCHEMA, bytes_lit, text
 from cellarium.operators import mutate as m
 from cellarium.plans.scratch import new_path
 from cellarium.streaming import changes as ch
@@ -20,6 +20,7 @@ from cellarium.workload.tables import (
     entries,
     entries_of,
     event_stream,
+    sql_walk,
 )
 
 HEAD = f"WITH {SQL_CELLS}, {SQL_ENTRIES}"
@@ -29,7 +30,7 @@ SQL_CLASSIFIED = f"""{HEAD}, looped AS (SELECT entry FROM entry_cells WHERE qual
  judged AS (SELECT *, entry IN (SELECT entry FROM looped) AS looped,
    type='DELETE_COLUMN' OR (type='DELETE' AND ts<>{LATEST}) OR (type='DELETE_FAMILY' AND ts={LATEST}) AS valid,
    type='DELETE_FAMILY' AND written>=ts AND written-ts<=300000 AS near, type LIKE 'DELETE%' AS del FROM entry_cells),
- classified AS (SELECT *, entry*100000+place AS seq, CASE WHEN looped THEN NULL WHEN type='PUT' THEN 'PUT'
+ classified AS (SELECT *, CAST(entry AS HUGEINT)*2147483648+place AS seq, CASE WHEN looped THEN NULL WHEN type='PUT' THEN 'PUT'
    WHEN type='DELETE' AND valid THEN 'DELETE_VERSION' WHEN type='DELETE_COLUMN' AND ts={LATEST} THEN 'DELETE_COLUMN'
    WHEN type='DELETE_COLUMN' THEN 'DELETE_COLUMN_TO' WHEN type='DELETE_FAMILY' AND (valid OR near) THEN 'DELETE_FAMILY' END AS op,
    NOT looped AND ts>=9223372036854775 AND ts<>{LATEST} AS overflow, NOT looped AND type='PUT' AND ts>written AS future,
@@ -53,11 +54,11 @@ def repl_loop_filter(spark, sf_dir):
 @query(
     "repl_classify",
     SQL_CLASSIFIED
-    + ' SELECT seq, "table", row_key, type, op, looped, overflow, future, bad_delete, unknown FROM classified',
+    + ' SELECT CAST(seq AS VARCHAR) AS seq, "table", row_key, type, op, looped, overflow, future, bad_delete, unknown FROM classified',
 )
 def repl_classify(spark, sf_dir):
     return _classified(spark, sf_dir).select(
-        "seq", "table", text("row").alias("row_key"), "type", "op",
+        F.col("seq").cast("string").alias("seq"), "table", text("row").alias("row_key"), "type", "op",
         "looped", "overflow", "future", "bad_delete", "unknown",
     )
 
@@ -65,12 +66,12 @@ def repl_classify(spark, sf_dir):
 @query(
     "repl_family_delete",
     SQL_CLASSIFIED
-    + """ SELECT seq, ts, written, op IS NOT NULL AS kept FROM classified WHERE type='DELETE_FAMILY' AND NOT looped""",
+    + """ SELECT CAST(seq AS VARCHAR) AS seq, ts, written, op IS NOT NULL AS kept FROM classified WHERE type='DELETE_FAMILY' AND NOT looped""",
 )
 def repl_family_delete(spark, sf_dir):
     classified = _classified(spark, sf_dir)
     return classified.where((F.col("type") == "DELETE_FAMILY") & ~F.col("looped")).select(
-        "seq", "ts", "written", F.col("op").isNotNull().alias("kept")
+        F.col("seq").cast("string").alias("seq"), "ts", "written", F.col("op").isNotNull().alias("kept")
     )
 
 
@@ -88,11 +89,12 @@ def repl_future_puts(spark, sf_dir):
     "repl_tag",
     SQL_CLASSIFIED
     + """, kept AS (SELECT * FROM classified WHERE op IS NOT NULL)
-SELECT "table", row_key, arg_max(family, seq) AS family, max(seq)+1 AS seq FROM kept GROUP BY 1,2""",
+SELECT "table", row_key, arg_max(family, seq) AS family, CAST(max(seq)+1 AS VARCHAR) AS seq FROM kept GROUP BY 1,2""",
 )
 def repl_tag(spark, sf_dir):
     tags = ch.origin_tags(ch.to_log(_classified(spark, sf_dir)), ORIGIN_TAG)
-    return tags.select("table", text("row").alias("row_key"), "family", "seq")
+    seq = F.col("seq").cast("string").alias("seq")
+    return tags.select("table", text("row").alias("row_key"), "family", seq)
 
 
 METRICS_SQL = """ SELECT metric, n FROM (SELECT count(*) FILTER (unknown) AS incompatible_mutations,
@@ -181,37 +183,42 @@ def replicate_stream(spark, sf_dir):
 
 
 def mutations_of(events):
-    """Events as a stream of mutations of one table."""
-    cells = entries_of(events).where(F.col("entry") % 53 != 0)
-    main = cells.select("entry", F.element_at("cells", 1).alias("c"))
-    kind = F.col("c.qualifier").cast("string")
+    """All cells of all entries as a stream of mutations of one table."""
+    cells = entries_of(events).select("entry", F.posexplode("cells").alias("place", "c"))
+    kind, last = F.col("c.qualifier").cast("string"), F.col("c.ts") == LATEST
+    counter = (F.col("c.family") == "tx") & (kind == "purchase")
     op = (
         F.when(F.col("c.type") == "DELETE_FAMILY", m.DELETE_FAMILY)
+        .when((F.col("c.type") == "DELETE_COLUMN") & last, m.DELETE_COLUMN)
         .when(F.col("c.type") == "DELETE_COLUMN", m.DELETE_COLUMN_TO)
-        .when(F.col("c.type") == "PUT", F.when(kind == "purchase", m.INCREMENT).otherwise(m.PUT))
+        .when(F.col("c.type") == "DELETE", m.DELETE_VERSION)
+        .when(F.col("c.type") == "PUT", F.when(counter, m.INCREMENT).otherwise(m.PUT))
         .otherwise("MERGE")
     )
-    return main.select(
+    increment = counter & (F.col("c.type") == "PUT")
+    return cells.select(
         F.lit("events").alias("table"), "c.row", "c.family",
-        F.when(kind == "purchase", F.lit(b"total")).otherwise(F.col("c.qualifier")).alias("qualifier"),
+        F.when(counter, F.lit(b"total")).otherwise(F.col("c.qualifier")).alias("qualifier"),
         F.when(F.col("c.type") == "DELETE_FAMILY", F.lit(LATEST)).otherwise(F.col("c.ts")).alias("ts"),
-        F.when(kind != "purchase", F.col("c.value")).alias("value"),
-        F.col("entry").alias("seq"), op.alias("op"),
-        F.when(kind == "purchase", F.col("c.value").cast("string").cast("bigint")).alias("amount"),
+        F.when(~increment, F.col("c.value")).alias("value"),
+        (F.col("entry") * 4 + F.col("place")).alias("seq"), op.alias("op"),
+        F.when(increment, F.col("c.value").cast("string").cast("bigint")).alias("amount"),
     )
 
 
-SQL_MUTATIONS = f"""{HEAD}, muts AS (SELECT 'events' AS "table", row_key, family,
-  CASE WHEN qualifier='purchase' THEN 'total' ELSE qualifier END AS qualifier,
-  CASE WHEN type='DELETE_FAMILY' THEN {LATEST} ELSE ts END AS ts, CASE WHEN qualifier<>'purchase' THEN value END AS value, entry AS seq,
-  CASE type WHEN 'DELETE_FAMILY' THEN 'DELETE_FAMILY' WHEN 'DELETE_COLUMN' THEN 'DELETE_COLUMN_TO'
-    WHEN 'PUT' THEN CASE WHEN qualifier='purchase' THEN 'INCREMENT' ELSE 'PUT' END ELSE 'MERGE' END AS op,
-  CASE WHEN qualifier='purchase' THEN CAST(value AS BIGINT) END AS amount
-  FROM entry_cells WHERE place=0 AND entry%53<>0),
- images AS (SELECT 'events' AS "table", row_key, 'tx' AS family, 'total' AS qualifier, max(ts) AS ts,
-   CAST(CAST(sum(amount) AS BIGINT) AS VARCHAR) AS value, max(seq) AS seq, 'PUT' AS op, NULL AS amount
-   FROM muts WHERE op='INCREMENT' GROUP BY row_key),
- offered AS (SELECT * FROM muts WHERE op NOT IN ('INCREMENT','MERGE') UNION ALL SELECT * FROM images)"""
+SQL_MUTATIONS = f"""{HEAD.replace("WITH", "WITH RECURSIVE", 1)}, muts AS (SELECT 'events' AS "table", row_key, family,
+  CASE WHEN counter THEN 'total' ELSE qualifier END AS qualifier,
+  CASE WHEN type='DELETE_FAMILY' THEN {LATEST} ELSE ts END AS ts, CASE WHEN NOT (counter AND type='PUT') THEN value END AS value,
+  entry*4 + place AS seq,
+  CASE type WHEN 'DELETE_FAMILY' THEN 'DELETE_FAMILY'
+    WHEN 'DELETE_COLUMN' THEN CASE WHEN ts={LATEST} THEN 'DELETE_COLUMN' ELSE 'DELETE_COLUMN_TO' END
+    WHEN 'DELETE' THEN 'DELETE_VERSION' WHEN 'PUT' THEN CASE WHEN counter THEN 'INCREMENT' ELSE 'PUT' END ELSE 'MERGE' END AS op,
+  CASE WHEN counter AND type='PUT' THEN CAST(value AS BIGINT) END AS amount
+  FROM (SELECT *, family='tx' AND qualifier='purchase' AS counter FROM entry_cells)),
+ good AS (SELECT * FROM muts WHERE op<>'MERGE' AND NOT (op='DELETE_VERSION' AND ts={LATEST})),
+ base AS (SELECT row_key, family, qualifier, ts, value FROM muts WHERE false), {sql_walk("good", "base")},
+ offered AS (SELECT * FROM good WHERE op<>'INCREMENT' UNION ALL
+  SELECT 'events', row_key, family, qualifier, ts, value, seq, 'PUT', NULL FROM images)"""
 REFUSED_SQL = "op='PUT' AND qualifier='click' AND value >= '9'"
 
 
@@ -225,11 +232,12 @@ def _refuses():
     return F.when(bad, F.lit("value out of range"))
 
 
-def _dual(spark, sf_dir):
+def _dual(spark, sf_dir, stream=None, concurrent=False):
     primary, secondary = (st.Copy(spark, new_path(spark, side)) for side in ("first", "second"))
     letters = new_path(spark, "letters")
-    stream = mutations_of(event_stream(spark, sf_dir))
-    st.dual_write(stream, primary, secondary, letters, new_path(spark, "progress"), _refuses())
+    stream = mutations_of(event_stream(spark, sf_dir)) if stream is None else stream
+    progress = new_path(spark, "progress")
+    st.dual_write(stream, primary, secondary, letters, progress, _refuses(), concurrent)
     return primary, secondary, letters
 
 
@@ -244,6 +252,18 @@ def dual_write(spark, sf_dir):
     return shown(secondary.read("events"))
 
 
+@query(
+    "dual_write_concurrent",
+    f"""{SQL_MUTATIONS}, {_replayed_sql(f"SELECT * FROM muts WHERE op NOT IN ('INCREMENT','MERGE') AND NOT ({REFUSED_SQL})")}
+SELECT row_key, family, qualifier, ts, value FROM state""",
+)
+def dual_write_concurrent(spark, sf_dir):
+    """The second copy where both are written at once; counters are left out of the stream."""
+    stream = mutations_of(event_stream(spark, sf_dir)).where(F.col("op") != m.INCREMENT)
+    _, secondary, _ = _dual(spark, sf_dir, stream, concurrent=True)
+    return shown(secondary.read("events"))
+
+
 @query(
     "dead_letter_replay",
     f"""{SQL_MUTATIONS}, {_replayed_sql("SELECT * FROM offered")}
@@ -254,8 +274,7 @@ def dead_letter_replay(spark, sf_dir):
     _, secondary, letters = _dual(spark, sf_dir)
     lost = st.read_dead_letters(spark, letters)
     log = secondary.log().drop("batch_id").unionByName(lost).drop("table")
-    empty = log.select(*CELL).limit(0)
-    return shown(m.replay(empty, log))
+    return shown(m.replay(spark.createDataFrame([], CELL_SCHEMA), log))
 
 
 @query(

@@ -123,8 +123,12 @@ def stored_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_cells(spark, sf_dir).where(F.col("ts") < SPLIT)
 
 
-SQL_LOG = f"""stored AS (SELECT row_key,family,qualifier,ts,value FROM cells WHERE ts < {SPLIT}),
-late AS (SELECT row_key, qualifier AS kind, ts, value, seq AS id FROM cells WHERE ts >= {SPLIT}),
+DAY = 86_400_000
+
+
+def sql_log(since: int) -> str:
+    return f"""stored AS (SELECT row_key,family,qualifier,ts,value FROM cells WHERE ts < {since}),
+late AS (SELECT row_key, qualifier AS kind, ts, value, seq AS id FROM cells WHERE ts >= {since}),
 log AS (
  SELECT row_key, CASE WHEN kind IN ('purchase','signup') THEN 'tx'
      WHEN kind='error' AND id%4=3 AND id%12<>3 THEN 'tx' ELSE 'nav' END AS family,
@@ -139,17 +143,27 @@ log AS (
  FROM late
  UNION ALL
  SELECT row_key, 'nav', 'view', ts, NULL, id*2 + CASE WHEN id%10=0 THEN 1 ELSE -1 END, 'DELETE_VERSION', NULL
- FROM late WHERE kind='view' AND id%10 IN (0,5))"""
+ FROM late WHERE kind='view' AND id%10 IN (0,5)
+ UNION ALL
+ SELECT row_key, 'tx', CASE WHEN kind='purchase' THEN 'total' ELSE 'log' END,
+   CASE id%10 WHEN 3 THEN ts - {3 * DAY} WHEN 9 THEN ts + 1 ELSE ts END,
+   CASE WHEN id%10 IN (3,9) THEN CAST(id AS VARCHAR) END, id*2 + 1,
+   CASE id%10 WHEN 5 THEN 'DELETE_VERSION' WHEN 7 THEN 'DELETE_COLUMN_TO' ELSE 'PUT' END, NULL
+ FROM late WHERE kind IN ('purchase','signup') AND id%10 IN (3,5,7,9))"""
+
 
+SQL_LOG = sql_log(SPLIT)
 
-def mutation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def mutation_log(spark: SparkSession, sf_dir: str, since: int = SPLIT) -> DataFrame:
     """Later events as mutations of every kind.
 
     Views and clicks are puts, purchases increments, signups appends, errors deletes;
     some views are deleted again right after (or, without effect, right before) they
-    are put.
+    are put.  Some increments and appends are followed by a put of an older or a newer
+    version of their column, by a delete of the version they wrote, or of all up to it.
     """
-    events = event_cells(spark, sf_dir, seq=True).where(F.col("ts") >= SPLIT)
+    events = event_cells(spark, sf_dir, seq=True).where(F.col("ts") >= since)
     kind, number = F.col("qualifier").cast("string"), F.col("seq")
     error, turn = kind == "error", F.col("seq") % 4
     none = F.lit(None)
@@ -188,7 +202,51 @@ def mutation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((kind == "view") & (number % 10).isin(0, 5), "DELETE_VERSION").alias("op"),
         none.cast("bigint").alias("amount"),
     )
-    return events.select("row", F.inline(F.array(main, point))).where(F.col("op").isNotNull())
+    digit, counter = number % 10, kind == "purchase"
+    written = F.when(counter, long_to_bytes(number)).otherwise(number.cast("string").cast("binary"))
+    after = F.struct(
+        F.lit("tx").alias("family"),
+        F.when(counter, "total").otherwise("log").cast("binary").alias("qualifier"),
+        (F.col("ts") + F.when(digit == 3, -3 * DAY).when(digit == 9, 1).otherwise(0)).alias("ts"),
+        F.when(digit.isin(3, 9), written).alias("value"),
+        (number * 2 + 1).alias("seq"),
+        F.when(
+            kind.isin("purchase", "signup") & digit.isin(3, 5, 7, 9),
+            F.when(digit == 5, "DELETE_VERSION").when(digit == 7, "DELETE_COLUMN_TO").otherwise("PUT"),
+        ).alias("op"),
+        none.cast("bigint").alias("amount"),
+    )
+    return events.select("row", F.inline(F.array(main, point, after))).where(F.col("op").isNotNull())
+
+
+def sql_walk(log: str, base: str) -> str:
+    """CTEs up to ``images``: what each increment and append of ``log`` writes.
+
+    Every such column is taken through its events in order, with the list of its live
+    versions; ``base`` are cells with values as text.
+    """
+    same = "x.row_key=y.row_key AND x.family=y.family AND x.qualifier=y.qualifier"
+    newest = "list_max(x.vs)"
+    at = f"greatest(y.ts, coalesce({newest}.ts, y.ts))"
+    value = f"""CASE y.op WHEN 'INCREMENT' THEN CAST(CAST(coalesce({newest}.v,'0') AS BIGINT) + y.amount AS VARCHAR)
+      ELSE coalesce({newest}.v,'') || y.value END"""
+    return f"""walked AS (SELECT DISTINCT row_key,family,qualifier FROM {log} WHERE op IN ('INCREMENT','APPEND')),
+steps AS (SELECT w.row_key, w.family, w.qualifier, d.seq, d.op, d.ts, d.value, d.amount,
+   row_number() OVER (PARTITION BY w.row_key, w.family, w.qualifier ORDER BY d.seq) AS n
+  FROM walked w JOIN {log} d ON d.row_key=w.row_key AND (d.op='DELETE_ROW' OR (d.family=w.family AND (d.op='DELETE_FAMILY'
+   OR (d.qualifier=w.qualifier AND d.op IN ('PUT','INCREMENT','APPEND','DELETE_COLUMN','DELETE_COLUMN_TO','DELETE_VERSION')))))),
+walk AS (SELECT w.row_key, w.family, w.qualifier, CAST(0 AS BIGINT) AS n, CAST(-1 AS BIGINT) AS seq, '' AS op, CAST(NULL AS BIGINT) AS wts,
+   CAST(NULL AS VARCHAR) AS result, coalesce((SELECT list({{'ts': b.ts, 'v': b.value}}) FROM {base} b WHERE b.row_key=w.row_key
+    AND b.family=w.family AND b.qualifier=w.qualifier), CAST([] AS STRUCT(ts BIGINT, v VARCHAR)[])) AS vs FROM walked w
+ UNION ALL
+ SELECT y.row_key, y.family, y.qualifier, y.n, y.seq, y.op, {at}, {value}, CASE
+   WHEN y.op='PUT' THEN list_append(list_filter(x.vs, lambda z: z.ts<>y.ts), {{'ts': y.ts, 'v': y.value}})
+   WHEN y.op='DELETE_VERSION' THEN list_filter(x.vs, lambda z: z.ts<>y.ts)
+   WHEN y.op='DELETE_COLUMN_TO' THEN list_filter(x.vs, lambda z: z.ts>y.ts)
+   WHEN y.op IN ('INCREMENT','APPEND') THEN list_append(list_filter(x.vs, lambda z: z.ts<>{at}), {{'ts': {at}, 'v': {value}}})
+   ELSE CAST([] AS STRUCT(ts BIGINT, v VARCHAR)[]) END
+ FROM walk x JOIN steps y ON {same} AND y.n = x.n + 1),
+images AS (SELECT row_key, family, qualifier, wts AS ts, result AS value, seq, op FROM walk WHERE op IN ('INCREMENT','APPEND'))"""
 
 
 # ---- a second copy of the event table, with every kind of difference ---------
@@ -222,22 +280,21 @@ def mirror_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- exported cells with delete markers -------------------------------------
 
-SQL_TYPED = """typed AS (SELECT row_key, family, CASE WHEN qualifier='error' THEN 'view' ELSE qualifier END AS qualifier,
+SQL_TYPED = f"""typed AS (SELECT row_key, family, CASE WHEN qualifier='error' THEN 'view' ELSE qualifier END AS qualifier,
   ts, value, CASE WHEN qualifier<>'error' THEN 'PUT' ELSE
     ['DELETE','DELETE_FAMILY_VERSION','DELETE_COLUMN','DELETE_FAMILY'][1 + seq%4] END AS type, seq FROM (
-  SELECT row_key, family, qualifier, CASE WHEN qualifier IN ('error','view') AND seq%4 < 2 THEN ts - ts%43200000 ELSE ts END AS ts,
-    value, seq FROM cells WHERE qualifier<>'error' OR seq%4<2 OR ts < 1704326400000) e)"""
+  SELECT row_key, family, qualifier, CASE WHEN qualifier IN ('error','view') AND seq%4 < 2 THEN ts - ts%43200000
+    WHEN qualifier='error' AND ts >= 1704326400000 THEN ts - {30 * DAY} ELSE ts END AS ts, value, seq FROM cells) e)"""
 
 
 def typed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as exported cells: errors become delete markers of the four kinds.
 
     Exact markers, and half of the views, have timestamps cut to half a day, so that
-    some meet; markers that reach back are kept for the first days only.
+    some meet; markers that reach back do so from the first days, later ones from a month before.
     """
     cells = event_cells(spark, sf_dir, seq=True)
     error, turn = F.col("qualifier") == F.lit(b"error"), F.col("seq") % 4
-    cells = cells.where(~error | (turn < 2) | (F.col("ts") < 1704326400000))
     half_day = (error | (F.col("qualifier") == F.lit(b"view"))) & (turn < 2)
     kinds = ["DELETE", "DELETE_FAMILY_VERSION", "DELETE_COLUMN", "DELETE_FAMILY"]
     marker = F.element_at(F.array(*[F.lit(kind) for kind in kinds]), (turn + 1).cast("int"))
@@ -245,7 +302,10 @@ def typed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row",
         "family",
         F.when(error, F.lit(b"view")).otherwise(F.col("qualifier")).alias("qualifier"),
-        F.when(half_day, F.col("ts") - F.col("ts") % 43200000).otherwise(F.col("ts")).alias("ts"),
+        F.when(half_day, F.col("ts") - F.col("ts") % 43200000)
+        .when(error & (F.col("ts") >= 1704326400000), F.col("ts") - 30 * DAY)
+        .otherwise(F.col("ts"))
+        .alias("ts"),
         "value",
         F.when(error, marker).otherwise("PUT").alias("type"),
         "seq",

@@ -4,10 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellarium.model import from_wide, to_wide
+from cellarium.operators import compare as c
 from cellarium.operators import importing as imp
 from cellarium.operators import splits as s
 from cellarium.operators.filters import FamilyIs
-from cellarium.operators.scan import ScanSpec
+from cellarium.operators.scan import ScanSpec, locate
 from cellarium.sources import tables as t
 
 
@@ -104,13 +105,46 @@ def test_regions_never_share_a_file(spark, make_cells, tmp_path):
     cells = make_cells([(f"{i:03d}", "f", "q", 1, "v") for i in range(60)])
     splits = spark.createDataFrame([(b"",), (b"020",), (b"045",)], "start binary")
     t.write_regions(cells, splits, str(tmp_path / "out"))
-    found = spark.read.parquet(str(tmp_path / "out")).groupBy("region").agg(
+    found = t.read_regions(spark, str(tmp_path / "out")).groupBy("region").agg(
         F.min("row").alias("lo"), F.max("row").alias("hi")
     )
-    got = {bytes.fromhex(r.region[5:]): (bytes(r.lo), bytes(r.hi)) for r in found.collect()}
+    named = found.join(t.region_starts(spark, str(tmp_path / "out")), "region").collect()
+    got = {bytes(r.start): (bytes(r.lo), bytes(r.hi)) for r in named}
     assert got == {b"": (b"000", b"019"), b"020": (b"020", b"044"), b"045": (b"045", b"059")}
 
 
+@pytest.mark.parametrize("searched", ["200", "1"])
+def test_split_keys_of_any_length(spark, make_cells, tmp_path, searched):
+    spark.conf.set("spark.cellarium.searchedSpans", searched)
+    try:
+        cells = make_cells([(f"{'k' * 200}{i}", "f", "q", 1, "v") for i in range(9)])
+        splits = spark.createDataFrame([(b"",), (b"k" * 200 + b"4",), (b"z" * 9000,)], "start binary")
+        path = str(tmp_path / "out")
+        t.write_regions(cells, splits, path)
+        found = t.read_regions(spark, path).join(t.region_starts(spark, path), "region").collect()
+    finally:
+        spark.conf.unset("spark.cellarium.searchedSpans")
+    assert len(found) == 9
+    assert {bytes(r.start)[-1:] for r in found if bytes(r.row)[-1:] < b"4"} == {b""}
+    assert {bytes(r.start)[-1:] for r in found if bytes(r.row)[-1:] >= b"4"} == {b"4"}
+
+
+def test_few_split_points_cost_no_shuffle_before_the_last_one(spark, make_cells, tmp_path):
+    path = str(tmp_path / "cells")
+    make_cells([(f"{i:03d}", "f", "q", 1, "v") for i in range(60)]).write.parquet(path)
+    spans = spark.createDataFrame([(b"", 1), (b"020", 2)], "span_start binary, region int")
+    plan = locate(spark.read.parquet(path), "row", spans)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "ShuffleQueryStage" not in plan and "hashpartitioning" not in plan
+
+
+def test_doubled_cells_do_not_match(spark, make_cells):
+    twice = make_cells([("a", "f", "q", 1, "v"), ("a", "f", "q", 1, "v"), ("b", "f", "q", 1, "v")])
+    once = make_cells([("b", "f", "q", 1, "v")])
+    ranges = c.hash_ranges(twice, 10_000)
+    assert [r.matches for r in c.sync_ranges(ranges, once).collect()] == [False]
+    assert [r.matches for r in c.sync_ranges(ranges, twice).collect()] == [True]
+
+
 def test_snapshot_specs(spark):
     assert t.snapshot_tables("a:x, b ,") == {"a": "x", "b": "b"}
     for bad in ("a:b:c", ":x", "a:"):
@@ -152,21 +186,30 @@ def test_balanced_splits(skewed):
     assert got[-1].stop is None
 
 
+@pytest.mark.parametrize("prefix", [b"", b"user:", b"a long shared prefix "])
 @pytest.mark.parametrize("buckets", [7, 300])
-def test_uniform_buckets(spark, make_cells, buckets):
-    keys = [bytes([a, c]) for a in range(1, 200, 3) for c in (0, 77, 255)] + [b"\x20"]
+def test_uniform_buckets(spark, make_cells, buckets, prefix):
+    keys = [prefix + bytes([a, c]) for a in range(1, 200, 3) for c in (0, 77, 255)] + [prefix + b"\x20"]
     cells = make_cells([(k, "f", "q", 1, "v") for k in keys])
-    low, high = 0x20 << 48, 0xA0 << 48
+    start, stop = prefix + b"\x20", prefix + b"\xa0"
+    width = len(prefix) + 9
+    low, high = (int.from_bytes(k.ljust(width, b"\x00")) for k in (start, stop))
     want = {}
     for k in keys:
-        n = int.from_bytes(k.ljust(7, b"\x00"))
+        n = int.from_bytes(k.ljust(width, b"\x00"))
         if low <= n < high:
             bucket = (n - low) * buckets // (high - low)
             want[bucket] = want.get(bucket, 0) + 1
-    got = s.uniform_buckets(cells, b"\x20", b"\xa0", buckets).collect()
+    got = s.uniform_buckets(cells, start, stop, buckets).collect()
     assert {r.bucket: r.cells for r in got} == want
 
 
+def test_neighbouring_keys_are_cut_evenly(spark, make_cells):
+    cells = make_cells([(f"user:{i:04d}", "f", "q", 1, "v") for i in range(8)])
+    got = s.uniform_buckets(cells, b"user:0000", b"user:0008", 4).collect()
+    assert {r.bucket: r.cells for r in got} == {0: 2, 1: 2, 2: 2, 3: 2}
+
+
 def test_shards_cover_everything_once(spark, make_cells):
     cells = make_cells([(f"r{i}", "f", "q", 1, "v") for i in range(50)])
     parts = [{bytes(r.row) for r in s.select_shard(cells, F.col("row"), 3, i).collect()} for i in range(3)]

@@ -14,17 +14,34 @@ def number(n):
     return n.to_bytes(8, "big", signed=True)
 
 
-def one_by_one(base, log):
-    """Applies puts and deletes in order, as a store would."""
-    table = {c[:4]: c[4] for c in base}
+def one_by_one(base, log, results=None, max_bytes=m.MAX_CELL_BYTES):
+    """Applies every kind of mutation in order, as a store would."""
+    table = {c[:4]: c[4] if isinstance(c[4], bytes) else c[4].encode() for c in base}
     for x in sorted(log, key=lambda x: x["seq"]):
-        op, ts = x["op"], x["ts"]
+        op, ts = x["op"], x.get("ts")
+        where = (x["row"], x.get("family"), x.get("qualifier"))
+        value = x.get("value")
+        value = value.encode() if isinstance(value, str) else value
         if op == m.PUT:
-            table[x["row"], x["family"], x["qualifier"], ts] = x["value"]
+            table[(*where, ts)] = value
+            continue
+        if op in (m.INCREMENT, m.APPEND):
+            newest = max((key[3] for key in table if key[:3] == where), default=None)
+            before = table[(*where, newest)] if newest is not None else None
+            if op == m.APPEND:
+                after = (before or b"") + value
+                failed = len(after) > max_bytes
+            else:
+                failed = before is not None and len(before) != 8
+                after = None if failed else number(int.from_bytes(before or b"", "big", signed=True) + x["amount"])
+            if results is not None:
+                results[x["seq"]] = None if failed else after
+            if not failed:
+                table[(*where, ts if newest is None else max(ts, newest))] = after
             continue
         for key in list(table):
             row, family, qualifier, at = key
-            column = (family, qualifier) == (x["family"], x["qualifier"])
+            column = (family, qualifier) == where[1:]
             if row == x["row"] and (
                 op == m.DELETE_ROW
                 or (op == m.DELETE_FAMILY and family == x["family"])
@@ -33,24 +50,80 @@ def one_by_one(base, log):
                 or (op == m.DELETE_VERSION and column and at == ts)
             ):
                 del table[key]
-    return sorted((*key, value) for key, value in table.items())
+    return sorted((*key, value.decode("latin1")) for key, value in table.items())
 
 
-@pytest.mark.parametrize("seed", range(2))
+def any_log(rng, size, rows, counters_only):
+    """Every kind of operation at explicit timestamps, on few columns."""
+    ops = [m.PUT] * 4 + [m.INCREMENT] * 5 + [m.DELETE_ROW, m.DELETE_FAMILY, m.DELETE_COLUMN]
+    if not counters_only:
+        ops += [m.APPEND] * 3 + [m.DELETE_COLUMN_TO] * 2 + [m.DELETE_VERSION] * 2
+    log = []
+    for i in range(size):
+        op = rng.choice(ops)
+        x = {"row": rows(), "family": rng.choice("fg"), "qualifier": rng.choice("xy"),
+             "ts": rng.randrange(8), "seq": i, "op": op}
+        if op == m.PUT:
+            x["value"] = number(rng.randrange(-50, 50)) if counters_only or rng.random() < 0.8 else b"odd"
+        elif op == m.APPEND:
+            x["value"] = b"+" * rng.choice([0, 1, 8])
+        elif op == m.INCREMENT:
+            x["amount"] = rng.randrange(-9, 9)
+        log.append(x)
+    return log
+
+
+@pytest.mark.parametrize("seed", range(4))
 def test_replay_is_the_one_by_one_result(skewed, make_cells, make_log, listed, seed):
     rng = random.Random(seed)
-    row = lambda: "hot" if rng.random() < 0.4 else f"r{rng.randrange(5)}"
-    base = {(row(), rng.choice("fg"), rng.choice("xy"), rng.randrange(6)): "b" for _ in range(30)}
+    row = lambda: "hot" if rng.random() < 0.4 else f"r{rng.randrange(4)}"
+    base = {(row(), rng.choice("fg"), rng.choice("xy"), rng.randrange(8)): number(7) for _ in range(20)}
     base = [(*key, value) for key, value in base.items()]
-    ops = [m.PUT] * 6 + [m.DELETE_ROW, m.DELETE_FAMILY, m.DELETE_COLUMN, m.DELETE_COLUMN_TO,
-                         m.DELETE_COLUMN_TO, m.DELETE_VERSION]
-    log = [
-        {"row": row(), "family": rng.choice("fg"), "qualifier": rng.choice("xy"),
-         "ts": rng.randrange(6), "value": f"v{i}", "seq": i, "op": rng.choice(ops)}
-        for i in range(90)
-    ]
-    got = listed(m.replay(make_cells(base), make_log(log)))
-    assert got == one_by_one(base, log)
+    log = any_log(rng, 120, row, counters_only=seed % 2 == 0)
+    results = {}
+    want = one_by_one(base, log, results)
+    assert listed(m.replay(make_cells(base), make_log(log))) == want
+    out = m.batch_results(make_cells(base), make_log(log)).collect()
+    refused = {x["seq"] for x in log if x["op"] in (m.DELETE_ROW, m.DELETE_FAMILY)}
+    if not refused:
+        got = {r.seq: r.result and bytes(r.result) for r in out if r.seq in results}
+        assert got == results
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_results_of_a_batch_are_the_one_by_one_results(skewed, make_cells, make_log, seed):
+    rng = random.Random(10 + seed)
+    base = [("hot", "f", "x", 3, number(5)), ("r", "f", "x", 9, number(1)), ("r", "g", "y", 2, b"text")]
+    log = any_log(rng, 100, lambda: rng.choice(["hot", "hot", "r"]), counters_only=False)
+    for x in log:
+        if x["op"] in (m.DELETE_ROW, m.DELETE_FAMILY):
+            x["ts"] = LATEST
+    results = {}
+    one_by_one(base, log, results, max_bytes=20)
+    out = m.batch_results(make_cells(base), make_log(log), max_bytes=20).collect()
+    assert {r.seq: r.result and bytes(r.result) for r in out if r.seq in results} == results
+    assert all(r.ok == (results[r.seq] is not None) for r in out if r.seq in results)
+    assert any(v is None for v in results.values())
+
+
+@pytest.mark.parametrize(
+    "op,ts,value,want",
+    [
+        (m.PUT, 50, number(999), number(11)),
+        (m.PUT, 150, number(999), number(1000)),
+        (m.DELETE_COLUMN_TO, 150, None, number(1)),
+        (m.DELETE_COLUMN_TO, 50, None, number(11)),
+        (m.DELETE_VERSION, 100, None, number(1)),
+    ],
+)
+def test_a_counter_starts_from_the_newest_version(skewed, make_cells, make_log, op, ts, value, want):
+    column = {"row": "r", "family": "f", "qualifier": "q"}
+    log = make_log([
+        {**column, "ts": ts, "value": value, "seq": 0, "op": op},
+        {**column, "ts": 200, "seq": 1, "op": m.INCREMENT, "amount": 1},
+    ])
+    base = make_cells([("r", "f", "q", 100, number(10))])
+    assert [(r.ts, bytes(r.value)) for r in m.increments(base, log).collect()] == [(200, want)]
 
 
 def test_many_undominated_marks_are_walked(skewed, make_cells, make_log, listed, monkeypatch):
@@ -84,20 +157,19 @@ def test_counters(skewed, make_cells, make_log):
         {"row": "b", "seq": 31, "op": m.DELETE_ROW, "ts": LATEST},
         inc(32, "b", 2),
         inc(33, "c", 3),
-        {"row": "c", "family": "f", "qualifier": "n", "ts": 9, "value": number(50), "seq": 34, "op": m.PUT},
+        {"row": "c", "family": "f", "qualifier": "n", "ts": 999, "value": number(50), "seq": 34, "op": m.PUT},
         inc(35, "c", 1),
+        {"row": "c", "family": "f", "qualifier": "n", "ts": 9, "value": number(0), "seq": 36, "op": m.PUT},
+        inc(37, "c", 1),
     ]
-    log = make_log(log)
-    got = {bytes(r.row): int.from_bytes(bytes(r.value), "big", signed=True)
-           for r in m.increments(base, log).collect()}
-    assert got == {b"a": 27, b"b": 2, b"c": 51}
-    returned = {r.seq: r.result for r in m.running_increments(base, log).collect()}
+    found = m.increments(base, make_log(log)).collect()
+    returned = {r.seq: int.from_bytes(bytes(r.value), "big", signed=True) for r in found}
     assert [returned[i] for i in range(20)] == list(range(8, 28))
-    assert [returned[i] for i in (30, 32, 33, 35)] == [-3, 2, 3, 51]
+    assert [returned[i] for i in (30, 32, 33, 35, 37)] == [-3, 2, 3, 51, 52]
+    assert {r.seq: r.ts for r in found if r.seq > 30} == {32: 132, 33: 133, 35: 999, 37: 999}
 
 
-def test_appends(skewed, make_cells, make_log, monkeypatch):
-    monkeypatch.setattr(m, "APPEND_PIECES", 4)
+def test_appends(skewed, make_cells, make_log):
     base = make_cells([("a", "f", "q", 1, "start-"), ("b", "f", "q", 1, "gone")])
     add = lambda seq, row, v: {"row": row, "family": "f", "qualifier": "q", "ts": seq,
                                "value": v, "seq": seq, "op": m.APPEND}
@@ -107,10 +179,30 @@ def test_appends(skewed, make_cells, make_log, monkeypatch):
         add(42, "b", ""),
         add(43, "b", "y"),
     ]
-    got = {bytes(r.row): bytes(r.value) for r in m.appends(base, make_log(log)).collect()}
-    assert got == {b"a": ("start-" + "".join(f"{i}." for i in range(23))).encode(), b"b": b"y"}
-    with pytest.raises(ValueError, match="exceed 10 bytes"):
-        m.appends(base, make_log(log), max_bytes=10)
+    got = {r.seq: bytes(r.value) for r in m.appends(base, make_log(log)).collect()}
+    assert got[22] == ("start-" + "".join(f"{i}." for i in range(23))).encode()
+    assert (got[40], got[42], got[43]) == (b"gonex", b"", b"y")
+    short = {r.seq: bytes(r.value) for r in m.appends(base, make_log(log), max_bytes=8).collect()}
+    assert {k: v for k, v in short.items() if k < 40} == {0: b"start-0."}
+
+
+def test_a_failed_action_is_a_row_of_its_own(spark, make_cells, make_log):
+    column = {"row": "r", "family": "f", "qualifier": "q", "ts": 5}
+    log = make_log([
+        {**column, "seq": 0, "op": m.INCREMENT, "amount": 1},
+        {**column, "seq": 1, "op": m.APPEND, "value": "x" * 50},
+        {**column, "seq": 2, "op": m.APPEND, "value": "yz"},
+        {**column, "seq": 3, "op": m.PUT, "ts": 9, "value": number(4)},
+        {**column, "seq": 4, "op": m.INCREMENT, "amount": 1},
+    ])
+    base = make_cells([("r", "f", "q", 1, b"\x00\x00\x00\x07")])
+    out = m.batch_results(base, log, max_bytes=20).collect()
+    got = {r.seq: (r.ok, r.result and bytes(r.result)) for r in out}
+    assert got == {0: (False, None), 1: (False, None), 2: (True, b"\x00\x00\x00\x07yz"), 3: (True, None),
+                   4: (True, number(5))}
+    assert {r.seq: r.error for r in out if not r.ok} == {
+        0: "increment of a value that is not 8 bytes", 1: "appended cell too large"
+    }
 
 
 def test_refused_actions_do_not_stop_others(spark, make_cells, make_log):
@@ -191,38 +283,51 @@ def test_mutations_must_stay_in_the_checked_row(spark, make_cells, make_log):
         check_and_mutate(make_cells([]), checks, puts, now=99)
 
 
+@pytest.mark.parametrize("plain", [True, False])
 @pytest.mark.parametrize("seed", range(2))
-def test_chained_checks(skewed, make_cells, make_log, seed):
-    """Each check sees what earlier ones did, also their row and family deletes."""
+def test_chained_checks(skewed, make_cells, make_log, seed, plain):
+    """Each check sees what earlier ones did, with explicit timestamps and all kinds of mutations."""
     rng = random.Random(seed)
-    state, rows, log, want = {("hot", "x"): "5"}, [], [], {}
-    base = make_cells([("hot", "f", "x", 1, "5")])
-    for seq in range(40):
+    base = [("hot", "f", "x", 4, "5"), ("cold", "f", "y", 2, "7")]
+    rows, log, applied_log, want = [], [], [], {}
+    kinds = [m.PUT] * 5 + [m.DELETE_COLUMN, m.DELETE_FAMILY, m.DELETE_ROW]
+    kinds += [] if plain else [m.DELETE_COLUMN_TO, m.DELETE_VERSION, m.APPEND, m.APPEND]
+    for seq in range(60):
         row = "hot" if rng.random() < 0.6 else "cold"
         q, op, expected = rng.choice("xy"), rng.choice(["=", "<", ">", "!="]), rng.choice([None, *"3579"])
         rows.append((seq, row, q, op, expected, None, None))
-        stored = state.get((row, q))
+        state = one_by_one(base, applied_log)
+        stored = [c for c in state if (c[0], c[2]) == (row, q)]
+        stored = max(stored, key=lambda c: c[3])[4] if stored else None
         if expected is None:
             want[seq] = (stored is not None) if op == "!=" else stored is None
         else:
-            compared = {"=": expected == stored, "!=": expected != stored}
-            if stored is not None:
-                compared |= {"<": expected < stored, ">": expected > stored}
-            want[seq] = stored is not None and compared[op]
-        kind = rng.choice([m.PUT, m.PUT, m.PUT, m.DELETE_COLUMN, m.DELETE_FAMILY, m.DELETE_ROW])
-        target, value = rng.choice("xy"), rng.choice("3579")
-        log.append({"row": row, "family": "f", "qualifier": target, "value": value, "seq": seq, "op": kind})
+            want[seq] = stored is not None and {
+                "=": expected == stored, "!=": expected != stored,
+                "<": expected < stored, ">": expected > stored,
+            }[op]
+        kind = rng.choice(kinds)
+        x = {"row": row, "family": "f", "qualifier": rng.choice("xy"), "ts": rng.randrange(8),
+             "seq": seq, "op": kind}
+        if kind in (m.PUT, m.APPEND):
+            x["value"] = rng.choice("3579")
+        log.append(x)
         if want[seq]:
-            if kind == m.PUT:
-                state[row, target] = value
-            for key in list(state):
-                if key[0] == row and kind != m.PUT and (kind != m.DELETE_COLUMN or key[1] == target):
-                    del state[key]
-    flags, applied = check_and_mutate(base, checks_of(skewed, rows), make_log(log), now=50)
+            applied_log.append(x)
+    flags, applied = check_and_mutate(make_cells(base), checks_of(skewed, rows), make_log(log), now=50)
     assert {r.seq: r.applied for r in flags.collect()} == want
     assert {r.seq for r in applied.collect()} == {s for s, yes in want.items() if yes}
 
 
+def test_a_long_chain_of_compare_and_set_is_one_pass(spark, make_cells, make_log):
+    n = 3000
+    rows = [(s, "r", "q", "=", str(s), None, None) for s in range(n)]
+    puts = [{"row": "r", "family": "f", "qualifier": "q", "value": str(s + 1), "ts": s + 2, "seq": s, "op": m.PUT}
+            for s in range(n)]
+    flags, _ = check_and_mutate(make_cells([("r", "f", "q", 1, "0")]), checks_of(spark, rows), make_log(puts), now=9)
+    assert flags.where("applied").count() == n
+
+
 def test_rows_the_log_does_not_name_are_not_shuffled(spark, make_cells, make_log, tmp_path):
     path = str(tmp_path / "base")
     make_cells([(f"r{i}", "f", "q", 1, "v") for i in range(20)]).write.parquet(path)

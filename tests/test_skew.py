@@ -175,9 +175,30 @@ def test_hot_row_is_split_in_a_join_although_a_window_follows(spark):
     assert "skew=true" in text
 
 
-def test_release_deletes_what_was_cut(spark, tmp_path):
-    made, scratch._made[:] = list(scratch._made), []
-    cut = scratch.settle(spark.range(5).toDF("n"))
-    assert cut.count() == 5
-    assert scratch.release(spark) == 1
-    scratch._made[:] = made
+def test_a_run_deletes_its_own_tables_only(spark):
+    kept = scratch.settle(spark.range(3).toDF("n"))
+    with scratch.run(spark):
+        cut = scratch.settle(spark.range(5).toDF("n"))
+        assert cut.count() == 5
+        gone = scratch.new_path(spark)
+        spark.range(1).write.parquet(gone)
+    assert kept.count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(gone)
+
+
+def test_more_hot_keys_than_are_listed(spark):
+    rows = [(f"k{i % 30}", i, i) for i in range(600)]
+    df = spark.createDataFrame(rows, "k string, at bigint, v bigint")
+    spark.conf.set(HOT_ROWS_SETTING, "5")
+    spark.conf.set(skew.HOT_KEYS_SETTING, "7")
+    try:
+        hot, pieces = hot_keys(df, ["k"])
+        assert hot.count() == 30 and pieces == 600 // 5 + 1
+        got = running(df, ["k"], [F.col("at").asc()], {"n": ("sum", F.lit(1).cast("bigint"))}).collect()
+        assert {(r.k, r.at): r.n for r in got} == {(k, at): at // 30 + 1 for k, at, _ in rows}
+        found = lookup(df, spark.createDataFrame([("k3", "x")], "k string, w string"), ["k"])
+        assert found.where("w = 'x'").count() == 20 and found.count() == 600
+    finally:
+        spark.conf.unset(HOT_ROWS_SETTING)
+        spark.conf.unset(skew.HOT_KEYS_SETTING)

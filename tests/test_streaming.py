@@ -55,7 +55,7 @@ def test_kinds_of_mutations(spark, entries):
         (4, "t", 9, [cell("DELETE_FAMILY"), cell("DELETE_FAMILY_VERSION"), cell("APPEND")]),
         (5, "t", 20, [cell("PUT", 21), cell("PUT", 2**63 // 1000), cell("PUT", LATEST)]),
     )
-    n = ch.ENTRY_CELLS
+    n = ch.PLACES
     assert ops(log) == {
         n: m.PUT, n + 1: m.DELETE_VERSION, n + 2: None, n + 3: m.DELETE_COLUMN_TO,
         n + 4: m.DELETE_COLUMN, n + 5: m.DELETE_FAMILY, 2 * n: m.DELETE_FAMILY, 3 * n: None,
@@ -91,7 +91,7 @@ def test_origin_tag_follows_the_last_cell_of_a_row(spark, entries):
     )
     tags = ch.origin_tags(ch.to_log(ch.classify(log)), "ME").collect()
     got = {bytes(r.row): (r.family, r.seq, bytes(r.qualifier), r.ts, r.op) for r in tags}
-    n = ch.ENTRY_CELLS
+    n = ch.PLACES
     assert got == {b"r": ("c", 2 * n + 1, b"ME", 0, m.DELETE_VERSION),
                    b"s": ("b", n + 2, b"ME", 0, m.DELETE_VERSION)}
 
@@ -182,11 +182,44 @@ def test_dual_write(spark, mutations, as_stream, listed, tmp_path):
     lost = st.read_dead_letters(spark, letters)
     assert [(r.seq, r.op, bytes(r.value)) for r in lost.collect()] == [(4, m.PUT, b"bad")]
     raw = spark.read.json(letters).first()
-    assert raw.cause == "refused" and raw.mutationType == "put"
+    assert (raw.reason, raw.op, raw.batch) == ("refused", m.PUT, 1)
     both = two.log().drop("batch_id").unionByName(lost).drop("table")
     assert newest(m.replay(spark.createDataFrame([], two.read("t").schema), both))["q"] == "bad"
 
 
+def test_failed_writes_go_to_a_callable(spark, mutations, as_stream, tmp_path):
+    at = {"row": "r", "family": "f", "qualifier": "q"}
+    log = mutations([at | {"ts": 1, "value": v, "seq": i, "op": m.PUT} for i, v in enumerate(("a", "bad"))])
+    one, two = (st.Copy(spark, str(tmp_path / name)) for name in ("one", "two"))
+    seen = []
+    refuses = F.when(F.col("value") == F.lit(b"bad"), F.lit("refused"))
+    consume = lambda failed, batch_id: seen.extend((batch_id, r.seq, r.error) for r in failed.collect())
+    st.dual_write(as_stream(log, [F.lit(True)]), one, two, consume, str(tmp_path / "p"), refuses)
+    assert seen == [(0, 1, "refused")]
+
+
+def test_a_batch_reads_back_its_own_rows_only(spark, mutations, monkeypatch, tmp_path):
+    put = lambda row, seq, op, **more: {"row": row, "family": "f", "qualifier": "n", "ts": seq, "seq": seq,
+                                        "op": op, **more}
+    one = st.Copy(spark, str(tmp_path / "one"))
+    first = [put(f"r{i}", i, m.INCREMENT, amount=i) for i in range(50)]
+    one.append(mutations(first), 0)
+    replayed = []
+    real = m.replay
+    monkeypatch.setattr(st.m, "replay", lambda base, log: replayed.append((base.count(), log.count())) or real(base, log))
+    images = st._images(one, mutations([put("r7", 99, m.INCREMENT, amount=1)]), 1).collect()
+    assert replayed == [(0, 1)]
+    assert [(bytes(r.row), int.from_bytes(bytes(r.value), "big")) for r in images] == [(b"r7", 8)]
+
+
+def test_an_entry_of_many_cells_keeps_its_own_order(spark, entries):
+    log = entries((1, "t", 20, [cell("PUT")] * 100_002), (2, "t", 20, [cell("PUT")]), (2**62, "t", 20, [cell("PUT")]))
+    order = ch.to_log(ch.classify(log))
+    assert order.select("seq").distinct().count() == 100_004
+    top = [int(r.seq) for r in order.orderBy(F.col("seq").desc()).limit(2).collect()]
+    assert top == [2**62 * ch.PLACES, 2 * ch.PLACES]
+
+
 def test_concurrent_dual_write_offers_everything(spark, mutations, as_stream, tmp_path):
     at = {"row": "r", "family": "f", "qualifier": "q"}
     log = mutations([at | {"ts": 1, "value": "v", "seq": 1, "op": m.PUT}, at | {"ts": 1, "seq": 2, "op": m.PUT}])
