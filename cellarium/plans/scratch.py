@@ -17,9 +17,15 @@ SHARED_DIR = "spark.checkpoint.dir"
 _runs: list[list[str]] = [[]]
 
 
-def new_path(spark: SparkSession, label: str = "cut") -> str:
+# The run of the stage that next_stage has opened.
+_stage: list[str] | None = None
+
+
+def new_path(spark: SparkSession, label: str = "cut", outlive: bool = False) -> str:
     """A fresh path in the shared folder, owned by the run that is open.
 
+    With ``outlive`` the run around an open stage owns it, so that it stays for the next stage.
+
     Only a local-mode session may go without the setting; it then gets a temporary
     folder, which goes when the process ends.
     """
@@ -31,10 +37,32 @@ def new_path(spark: SparkSession, label: str = "cut") -> str:
         atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set(SHARED_DIR, base)
     path = f"{base}/cellarium-{label}-{uuid.uuid4().hex}"
-    _runs[-1].append(path)
+    owner = _runs[-1]
+    if outlive and owner is _stage:
+        owner = _runs[-2]
+    owner.append(path)
     return path
 
 
+def next_stage(spark: SparkSession) -> None:
+    """Opens a stage of a chain of jobs, and deletes what the stage before it has cut.
+
+    A stage's result is stored before the next one starts, so nothing reads its tables any more.
+    """
+    global _stage
+    end_stage(spark)
+    _stage = []
+    _runs.append(_stage)
+
+
+def end_stage(spark: SparkSession) -> None:
+    global _stage
+    if _stage is not None and _runs[-1] is _stage:
+        release(spark)
+        _runs.pop()
+    _stage = None
+
+
 @contextmanager
 def run(spark: SparkSession) -> Iterator[None]:
     """Tables cut inside belong to this run alone and go at its end.
@@ -60,13 +88,15 @@ def release(spark: SparkSession) -> int:
     return gone
 
 
-def settle(df: DataFrame, label: str = "cut", by: str | None = None) -> DataFrame:
+def settle(
+    df: DataFrame, label: str = "cut", by: str | None = None, outlive: bool = False
+) -> DataFrame:
     """Write ``df`` once and read it back, with a folder per value of ``by`` if given.
 
     A later loss of an executor then re-reads the same rows, in the same files,
     rather than running a shuffle again that may place rows differently.
     """
     spark = df.sparkSession
-    path = new_path(spark, label)
+    path = new_path(spark, label, outlive)
     (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -202,3 +202,17 @@ def test_more_hot_keys_than_are_listed(spark):
     finally:
         spark.conf.unset(HOT_ROWS_SETTING)
         spark.conf.unset(skew.HOT_KEYS_SETTING)
+
+
+def test_a_stage_deletes_what_the_one_before_cut(spark):
+    with scratch.run(spark):
+        scratch.next_stage(spark)
+        cut = scratch.new_path(spark)
+        spark.range(4).write.parquet(cut)
+        result = scratch.settle(spark.read.parquet(cut), "result", outlive=True)
+        scratch.next_stage(spark)
+        assert result.count() == 4
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            spark.read.parquet(cut)
+        scratch.end_stage(spark)
+        assert result.count() == 4
