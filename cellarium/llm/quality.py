@@ -43,7 +43,7 @@ BINS = 20  # of squared distance, per factor e
 class Limits:
     share: float = 0.75  # of rows that an estimate rests on
     steps: int = 4
-    cutoff: float = 50.0  # squared distance; a chi-square passes it once in 7e8 rows
+    cutoff: float = 70.0  # squared distance; real statistics have longer tails than a chi-square
     least_rows: int = 40
     floor: int = 250  # least standard deviation of a statistic, in thousandths
 
@@ -106,12 +106,14 @@ def _window_hashes(name: str) -> Column:
 def _vector() -> list[Column]:
     """The statistics on a log scale, in whole thousandths, as columns z0 to z4."""
     n = F.greatest(F.col("n_words"), F.lit(1))
+    # Shares are taken in parts that good texts have a few of: symbols in a hundredth, repeats,
+    # such as a line of boilerplate that comes back, in a tenth.
     raw = [
         F.col("n_words"),
         F.col("word_chars") / n,
         100 * F.col("n_symbols") / n,
-        100 * F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
-        100 * F.col("n_repeat_words") / n,
+        10 * F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
+        10 * F.col("n_repeat_words") / n,
     ]
     return [F.round(1000 * F.log1p(x)).cast("bigint").alias(f"z{k}") for k, x in enumerate(raw)]
 
