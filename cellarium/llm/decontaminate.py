@@ -1,20 +1,20 @@
 """Benchmark decontamination with spaced seeds.
 
 A mask names five of the words of a span; the others may be anything.  Hashes of the masked words
-of every span of every benchmark item and of every document are joined.  Around each hit the words
-of document and item are laid side by side, and the hit stands if WINDOW words in a row that hold
-the seed agree in four fifths or more of the places (the whole item, if it is shorter).
+of every span of every benchmark item and of every document are joined.  A hit says that an item may
+lie at a place of a document.  There the words of both are laid side by side, and the item overlaps
+if WINDOW of its words in a row agree in four fifths or more of the places (all its words, if these
+are fewer).
 
-The masks hit every window of 15 words with three or fewer substitutions (a test tries all of
-them).  Items shorter than that are found if five words in a row, or another mask, are left
-unchanged; items of fewer than five words are not searched for.  Words are runs of letters and
-digits in lower case, so case, punctuation and white space don't matter.
+Two masks hit every window of 15 words with three or fewer substitutions (a test tries all of
+them).  Items shorter than that are found if the words of a mask are left unchanged somewhere;
+items of five words have a mask without gaps, and items of fewer words are not searched for.  Words
+are runs of letters and digits in lower case, so case, punctuation and white space don't matter.
 
 All of it is DataFrame functions.  Benchmark seeds are cut into blocks of at most
-``spark.cellarium.broadcastRows`` rows by their hash, and every block meets all documents where
-they lie; documents are never shuffled, and no hit carries more than the words around it.  Of seeds
-that follow one another on one diagonal only the first is verified: the window from there is at
-least as good as any later one that rests on the same run.
+``spark.cellarium.broadcastRows`` rows by their hash, and every block meets the hashes of all documents
+where these lie.  Hits are reduced to distinct places before anything is sent, and only documents
+with hits are met again, by id and text hash, to be verified.
 
 Null text is empty.  Items with equal words are one item, named by the smallest id (null last), so
 copies in the benchmark don't multiply hits.  Documents are named by id: rows that share an id
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from cellarium.plans.scratch import settle
 from cellarium.plans.skew import BROADCAST_ROWS_DEFAULT, BROADCAST_ROWS_SETTING, attach
 
-MASKS = ["11111", "1101011", "11001011", "1010010011"]
+MASKS = ["111011", "101111", "11111"]
 WINDOW = 15
 SHARE = 0.8
 
@@ -47,106 +47,101 @@ def _offsets(mask: str) -> list[int]:
     return [k for k, c in enumerate(mask) if c == "1"]
 
 
-def _seed(words: str, at: Column, mask: int) -> Column:
-    """Hash of the masked words from place ``at`` on; null if the span leaves the text."""
-    offsets = _offsets(MASKS[mask])
-    hashed = F.xxhash64(F.lit(mask), *[F.get(F.col(words), at + k) for k in offsets])
-    return F.when((at >= 0) & (at + offsets[-1] < F.size(words)), hashed)
+def _spans(df: DataFrame, masks: list[int]) -> DataFrame:
+    """A row per span and mask: the other columns of ``df``, ``seed`` and its place ``at``.
 
+    ``words`` are hashed once each and left behind: what is exploded are numbers only.
+    """
+    rest = [c for c in df.columns if c != "words"]
+    numbered = df.select(*rest, F.transform("words", lambda w: F.xxhash64(w)).alias("_hashes"))
+    n = F.size("_hashes")
+
+    def spans(mask: int) -> Column:
+        offsets = _offsets(MASKS[mask])
+        each = F.transform(
+            F.sequence(F.lit(0), n - len(MASKS[mask])),
+            lambda i: F.struct(
+                F.xxhash64(F.lit(mask), *[F.get(F.col("_hashes"), i + k) for k in offsets]).alias("seed"),
+                i.alias("at"),
+            ),
+        )
+        empty = F.array().cast("array<struct<seed:bigint,at:int>>")
+        return F.when(n >= len(MASKS[mask]), each).otherwise(empty)
 
-def _seeds(benchmark: DataFrame) -> DataFrame:
-    """Masked hashes of the items, each with the words around it.
+    seeded = numbered.select(*rest, F.concat(*[spans(mask) for mask in masks]).alias("_seeds"))
+    # The outer form keeps the optimizer from testing the arrays' size in a copy of all steps above.
+    return seeded.select(*rest, F.inline_outer("_seeds"))
 
-    ``before`` is the hash one place earlier on the same mask, ``lead`` the place of the seed
-    in ``around``, ``need`` the words of a window.
-    """
+
+def _items(benchmark: DataFrame) -> DataFrame:
     items = benchmark.select(F.col("item_id"), tokens(F.col("text")).alias("words"))
-    items = items.groupBy("words").agg(F.min("item_id").alias("item_id"))
-    n = F.size("words")
-    spots = F.explode(F.sequence(F.lit(0), n - 1)).alias("at")
-    spots = items.where(n >= len(MASKS[0])).select("item_id", "words", n.alias("n"), spots)
-    at = F.col("at")
-    seeds = []
-    for mask, shape in enumerate(MASKS):
-        span = len(shape)
-        first = F.greatest(at + span - WINDOW, F.lit(0))
-        last = F.least(at + WINDOW, F.col("n"))
-        seeds.append(
-            F.struct(
-                _seed("words", at, mask).alias("seed"),
-                _seed("words", at - 1, mask).alias("before"),
-                F.lit(mask).alias("mask"),
-                (at - first).alias("lead"),
-                F.slice("words", first + 1, last - first).alias("around"),
-                F.least(F.col("n"), F.lit(WINDOW)).alias("need"),
-            )
-        )
-    rows = spots.select("item_id", F.explode(F.array(*seeds)).alias("s")).select("item_id", "s.*")
-    return rows.where(F.col("seed").isNotNull())
-
-
-def _hits(docs: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Documents' words laid beside the items', for each first seed of a run of them."""
-    at = F.col("at")
-    spots = docs.select("_id", "_words", F.posexplode("_words").alias("at", "_word"))
-    every = F.array(*[_seed("_words", at, mask) for mask in range(len(MASKS))])
-    keyed = spots.select("_id", "_words", "at", F.explode(every).alias("seed"))
-    met = keyed.join(F.broadcast(seeds), "seed")
-    earlier = reduce(
-        lambda rest, mask: F.when(F.col("mask") == mask, _seed("_words", at - 1, mask)).otherwise(rest),
-        range(len(MASKS)),
-        F.lit(None).cast("bigint"),
-    )
-    met = met.where(~F.coalesce(earlier == F.col("before"), F.lit(False)))
-    start = at - F.col("lead")
-    cut = F.greatest(-start, F.lit(0))
-    width = F.size("around") - cut
-    return met.select(
-        "_id",
-        "item_id",
-        "need",
-        F.slice("_words", start + cut + 1, width).alias("doc"),
-        F.slice("around", cut + 1, width).alias("item"),
-    )
+    return items.groupBy("words").agg(F.min("item_id").alias("item_id"))
 
 
-def _best(hits: DataFrame) -> DataFrame:
-    """The most words that agree in any window of a hit."""
-    same = F.transform(
-        F.arrays_zip("doc", "item"),
-        lambda p: F.when(F.coalesce(p["doc"] == p["item"], F.lit(False)), 1).otherwise(0),
-    )
-    # Two uses of each array keep this step apart from the join, which then runs compiled.
-    beside = hits.withColumn("same", same).where(F.size("doc") + F.size("item") >= 0)
+def _best(same: Column, need: Column) -> Column:
+    """The most agreeing words in any ``need`` words in a row; 0 where there are not enough at all."""
     zero = F.lit(0)
-    total = F.aggregate("same", zero, lambda a, x: a + x)
-    starts = F.sequence(zero, F.size("same") - F.col("need"))
+    total = F.aggregate(same, zero, lambda a, x: a + x)
+    starts = F.sequence(zero, F.size(same) - need)
     windows = F.transform(
-        starts, lambda s: F.aggregate(F.slice("same", s + 1, F.col("need")), zero, lambda a, x: a + x)
+        starts, lambda s: F.aggregate(F.slice(same, s + 1, need), zero, lambda a, x: a + x)
     )
-    enough = (F.size("same") >= F.col("need")) & (total >= F.ceil(SHARE * F.col("need")))
-    best = F.when(enough, F.array_max(windows)).otherwise(0)
-    return beside.select("_id", "item_id", "need", best.alias("matched"))
+    enough = (F.size(same) >= need) & (total >= F.ceil(SHARE * need))
+    return F.when(enough, F.array_max(windows)).otherwise(0)
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, matched, window, similarity) for each document and item that overlap."""
     spark = docs.sparkSession
-    seeds = settle(_seeds(benchmark), "seeds")
+    items = settle(_items(benchmark).withColumn("item", F.xxhash64("words")), "items")
+    n = F.size("words")
+    # Masks without gaps are for items that no other mask fits.
+    seeds = [
+        _spans(items.where(n == 5 if len(shape) == 5 else n > 5).select("item", "words"), [mask])
+        for mask, shape in enumerate(MASKS)
+    ]
+    seeds = reduce(DataFrame.unionByName, [x.withColumn("mask", F.lit(k)) for k, x in enumerate(seeds)])
+    seeds = settle(seeds.where(F.col("seed").isNotNull()).withColumnRenamed("at", "item_at"), "seeds")
     rows = seeds.count()
-    limit = int(spark.conf.get(BROADCAST_ROWS_SETTING, str(BROADCAST_ROWS_DEFAULT))) or rows
+    masks = sorted(r["mask"] for r in seeds.select("mask").distinct().collect()) or [0]
+    limit = int(spark.conf.get(BROADCAST_ROWS_SETTING, str(BROADCAST_ROWS_DEFAULT)))
     blocks = max(1, -(-rows // max(1, limit)))
-    own = docs.select(F.col("doc_id").alias("_id"), tokens(F.col("text")).alias("_words"))
-    met = reduce(
-        DataFrame.unionByName,
-        [
-            _hits(own, seeds.where(F.pmod("seed", F.lit(blocks)) == block) if blocks > 1 else seeds)
-            for block in range(blocks)
-        ],
+    own = docs.select(
+        F.xxhash64("doc_id").alias("_key"), F.xxhash64("text").alias("_text"),
+        F.col("doc_id").alias("_id"), tokens(F.col("text")).alias("words"),
+    )
+    spans = _spans(own.drop("_id"), masks)
+    parts = [
+        spans.join(F.broadcast(seeds.where(F.pmod("seed", F.lit(blocks)) == block)), "seed")
+        for block in range(blocks)
+    ]
+    place = (F.col("at") - F.col("item_at")).alias("place")
+    hits = reduce(DataFrame.unionByName, [x.select("_key", "_text", "item", place) for x in parts])
+    asked = hits.distinct().groupBy("_key", "_text").agg(
+        F.collect_list(F.struct("item", "place")).alias("asked")
+    )
+    met = attach(own, settle(asked, "asked"), ["_key", "_text"], "inner")
+    met = met.select("_id", "words", F.inline_outer("asked"))
+    listed = items.select("item", "item_id", F.col("words").alias("theirs"))
+    laid = attach(met, listed, ["item"], "inner")
+    cut = F.greatest(-F.col("place"), F.lit(0))
+    width = F.size("theirs") - cut
+    laid = laid.select(
+        "_id",
+        "item_id",
+        F.least(F.size("theirs"), F.lit(WINDOW)).alias("need"),
+        F.slice("words", F.col("place") + cut + 1, width).alias("ours"),
+        F.slice("theirs", cut + 1, width).alias("theirs"),
+    )
+    same = F.transform(
+        F.arrays_zip("ours", "theirs"),
+        lambda p: F.when(F.coalesce(p["ours"] == p["theirs"], F.lit(False)), 1).otherwise(0),
     )
-    best = _best(met).groupBy("_id", "item_id").agg(
+    laid = laid.select("_id", "item_id", "need", same.alias("same"))
+    found = laid.select("_id", "item_id", "need", _best(F.col("same"), F.col("need")).alias("matched"))
+    best = found.groupBy("_id", "item_id").agg(
         F.max(F.struct(F.col("matched") / F.col("need"), "matched", "need")).alias("b")
-    )
+    )
     return best.where(F.col("b.matched") >= F.ceil(SHARE * F.col("b.need"))).select(
         F.col("_id").alias("doc_id"),
         "item_id",
