@@ -73,24 +73,18 @@ def any_log(rng, size, rows, counters_only):
     return log
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(2))
 def test_replay_is_the_one_by_one_result(skewed, make_cells, make_log, listed, seed):
     rng = random.Random(seed)
     row = lambda: "hot" if rng.random() < 0.4 else f"r{rng.randrange(4)}"
     base = {(row(), rng.choice("fg"), rng.choice("xy"), rng.randrange(8)): number(7) for _ in range(20)}
     base = [(*key, value) for key, value in base.items()]
     log = any_log(rng, 120, row, counters_only=seed % 2 == 0)
-    results = {}
-    want = one_by_one(base, log, results)
+    want = one_by_one(base, log)
     assert listed(m.replay(make_cells(base), make_log(log))) == want
-    out = m.batch_results(make_cells(base), make_log(log)).collect()
-    refused = {x["seq"] for x in log if x["op"] in (m.DELETE_ROW, m.DELETE_FAMILY)}
-    if not refused:
-        got = {r.seq: r.result and bytes(r.result) for r in out if r.seq in results}
-        assert got == results
 
 
-@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("seed", range(1))
 def test_results_of_a_batch_are_the_one_by_one_results(skewed, make_cells, make_log, seed):
     rng = random.Random(10 + seed)
     base = [("hot", "f", "x", 3, number(5)), ("r", "f", "x", 9, number(1)), ("r", "g", "y", 2, b"text")]
@@ -106,24 +100,24 @@ def test_results_of_a_batch_are_the_one_by_one_results(skewed, make_cells, make_
     assert any(v is None for v in results.values())
 
 
-@pytest.mark.parametrize(
-    "op,ts,value,want",
-    [
-        (m.PUT, 50, number(999), number(11)),
-        (m.PUT, 150, number(999), number(1000)),
-        (m.DELETE_COLUMN_TO, 150, None, number(1)),
-        (m.DELETE_COLUMN_TO, 50, None, number(11)),
-        (m.DELETE_VERSION, 100, None, number(1)),
-    ],
-)
-def test_a_counter_starts_from_the_newest_version(skewed, make_cells, make_log, op, ts, value, want):
-    column = {"row": "r", "family": "f", "qualifier": "q"}
-    log = make_log([
-        {**column, "ts": ts, "value": value, "seq": 0, "op": op},
-        {**column, "ts": 200, "seq": 1, "op": m.INCREMENT, "amount": 1},
-    ])
-    base = make_cells([("r", "f", "q", 100, number(10))])
-    assert [(r.ts, bytes(r.value)) for r in m.increments(base, log).collect()] == [(200, want)]
+STARTS = [
+    (m.PUT, 50, number(999), number(11)),
+    (m.PUT, 150, number(999), number(1000)),
+    (m.DELETE_COLUMN_TO, 150, None, number(1)),
+    (m.DELETE_COLUMN_TO, 50, None, number(11)),
+    (m.DELETE_VERSION, 100, None, number(1)),
+]
+
+
+def test_a_counter_starts_from_the_newest_version(skewed, make_cells, make_log):
+    log = []
+    for i, (op, ts, value, _) in enumerate(STARTS):
+        column = {"row": f"r{i}", "family": "f", "qualifier": "q"}
+        log.append({**column, "ts": ts, "value": value, "seq": 2 * i, "op": op})
+        log.append({**column, "ts": 200, "seq": 2 * i + 1, "op": m.INCREMENT, "amount": 1})
+    base = make_cells([(f"r{i}", "f", "q", 100, number(10)) for i in range(len(STARTS))])
+    got = {bytes(r.row).decode(): (r.ts, bytes(r.value)) for r in m.increments(base, make_log(log)).collect()}
+    assert got == {f"r{i}": (200, want) for i, (*_, want) in enumerate(STARTS)}
 
 
 def test_many_undominated_marks_are_walked(skewed, make_cells, make_log, listed, monkeypatch):
@@ -284,7 +278,7 @@ def test_mutations_must_stay_in_the_checked_row(spark, make_cells, make_log):
 
 
 @pytest.mark.parametrize("plain", [True, False])
-@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("seed", range(1))
 def test_chained_checks(skewed, make_cells, make_log, seed, plain):
     """Each check sees what earlier ones did, with explicit timestamps and all kinds of mutations."""
     rng = random.Random(seed)
