@@ -3,6 +3,7 @@ from __future__ import annotations
 import corpus_pipeline
 from cellarium.llm import decontaminate, mixing, quality, simhash
 from cellarium.llm.common import table
+from cellarium.plans.scratch import settle
 
 DATA = "/root/testdata/sf0.001"
 
@@ -30,5 +31,5 @@ def test_stages_take_effect_one_after_the_other(spark):
 def test_columns_stay_those_of_documents(spark):
     docs = table(spark, DATA, "documents")
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, DATA)
+        docs = settle(stage(spark, docs, DATA), "result", outlive=True)
         assert docs.dtypes == table(spark, DATA, "documents").dtypes
