@@ -14,6 +14,8 @@ bits, one of which linked fingerprints share; at most 2**22 fingerprints can the
 Equal fingerprints are one class from the start, whatever their number.  Null text is empty;
 texts without words have fingerprint zero, and link like any other.  Null ids are ignored where
 the smallest id of a component is asked, unless all are null.  Repeated rows share a class.
+
+The pipeline's ``keep_one`` goes by ``near_copies`` instead: two bits miss most near copies.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellarium.llm import near_copies
 from cellarium.llm.common import batches
 from cellarium.llm.graph import components
 from cellarium.plans.scratch import settle
@@ -243,17 +246,19 @@ def classes(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component: the one with the smallest id (null last), as it came."""
-    place = "_place"
+    """One document of each class of near copies: the one with the smallest id (null last), as it came.
+
+    Near copies are those of ``near_copies`` (five-word shingles, similarity 0.8), not op7's links.
+    """
     numbered = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
-        F.monotonically_increasing_id().alias(place),
+        F.monotonically_increasing_id().alias("place"),
     )
     # Written once, so that a document keeps its number however often it is read.
     stored = settle(numbered, "numbered")
-    found = classes(stored.select(F.col("_doc.text").alias("text"), place), place)
-    ids = stored.select(place, F.col("_doc.doc_id").alias("_id"))
-    ranked = ids.join(found, place)
-    first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", place)).alias("first")
-    kept = ranked.groupBy("component_id").agg(first).select(F.col(f"first.{place}").alias(place))
-    return stored.join(kept, place, "left_semi").select("_doc.*")
+    found = near_copies.classes(stored.select("place", F.col("_doc.text").alias("text")))
+    ids = stored.select("place", F.col("_doc.doc_id").alias("_id"))
+    ranked = ids.join(found, "place")
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "place")).alias("first")
+    kept = ranked.groupBy("component_id").agg(first).select(F.col("first.place").alias("place"))
+    return stored.join(kept, "place", "left_semi").select("_doc.*")
