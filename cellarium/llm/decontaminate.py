@@ -1,14 +1,14 @@
 """Benchmark decontamination with spaced seeds.
 
-A mask names five of the words of a span; the others may be anything.  Hashes of the masked words
+A mask names four or five of the words of a span; the others may be anything.  Hashes of the masked words
 of every span of every benchmark item and of every document are joined.  A hit says that an item may
 lie at a place of a document.  There the words of both are laid side by side, and the item overlaps
 if WINDOW of its words in a row agree in four fifths or more of the places (all its words, if these
 are fewer).
 
-Two masks hit every window of 15 words with three or fewer substitutions (a test tries all of
-them).  Items shorter than that are found if the words of a mask are left unchanged somewhere;
-items of five words have a mask without gaps, and items of fewer words are not searched for.  Words
+Two masks hit every window of 15 words with three or fewer substitutions, and SHORT names masks
+that hit shorter items with all the substitutions four fifths allow (a test tries all of them).  A
+mask is hashed only if some item uses it.  Items of fewer than five words are not searched for.  Words
 are runs of letters and digits in lower case, so case, punctuation and white space don't matter.
 
 All of it is DataFrame functions.  Benchmark seeds are cut into blocks of at most
@@ -31,7 +31,10 @@ from pyspark.sql import functions as F
 from cellarium.plans.scratch import settle
 from cellarium.plans.skew import BROADCAST_ROWS_DEFAULT, BROADCAST_ROWS_SETTING, attach
 
-MASKS = ["111011", "101111", "11111"]
+MASKS = ["111011", "101111", "11111", "11100101", "1111", "11101", "11011", "10111"]
+LONG = [0, 1]
+# Masks of the items of so many words, where those of longer ones would miss some substitutions.
+SHORT = {5: [4, 5, 6, 7], 6: [4, 6], 7: [0, 1, 2], 10: [0, 1, 3], 11: [0, 1, 2], 12: [0, 1, 2]}
 WINDOW = 15
 SHARE = 0.8
 
@@ -95,11 +98,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     items = settle(_items(benchmark).withColumn("item", F.xxhash64("words")), "items")
     n = F.size("words")
-    # Masks without gaps are for items that no other mask fits.
-    seeds = [
-        _spans(items.where(n == 5 if len(shape) == 5 else n > 5).select("item", "words"), [mask])
-        for mask, shape in enumerate(MASKS)
-    ]
+    using = {
+        mask: n.isin([size for size, own in SHORT.items() if mask in own])
+        | (F.lit(mask in LONG) & (n >= 5) & ~n.isin(list(SHORT)))
+        for mask in range(len(MASKS))
+    }
+    seeds = [_spans(items.where(using[mask]).select("item", "words"), [mask]) for mask in using]
     seeds = reduce(DataFrame.unionByName, [x.withColumn("mask", F.lit(k)) for k, x in enumerate(seeds)])
     seeds = settle(seeds.where(F.col("seed").isNotNull()).withColumnRenamed("at", "item_at"), "seeds")
     rows = seeds.count()

@@ -92,3 +92,28 @@ def test_no_python_in_the_plan(make_docs, spark):
     bench = spark.createDataFrame([(1, " ".join("abcdefghijklmnopqrst"))], "item_id bigint, text string")
     plan = d.overlaps(make_docs(["a"]), bench)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "InPandas" not in plan
+
+
+def test_masks_hit_every_allowed_substitution_of_short_items():
+    for size in range(5, d.WINDOW):
+        masks = [d.MASKS[k] for k in d.SHORT.get(size, d.LONG)]
+        for gone in itertools.combinations(range(size), size - -(-4 * size // 5)):
+            assert any(
+                all(at + k not in gone for k in d._offsets(mask))
+                for mask in masks
+                for at in range(size - len(mask) + 1)
+            ), (size, gone)
+
+
+def test_short_items_are_found_with_every_allowed_substitution(make_docs, spark):
+    rng = random.Random(8)
+    items = [(size, " ".join(words(rng, size, 10**6))) for size in range(5, d.WINDOW)]
+    docs = []
+    for size, item in items:
+        for gone in itertools.combinations(range(size), size - -(-4 * size // 5)):
+            own = [f"new{k}" if k in gone else w for k, w in enumerate(item.split())]
+            docs.append((len(docs), " ".join([*words(rng, 9), *own, *words(rng, 9)])))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    frame = make_docs([(k, t, "en", "a") for k, t in docs])
+    found = {(r["doc_id"], r["item_id"]) for r in d.overlaps(frame, bench).collect()}
+    assert found == plain(docs, items) and len(found) == len(docs)
