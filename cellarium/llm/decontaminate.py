@@ -17,8 +17,9 @@ where these lie.  Hits are reduced to distinct places before anything is sent, a
 with hits are met again, by id and text hash, to be verified.
 
 Null text is empty.  Items with equal words are one item, named by the smallest id (null last), so
-copies in the benchmark don't multiply hits.  Documents are named by id: rows that share an id
-are one document here, as are those with a null id.  Empty tables give no rows.
+copies in the benchmark don't multiply hits.  Documents are named by id: ``overlaps`` reports rows
+that share an id as one document, as it does those with a null id.  ``clean`` tells rows apart by id and
+text, so a clean row stays whatever the others with its id hold.  Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -93,8 +94,13 @@ def _best(same: Column, need: Column) -> Column:
     return F.when(enough, F.array_max(windows)).otherwise(0)
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, matched, window, similarity) for each document and item that overlap."""
+def _own() -> list[Column]:
+    """What tells a document's row apart: hashes of its id and of its text."""
+    return [F.xxhash64("doc_id").alias("_key"), F.xxhash64("text").alias("_text")]
+
+
+def _found(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(_key, _text, _id, item_id, need, matched) of each row, item and place that overlap."""
     spark = docs.sparkSession
     items = settle(_items(benchmark).withColumn("item", F.xxhash64("words")), "items")
     n = F.size("words")
@@ -111,8 +117,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     limit = int(spark.conf.get(BROADCAST_ROWS_SETTING, str(BROADCAST_ROWS_DEFAULT)))
     blocks = max(1, -(-rows // max(1, limit)))
     own = docs.select(
-        F.xxhash64("doc_id").alias("_key"), F.xxhash64("text").alias("_text"),
-        F.col("doc_id").alias("_id"), tokens(F.col("text")).alias("words"),
+        *_own(), F.col("doc_id").alias("_id"), tokens(F.col("text")).alias("words"),
     )
     spans = _spans(own.drop("_id"), masks)
     parts = [
@@ -125,12 +130,14 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.collect_list(F.struct("item", "place")).alias("asked")
     )
     met = attach(own, settle(asked, "asked"), ["_key", "_text"], "inner")
-    met = met.select("_id", "words", F.inline_outer("asked"))
+    met = met.select("_key", "_text", "_id", "words", F.inline_outer("asked"))
     listed = items.select("item", "item_id", F.col("words").alias("theirs"))
     laid = attach(met, listed, ["item"], "inner")
     cut = F.greatest(-F.col("place"), F.lit(0))
     width = F.size("theirs") - cut
     laid = laid.select(
+        "_key",
+        "_text",
         "_id",
         "item_id",
         F.least(F.size("theirs"), F.lit(WINDOW)).alias("need"),
@@ -141,12 +148,18 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.arrays_zip("ours", "theirs"),
         lambda p: F.when(F.coalesce(p["ours"] == p["theirs"], F.lit(False)), 1).otherwise(0),
     )
-    laid = laid.select("_id", "item_id", "need", same.alias("same"))
-    found = laid.select("_id", "item_id", "need", _best(F.col("same"), F.col("need")).alias("matched"))
-    best = found.groupBy("_id", "item_id").agg(
+    laid = laid.select("_key", "_text", "_id", "item_id", "need", same.alias("same"))
+    matched = _best(F.col("same"), F.col("need")).alias("matched")
+    found = laid.select("_key", "_text", "_id", "item_id", "need", matched)
+    return found.where(F.col("matched") >= F.ceil(SHARE * F.col("need")))
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, item_id, matched, window, similarity) for each document and item that overlap."""
+    best = _found(docs, benchmark).groupBy("_id", "item_id").agg(
         F.max(F.struct(F.col("matched") / F.col("need"), "matched", "need")).alias("b")
-    )
-    return best.where(F.col("b.matched") >= F.ceil(SHARE * F.col("b.need"))).select(
+    )
+    return best.select(
         F.col("_id").alias("doc_id"),
         "item_id",
         F.col("b.matched").cast("bigint").alias("matched"),
@@ -156,7 +169,6 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that overlap no item, as they came."""
-    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    found = overlaps(docs, benchmark).select(name.alias("_name")).distinct()
-    return attach(docs.withColumn("_name", name), settle(found, "found"), ["_name"], "left_anti").drop("_name")
+    """The rows that overlap no item, as they came."""
+    found = settle(_found(docs, benchmark).select("_key", "_text").distinct(), "found")
+    return attach(docs.select("*", *_own()), found, ["_key", "_text"], "left_anti").drop("_key", "_text")

@@ -117,3 +117,12 @@ def test_short_items_are_found_with_every_allowed_substitution(make_docs, spark)
     frame = make_docs([(k, t, "en", "a") for k, t in docs])
     found = {(r["doc_id"], r["item_id"]) for r in d.overlaps(frame, bench).collect()}
     assert found == plain(docs, items) and len(found) == len(docs)
+
+
+def test_a_clean_row_stays_beside_a_dirty_one_with_its_id(make_docs, spark):
+    item = "a b c d e f g h i j k l m n o p"
+    bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    texts = [(None, f"x {item}"), (None, "clean"), (None, None), (3, item), (3, "clean too"), (3, None)]
+    kept = d.clean(make_docs([(k, t, None, "a") for k, t in texts]), bench)
+    found = sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect())
+    assert found == [(0, ""), (0, "clean"), (3, ""), (3, "clean too")]
