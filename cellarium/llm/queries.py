@@ -14,6 +14,7 @@ from cellarium.llm import (
     mixing,
     ppm,
     quality,
+    resampling,
     secret_scan,
     simhash,
     substrings,
@@ -99,6 +100,11 @@ def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return resampling.resample(docs, benchmark)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_language_id": op2_language_id,
@@ -110,6 +116,55 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_secret_scan": op9_secret_scan,
     "op10_repeated_substrings": op10_repeated_substrings,
+    "op12_resampling": op12_resampling,
 }
 
-ORACLES: dict[str, str] = {}
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+WORD = "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'"
+
+# CRC-32 of every distinct word by its bits, the lowest of each byte first.
+OP12_SQL = f"""
+WITH lowered AS (
+  SELECT d.doc_id, row_number() OVER () AS place,
+         regexp_extract_all({LOWERED},
+                            {WORD}) AS words FROM documents d),
+aimed AS (
+  SELECT regexp_extract_all({LOWERED},
+                            {WORD}) AS words FROM benchmark),
+each AS (SELECT DISTINCT unnest(words) AS word FROM (SELECT words FROM lowered UNION ALL SELECT words FROM aimed)),
+bits AS (
+  SELECT word, hex(encode(word)) AS digits FROM each),
+hashed AS (
+  SELECT word,
+    xor(list_reduce(
+      list_transform(range(0, length(digits) * 4), lambda i: CAST(
+        (CAST('0x' || substr(digits, CAST(i // 8 * 2 + 1 AS BIGINT), 2) AS BIGINT) >> (i % 8)) & 1 AS BIGINT)),
+      lambda c, b: xor(c >> 1, 3988292384 * (xor(c & 1, b))), CAST(4294967295 AS BIGINT)), 4294967295) % 10000 AS bucket
+  FROM bits),
+own AS (
+  SELECT place, bucket FROM (SELECT place, unnest(words) AS word FROM lowered) JOIN hashed USING (word)),
+aim AS (
+  SELECT bucket FROM (SELECT unnest(words) AS word FROM aimed) JOIN hashed USING (word)),
+totals AS (SELECT (SELECT count(*) FROM own) AS all_s, (SELECT count(*) FROM aim) AS all_t),
+gain AS (
+  SELECT bucket, CAST(floor(1000 * ln(
+      ((coalesce(t, 0) + 1)::DOUBLE * (all_s + 10000)) / ((s + 1)::DOUBLE * (all_t + 10000)))) AS BIGINT) AS gain
+  FROM (SELECT bucket, count(*) AS s FROM own GROUP BY bucket)
+  LEFT JOIN (SELECT bucket, count(*) AS t FROM aim GROUP BY bucket) USING (bucket), totals),
+weighed AS (
+  SELECT place, CAST(sum(gain) AS BIGINT) AS weight FROM own JOIN gain USING (bucket) GROUP BY place),
+scored AS (
+  SELECT doc_id, len(words) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+      (CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+      / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM lowered LEFT JOIN weighed USING (place)),
+placed AS (
+  SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (
+      PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST) END AS nth FROM scored)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN nth <= (SELECT count(*) FROM scored WHERE n_features >= 20) * 10 // 100 THEN nth END AS rank
+FROM placed
+"""
+
+ORACLES: dict[str, str] = {"op12_resampling": OP12_SQL}
