@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cellarium.llm import (
     decontaminate,
+    hard_negatives,
     html_text,
     langid,
     mixing,
@@ -105,6 +106,18 @@ def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(docs, benchmark)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    number = F.col("vec_id")
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    label = F.when(number % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vector = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")).cast("bigint"))
+    rows = rows.where(finite)
+    return hard_negatives.mine(
+        rows.select(number, label.alias("label"), vector.alias("vector"), (number % 100 == 0).alias("anchor"))
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_language_id": op2_language_id,
@@ -117,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scan": op9_secret_scan,
     "op10_repeated_substrings": op10_repeated_substrings,
     "op12_resampling": op12_resampling,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -167,4 +181,26 @@ SELECT doc_id, n_features, weight, score,
 FROM placed
 """
 
-ORACLES: dict[str, str] = {"op12_resampling": OP12_SQL}
+OP13_SQL = """
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vector
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+met AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+         CAST(list_inner_product(a.vector, b.vector) AS BIGINT) AS score
+  FROM whole a JOIN whole b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+near AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM met WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+  other AS negative_id, positive_score, score AS negative_score
+FROM near JOIN met USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) <= 10
+"""
+
+ORACLES: dict[str, str] = {"op12_resampling": OP12_SQL, "op13_hard_negatives": OP13_SQL}
