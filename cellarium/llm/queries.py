@@ -11,6 +11,7 @@ from cellarium.llm import (
     decontaminate,
     hard_negatives,
     html_text,
+    itq,
     langid,
     mixing,
     ppm,
@@ -101,6 +102,10 @@ def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return resampling.resample(docs, benchmark)
@@ -129,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_secret_scan": op9_secret_scan,
     "op10_repeated_substrings": op10_repeated_substrings,
+    "op11_embedding_dedup": op11_embedding_dedup,
     "op12_resampling": op12_resampling,
     "op13_hard_negatives": op13_hard_negatives,
 }
