@@ -4,7 +4,7 @@ A mutation log has the cell columns plus ``seq`` (the order of application), ``o
 and, for increments, ``amount``.  Nothing is folded row by row: what a mutation does
 to a cell depends only on the *last* delete that covers it, the last put of the same
 version, or a sum since its column's newest put, so each of those is an aggregate on its own
-scope.  The exceptions are walked in order (``operators.sequential``).
+scope.  The exceptions are walked in order (``operators.histories``).
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from cellarium.functions.bytewise import bytes_to_long, long_to_bytes, put_cell_size
 from cellarium.model import CELL, COLUMN, FAMILY, LATEST, ROW, VERSION
+from cellarium.operators import histories
 from cellarium.operators.filters import newest
-from cellarium.operators.sequential import column_pass
 from cellarium.plans.keyspace import KeySet
 from cellarium.plans.scratch import settle
 from cellarium.plans.skew import (
@@ -229,7 +229,7 @@ def read_modify_write(
         newest(part(stored, "left_anti")), part(puts, "left_anti"), part(ops, "left_anti"), marks, log
     )
     passed = _walk(
-        part(stored, "left_semi"), part(puts, "left_semi"), part(ops, "left_semi"), walked, log, max_bytes
+        part(stored, "left_semi"), part(puts, "left_semi"), part(ops, "left_semi"), walked, marks, log, max_bytes
     )
     return summed.unionByName(passed)
 
@@ -272,28 +272,32 @@ def _sums(stored, puts, ops, marks: Marks, log: DataFrame) -> DataFrame:
     )
 
 
-def _walk(stored, puts, ops, walked: Side, log: DataFrame, max_bytes: int) -> DataFrame:
+def _walk(stored, puts, ops, walked: Side, marks: Marks, log: DataFrame, max_bytes: int) -> DataFrame:
     none = F.lit(None)
     fields = [*COLUMN, "seq", "op", "ts", "value", "amount"]
     no_amount = none.cast("bigint").alias("amount")
-    events = as_log(stored).unionByName(puts.select(*CELL, "seq"))
-    events = events.withColumn("op", F.lit(PUT)).withColumn("amount", no_amount).select(*fields)
-    events = events.unionByName(ops.select(*fields))
+    put = {"op": F.lit(PUT), "amount": no_amount}
+    stored = _pinned(as_log(stored).withColumns(put).select(*fields), marks)
+    # Of stored versions the newest is read, and what deletes of single versions can bring back.
+    stored = newest(stored.where(~F.coalesce("pinned", F.lit(False)))).unionByName(stored.where("pinned"))
+    events = puts.select(*CELL, "seq").withColumns(put).select(*fields).unionByName(ops.select(*fields))
     for op, scope in SCOPES.items():
-        scope = [c for c in scope if c in COLUMN]
-        # Each delete is copied to the walked columns of its scope only.
-        deletes = only(log, op).select(*scope, "seq", "op", "ts")
-        met = walked.df.select(*COLUMN).join(deletes, scope)
-        events = events.unionByName(
-            met.withColumn("value", none.cast("binary")).withColumn("amount", no_amount).select(*fields)
-        )
-    sorted_events = events.repartition(*COLUMN).sortWithinPartitions(*COLUMN, "seq", "ts")
-    seq = log.schema["seq"].dataType.simpleString()
-    schema = (
-        "row binary, family string, qualifier binary, "
-        f"seq {seq}, op string, ts bigint, value binary, error string"
-    )
-    return sorted_events.mapInArrow(column_pass(max_bytes), schema)
+        if op in marks:
+            # Each delete is copied to the walked columns of its scope only.
+            scope = [c for c in scope if c in COLUMN]
+            met = walked.df.select(*COLUMN).join(only(log, op).select(*scope, "seq", "op", "ts"), scope)
+            blank = {"value": none.cast("binary"), "amount": no_amount}
+            events = events.unionByName(met.withColumns(blank).select(*fields))
+    return histories.walk(stored.unionByName(_pinned(events, marks)), max_bytes)
+
+
+def _pinned(df: DataFrame, marks: Marks) -> DataFrame:
+    """Adds whether a delete of a single version names this one; null where its column has none."""
+    if DELETE_VERSION not in marks:
+        return df.withColumn("pinned", F.lit(None).cast("boolean"))
+    columns = measured(marks.of(DELETE_VERSION).select(*COLUMN).distinct().withColumn("_any", F.lit(True)))
+    named = columns.join(marks.join(df, DELETE_VERSION, "_point"), COLUMN)
+    return named.withColumn("pinned", F.when(F.col("_any"), F.col("_point").isNotNull())).drop("_any", "_point")
 
 
 def _written(results: DataFrame) -> DataFrame:

@@ -3,13 +3,13 @@
 Most mutations are set-based (``operators.mutate``).  What a counter or a check reads is the newest
 version *at that moment*, and deletes of single versions or up to a timestamp can bring an
 older one back; then only the order of events decides.  The events of a key come sorted, one after the other;
-a pass keeps the live versions of that key and nothing else, so its memory does not grow with
-the events, and rows of other keys run in other tasks.
+a pass keeps the versions of that key that can still be read and nothing else, and rows of other keys run in
+other tasks.  Hot columns are cut (``operators.histories``).
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -24,37 +24,52 @@ TOO_LARGE = "appended cell too large"
 
 @dataclass
 class Versions:
-    """Live versions of one column."""
+    """Live versions of one column, as far as anything later can read them.
+
+    Only the newest is read, and only a delete of a single version brings an older one back.
+    Versions that no such delete of the log names are not ``pinned``: all older ones are dropped.
+    """
 
     values: dict[int, bytes] = field(default_factory=dict)
     times: list[int] = field(default_factory=list)
+    floor: int | None = None  # the newest version that is not pinned
 
-    def put(self, ts: int, value: bytes) -> None:
+    def put(self, ts: int, value: bytes, pinned: bool = True) -> None:
+        if self.floor is not None and ts < self.floor:
+            return
         if ts not in self.values:
             insort(self.times, ts)
         self.values[ts] = value
+        if not pinned:
+            self.floor = ts
+            for gone in self.times[: bisect_left(self.times, ts)]:
+                del self.values[gone]
+            del self.times[: bisect_left(self.times, ts)]
 
     def newest(self) -> tuple[int | None, bytes | None]:
         return (self.times[-1], self.values[self.times[-1]]) if self.times else (None, None)
 
     def drop(self, ts: int) -> None:
         if self.values.pop(ts, None) is not None:
-            self.times.remove(ts)
+            del self.times[bisect_left(self.times, ts)]
+            self.floor = None if self.floor == ts else self.floor
 
     def drop_to(self, ts: int) -> None:
         at = bisect_right(self.times, ts)
         for gone in self.times[:at]:
             del self.values[gone]
         del self.times[:at]
+        self.floor = None if self.floor is not None and self.floor <= ts else self.floor
 
     def clear(self) -> None:
         self.values.clear()
         self.times.clear()
+        self.floor = None
 
-    def apply(self, op: str, ts: int | None, value, amount, max_bytes: int) -> tuple:
+    def apply(self, op: str, ts: int | None, value, amount, max_bytes: int, pinned: bool = True) -> tuple:
         """Does what the operation does to this column; (ts, value, error) of a result."""
         if op == PUT:
-            self.put(ts, value)
+            self.put(ts, value, pinned)
         elif op == "DELETE_VERSION":
             self.drop(ts)
         elif op == "DELETE_COLUMN_TO":
@@ -62,48 +77,29 @@ class Versions:
         elif op not in (INCREMENT, APPEND):
             self.clear()
         else:
-            return self._modify(op, ts, value, amount, max_bytes)
+            return self._modify(op, ts, value, amount, max_bytes, pinned)
         return None, None, None
 
-    def _modify(self, op: str, ts: int, value, amount, max_bytes: int) -> tuple:
+    def _modify(self, op: str, ts: int, value, amount, max_bytes: int, pinned: bool) -> tuple:
         newest, before = self.newest()
         if op == INCREMENT:
             if before is not None and len(before) != 8:
                 return None, None, NOT_A_COUNTER
-            start = int.from_bytes(before or b"", "big", signed=True)
-            total = (start + amount + (1 << 63)) % (1 << 64) - (1 << 63)
-            after = total.to_bytes(8, "big", signed=True)
+            after = added(before or b"", amount)
         else:
             after = (before or b"") + (value or b"")
             if len(after) > max_bytes:
                 return None, None, TOO_LARGE
-        at = ts if newest is None else max(ts, newest)
-        self.put(at, after)
-        return at, after, None
-
+        if newest is None or ts > newest:
+            self.put(ts, after, pinned)
+            return ts, after, None
+        self.values[newest] = after
+        return newest, after, None
 
-def column_pass(max_bytes: int) -> Callable:
-    """Results of increments and appends; rows are (row, family, qualifier, seq, op, ts, value,
-    amount), sorted by column and order."""
-
-    def walk(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, live = None, Versions()
-        for batch in rows:
-            out = []
-            for event in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if event[:3] != key:
-                    key, live = event[:3], Versions()
-                op = event[4]
-                found = live.apply(op, event[5], event[6], event[7], max_bytes)
-                if op in (INCREMENT, APPEND):
-                    out.append((*key, event[3], op, *found))
-            types = [*[batch.column(k).type for k in (0, 1, 2, 3, 4, 5, 6)], pa.string()]
-            names = ["row", "family", "qualifier", "seq", "op", "ts", "value", "error"]
-            columns = list(zip(*out, strict=True)) if out else [()] * len(names)
-            arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return walk
+def added(counter: bytes, amount: int) -> bytes:
+    total = (int.from_bytes(counter, "big", signed=True) + amount + (1 << 63)) % (1 << 64) - (1 << 63)
+    return total.to_bytes(8, "big", signed=True)
 
 
 def row_pass(passed: Callable[[tuple, int | None, bytes | None], bool], max_bytes: int) -> Callable:
