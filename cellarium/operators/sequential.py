@@ -130,7 +130,72 @@ def row_pass(passed: Callable[[tuple, int | None, bytes | None], bool], max_byte
     return walk
 
 
-def _act(state: dict, family, qualifier, op, ts, value, amount, max_bytes: int) -> None:
+def piece_pass(
+    passed: Callable[[tuple, int | None, bytes | None], bool], max_bytes: int, seq: pa.DataType
+) -> Callable:
+    """Answers of the checks of pieces of rows, and what the pieces leave.
+
+    Rows are (row, piece, seq, kind, family, qualifier, op, ts, value, amount, the check's own
+    columns, pinned, versions): the versions that come in for each column the piece names, then checks
+    and mutations in order.  Told are answers; the versions of named columns that were touched; and scopes
+    that were cleared (the row if no family is given).
+    """
+    version = pa.struct([("ts", pa.int64()), ("value", pa.binary()), ("pinned", pa.bool_())])
+    names = ["row", "piece", "kind", "seq", "applied", "family", "qualifier", "versions"]
+
+    def left(key: tuple, state: dict, known: set, touched: set, cleared: set) -> Iterator[tuple]:
+        for column in known:
+            if column in touched or (None,) in cleared or (column[0],) in cleared:
+                live = state.get(column, Versions())
+                versions = [
+                    {"ts": ts, "value": live.values[ts], "pinned": live.floor is None or ts > live.floor}
+                    for ts in live.times
+                ]
+                yield (*key, "left", None, None, *column, versions)
+        for (family,) in cleared:
+            yield (*key, "cleared", None, None, family, None, None)
+
+    def told(rows: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+        key, state, known, touched, cleared, answer = None, {}, set(), set(), set(), (None, False)
+        for batch in rows:
+            out: list[tuple] = []
+            for event in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if event[:2] != key:
+                    if key is not None:
+                        out.extend(left(key, state, known, touched, cleared))
+                    key, state, known, touched, cleared = event[:2], {}, set(), set(), set()
+                seq, kind, family, qualifier, op, ts, value, amount, *rest, pinned, versions = event[2:]
+                if kind == "state":
+                    known.add((family, qualifier))
+                    live = state.setdefault((family, qualifier), Versions())
+                    for v in versions:
+                        live.put(v["ts"], v["value"], v["pinned"])
+                elif kind == "check":
+                    newest = state.get((family, qualifier), Versions()).newest()
+                    answer = (seq, passed((op, *rest), *newest))
+                    out.append((*key, "answer", *answer, None, None, None))
+                elif answer == (seq, True):
+                    _act(state, family, qualifier, op, ts, value, amount, max_bytes, bool(pinned))
+                    if op in ("DELETE_ROW", "DELETE_FAMILY"):
+                        cleared.add((family if op == "DELETE_FAMILY" else None,))
+                    else:
+                        touched.add((family, qualifier))
+            yield out
+        if key is not None:
+            yield list(left(key, state, known, touched, cleared))
+
+    def walk(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in told(rows):
+            if out:
+                types = [pa.binary(), pa.int64(), pa.string(), seq, pa.bool_(), pa.string(), pa.binary(), pa.list_(version)]
+                columns = zip(*out, strict=True)
+                arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    return walk
+
+
+def _act(state: dict, family, qualifier, op, ts, value, amount, max_bytes: int, pinned: bool = True) -> None:
     if op == "DELETE_ROW":
         state.clear()
     elif op == "DELETE_FAMILY":
@@ -138,4 +203,4 @@ def _act(state: dict, family, qualifier, op, ts, value, amount, max_bytes: int)
             del state[column]
     else:
         column = state.setdefault((family, qualifier), Versions())
-        column.apply(op, ts, value, amount, max_bytes)
+        column.apply(op, ts, value, amount, max_bytes, pinned)

@@ -334,3 +334,20 @@ def test_rows_the_log_does_not_name_are_not_shuffled(spark, make_cells, make_log
     assert "BroadcastHashJoin" in passed_through and "LeftAnti" in passed_through
     above = passed_through[: passed_through.index("LeftAnti")]
     assert "Exchange" not in above
+
+
+def test_a_hot_chain_of_compare_and_set_is_stitched(spark, make_cells, make_log):
+    """Pieces depend on each other, and on deletes that bring older versions back."""
+    spark.conf.set("spark.cellarium.hotGroupRows", "300")
+    try:
+        n = 400
+        rows = [(s, "r", "q", "=", str(s), None, None) for s in range(n)]
+        log = [{"row": "r", "family": "f", "qualifier": "q", "value": str(s + 1), "ts": s + 2, "seq": s, "op": m.PUT}
+               for s in range(n)]
+        rows += [(n, "r", "q", "=", str(n), None, None), (n + 1, "r", "q", "=", str(n - 1), None, None)]
+        log.append({"row": "r", "family": "f", "qualifier": "q", "ts": n + 1, "seq": n, "op": m.DELETE_VERSION})
+        base = make_cells([("r", "f", "q", 1, "0")])
+        flags, _ = check_and_mutate(base, checks_of(spark, rows), make_log(log), now=9)
+        assert flags.where("applied").count() == n + 2
+    finally:
+        spark.conf.unset("spark.cellarium.hotGroupRows")
