@@ -16,6 +16,7 @@ from cellarium.functions.bytewise import fast_lanes, md5_lanes, stored_cell_size
 from cellarium.model import CELL, COLUMN, ROW, VERSION, version_order
 from cellarium.operators.mutate import DELETE_VERSION, PUT, replay
 from cellarium.operators.scan import locate
+from cellarium.plans.greedy import bundles
 from cellarium.plans.scratch import settle
 from cellarium.plans.skew import measured, ranked, running
 
@@ -49,13 +50,13 @@ def hash_rows(cells: DataFrame) -> DataFrame:
 
 
 def hash_ranges(cells: DataFrame, batch_bytes: int) -> DataFrame:
-    """Cuts the rows, in key order, into ranges of about ``batch_bytes`` and hashes each.
+    """Cuts the rows, in key order, into ranges and hashes each.
 
-    Rows are never split.  The first range starts at the empty key.
+    A range ends with the row that brings it to ``batch_bytes``.  Rows are never split.  The first range
+    starts at the empty key.
     """
     rows = row_digests(cells, exact=True)
-    placed = running(rows, [], [F.col("row").asc()], {"_before": ("sum", F.col("bytes"), False)})
-    numbered = placed.withColumn("_range", F.floor(F.col("_before") / batch_bytes).cast("bigint"))
+    numbered = bundles(rows, [], [F.col("row").asc()], {"bytes": batch_bytes}, "_range")
     ranges = numbered.groupBy("_range").agg(
         F.min("row").alias("_first"),
         F.count(F.lit(1)).alias("rows"),

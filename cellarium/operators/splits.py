@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from cellarium.functions.bytewise import stored_cell_size
 from cellarium.operators.scan import locate
+from cellarium.plans.greedy import bundles
+from cellarium.plans.scratch import settle
 from cellarium.plans.skew import running
 
 
@@ -55,33 +57,19 @@ def select_shard(df: DataFrame, key: Column, shards: int, index: int) -> DataFra
 
 
 def balanced_splits(regions: DataFrame, target_bytes: int) -> DataFrame:
-    """Merges neighbouring small ranges (start, stop, bytes) to about ``target_bytes``.
+    """Merges neighbouring small ranges (start, stop, bytes) until they reach ``target_bytes``.
 
-    A range of the target size or more stays alone.  Between two of those, the bytes
-    before a range decide its bundle, so no range waits for the one before it; a
-    bundle of several ranges stays below twice the target.
+    A range of the target size or more stays alone, and ends the bundle before it.  Any other bundle ends with the
+    range that fills it, so it stays below twice the target.
     """
     by_start = [F.col("start").asc()]
     big = F.col("bytes") >= target_bytes
-    small_bytes = F.when(big, 0).otherwise(F.col("bytes"))
-    placed = running(
-        regions,
-        [],
-        by_start,
-        {
-            "_run": ("sum", F.when(big, 1).otherwise(0).cast("bigint")),
-            "_before": ("sum", small_bytes, False),
-        },
-    )
-    # Bytes before the first small range of a run: those before its big range.
-    placed = running(
-        placed, [], by_start, {"_offset": ("last", F.when(big, F.col("_before")))}
-    )
-    since = F.col("_before") - F.coalesce("_offset", F.lit(0))
-    bundle = F.when(big, F.lit(-1)).otherwise(F.floor(since / target_bytes))
-    numbered = placed.withColumn("_bundle", bundle)
+    run = {"_run": ("sum", F.when(big, 1).otherwise(0).cast("bigint"))}
+    placed = settle(running(regions, [], by_start, run), "placed")
+    alone = placed.where(big).withColumn("_bundle", F.lit(-1).cast("bigint"))
+    merged = bundles(placed.where(~big), ["_run"], by_start, {"bytes": target_bytes}, "_bundle")
     stop = F.max_by(F.struct("stop"), F.col("start"))["stop"]
-    return numbered.groupBy("_run", "_bundle").agg(
+    return merged.unionByName(alone).groupBy("_run", "_bundle").agg(
         F.min("start").alias("start"),
         stop.alias("stop"),
         F.sum("bytes").alias("bytes"),

@@ -18,7 +18,7 @@ from cellarium.functions.bytewise import MILLIS_CEILING, stored_cell_size
 from cellarium.model import CELL, LATEST, bytes_lit
 from cellarium.operators import importing as imp
 from cellarium.operators import mutate as m
-from cellarium.plans.skew import running
+from cellarium.plans.greedy import bundles
 
 CELL_FIELDS = (
     "struct<row:binary,family:string,qualifier:binary,type:string,ts:bigint,value:binary>"
@@ -157,19 +157,13 @@ def batches(
 ) -> DataFrame:
     """Numbers the write batches of each table: (table, row, batch, bytes, cells).
 
-    Whole rows in key order, so mutations of a row are never in two batches.  A new
-    batch starts wherever the bytes or cells so far pass another multiple of the limit;
-    a batch holds at most the limit plus its last row.
+    Whole rows in key order, so mutations of a row are never in two batches.  A batch ends with the row that
+    brings it to one of the limits.
     """
     size = F.coalesce(stored_cell_size(), F.lit(0))
     rows = log.groupBy("table", "row").agg(
         F.sum(size).alias("bytes"), F.count(F.lit(1)).alias("cells")
     )
-    placed = running(
-        rows,
-        ["table"],
-        [F.col("row").asc()],
-        {"_bytes": ("sum", F.col("bytes"), False), "_cells": ("sum", F.col("cells"), False)},
-    )
-    number = F.floor(F.col("_bytes") / max_bytes) + F.floor(F.col("_cells") / max_cells)
-    return placed.select("table", "row", number.alias("batch"), "bytes", "cells")
+    limits = {"bytes": max_bytes, "cells": max_cells}
+    placed = bundles(rows, ["table"], [F.col("row").asc()], limits, "batch")
+    return placed.select("table", "row", "batch", "bytes", "cells")

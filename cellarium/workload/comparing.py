@@ -15,7 +15,7 @@ from cellarium.operators.filters import newest
 from cellarium.plans.scratch import settle
 from cellarium.workload.mutations import SQL_ACTIONS, actions
 from cellarium.workload.registry import query
-from cellarium.workload.tables import SQL_CELLS, SQL_MIRROR, event_cells, mirror_cells
+from cellarium.workload.tables import SQL_CELLS, SQL_MIRROR, event_cells, mirror_cells, sql_bundles
 
 HEAD = f"WITH {SQL_CELLS}, {SQL_MIRROR} "
 SHOW = "SELECT row_key,family,qualifier,ts,value "
@@ -33,9 +33,8 @@ def _digests(source: str, name: str) -> str:
 
 HASH = "printf('%015X',a)||printf('%015X',b)"
 SQL_RANGES = f"""{_digests("cells", "src")},
- placed AS (SELECT *, CAST(floor(coalesce(sum(bytes) OVER (ORDER BY row_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),0)
-   / {BATCH_BYTES}) AS BIGINT) AS r FROM src),
- grouped AS (SELECT r, min(row_key) AS first, count(*) AS rows, CAST(sum(cells) AS BIGINT) AS cells,
+ {sql_bundles("placed", "src", "0", "row_key", {"bytes": BATCH_BYTES})},
+ grouped AS (SELECT bundle AS r, min(row_key) AS first, count(*) AS rows, CAST(sum(cells) AS BIGINT) AS cells,
    bit_xor(a) AS a, bit_xor(b) AS b FROM placed GROUP BY 1),
  ranges AS (SELECT CASE WHEN r=0 THEN '' ELSE first END AS start, rows, cells, {HASH} AS hash FROM grouped),
  bounds AS (SELECT *, lead(start) OVER (ORDER BY start) AS stop FROM ranges)"""
@@ -51,18 +50,18 @@ def _ranges(spark, sf_dir) -> DataFrame:
     return c.hash_ranges(event_cells(spark, sf_dir), BATCH_BYTES)
 
 
-@query("hash_ranges", f"WITH {SQL_CELLS}, {SQL_RANGES} SELECT start, rows, cells, hash FROM ranges")
+@query("hash_ranges", f"WITH RECURSIVE {SQL_CELLS}, {SQL_RANGES} SELECT start, rows, cells, hash FROM ranges")
 def hash_ranges(spark, sf_dir):
     return _ranges(spark, sf_dir).withColumn("start", text("start"))
 
 
-@query("hash_range_bounds", f"WITH {SQL_CELLS}, {SQL_RANGES} SELECT start, stop, rows, cells, hash FROM bounds")
+@query("hash_range_bounds", f"WITH RECURSIVE {SQL_CELLS}, {SQL_RANGES} SELECT start, stop, rows, cells, hash FROM bounds")
 def hash_range_bounds(spark, sf_dir):
     bounds = c.range_bounds(_ranges(spark, sf_dir))
     return bounds.withColumn("start", text("start")).withColumn("stop", text("stop"))
 
 
-SQL_SYNC = f"""WITH {SQL_CELLS}, {SQL_MIRROR}, {SQL_RANGES}, {_digests("mirror", "dst")},
+SQL_SYNC = f"""WITH RECURSIVE {SQL_CELLS}, {SQL_MIRROR}, {SQL_RANGES}, {_digests("mirror", "dst")},
  theirs AS (SELECT start, bit_xor(a) AS a, bit_xor(b) AS b FROM bounds
    JOIN dst ON dst.row_key >= start AND (stop IS NULL OR dst.row_key < stop) GROUP BY 1),
  synced AS (SELECT bounds.start, stop, hash, hash IS NOT DISTINCT FROM ({HASH}) AS matches

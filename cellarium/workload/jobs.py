@@ -30,6 +30,7 @@ from cellarium.workload.tables import (
     order_cells,
     table,
     typed_cells,
+    sql_bundles,
 )
 
 HEAD = f"WITH {SQL_CELLS} "
@@ -247,11 +248,11 @@ TARGET = 90_000
 
 @query(
     "balanced_splits",
-    f"""WITH {SQL_CELLS}, {SQL_KEYED},
+    f"""WITH RECURSIVE {SQL_CELLS}, {SQL_KEYED},
  runs AS (SELECT *, bytes >= {TARGET} AS big, sum(CASE WHEN bytes >= {TARGET} THEN 1 ELSE 0 END) OVER (ORDER BY start) AS run FROM sized),
- smalls AS (SELECT *, coalesce(sum(CASE WHEN big THEN 0 ELSE bytes END) OVER (PARTITION BY run ORDER BY start
-   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),0) AS before FROM runs),
- bundled AS (SELECT *, CASE WHEN big THEN -1 ELSE floor(before/{TARGET}) END AS bundle FROM smalls)
+ smalls AS (SELECT * FROM runs WHERE NOT big),
+ {sql_bundles("merged", "smalls", "run", "start", {"bytes": TARGET})},
+ bundled AS (SELECT run, bundle, start, stop, bytes FROM merged UNION ALL SELECT run, -1, start, stop, bytes FROM runs WHERE big)
 SELECT min(start) AS start, CASE WHEN count(stop)=count(*) THEN max(stop) END AS stop,
   CAST(sum(bytes) AS BIGINT) AS bytes, count(*) AS ranges FROM bundled GROUP BY run, bundle""",
 )

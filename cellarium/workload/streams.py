@@ -21,6 +21,7 @@ from cellarium.workload.tables import (
     entries_of,
     event_stream,
     sql_walk,
+    sql_bundles,
 )
 
 HEAD = f"WITH {SQL_CELLS}, {SQL_ENTRIES}"
@@ -147,12 +148,12 @@ def repl_entry_filter(spark, sf_dir):
 
 @query(
     "repl_batches",
-    SQL_CLASSIFIED
+    SQL_CLASSIFIED.replace("WITH", "WITH RECURSIVE", 1)
     + """, rows AS (SELECT "table", row_key, CAST(sum(coalesce(24+length(row_key)+length(family)+length(qualifier)+length(value),0)) AS BIGINT) AS bytes,
    count(*) AS cells FROM classified WHERE op IS NOT NULL GROUP BY 1,2),
- placed AS (SELECT *, coalesce(sum(bytes) OVER w,0) AS b, coalesce(sum(cells) OVER w,0) AS c FROM rows
-   WINDOW w AS (PARTITION BY "table" ORDER BY row_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
-SELECT "table", CAST(floor(b/50000)+floor(c/700) AS BIGINT) AS batch, count(*) AS rows, CAST(sum(cells) AS BIGINT) AS cells FROM placed GROUP BY 1,2""",
+ """
+    + sql_bundles("placed", "rows", '"table"', "row_key", {"bytes": 50_000, "cells": 700})
+    + """ SELECT "table", bundle AS batch, count(*) AS rows, CAST(sum(cells) AS BIGINT) AS cells FROM placed GROUP BY 1,2""",
 )
 def repl_batches(spark, sf_dir):
     log = ch.to_log(_classified(spark, sf_dir))

@@ -406,3 +406,28 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64)
     return reader.parquet(f"{sf_dir}/events.parque[t]")
+
+
+def sql_bundles(name: str, source: str, key: str, order: str, limits: dict[str, int]) -> str:
+    """``source`` with ``bundle``: numbers from 0 in each key, closed by the row that fills a bundle.
+
+    One step of the recursion per bundle: the next one ends where a sum from its first row on reaches a limit.
+    """
+    sums = ", ".join(f"sum({c}) OVER w AS upto_{c}" for c in limits)
+    none = ", ".join("0" for _ in limits)
+    full = " OR ".join(f"o.upto_{c} >= p.upto_{c} + {limit}" for c, limit in limits.items())
+    return f"""{name}_rows AS (SELECT *, {key} AS _key, row_number() OVER w AS _at, {sums} FROM {source}
+   WINDOW w AS (PARTITION BY {key} ORDER BY {order} ROWS UNBOUNDED PRECEDING)),
+ {name}_ends AS (SELECT _key, max(_at) AS _end FROM {name}_rows GROUP BY 1),
+ {name}_sums AS (SELECT _key, _at, {", ".join(f"upto_{c}" for c in limits)} FROM {name}_rows
+   UNION ALL SELECT _key, 0, {none} FROM {name}_ends),
+ {name}_cuts(_key, bundle, _first, _last) AS (
+  SELECT _key, CAST(-1 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM {name}_ends
+  UNION ALL
+  SELECT c._key, c.bundle + 1, c._last + 1, coalesce(min(o._at), min(e._end)) FROM {name}_cuts c
+   JOIN {name}_ends e ON e._key = c._key AND c._last < e._end
+   JOIN {name}_sums p ON p._key = c._key AND p._at = c._last
+   LEFT JOIN {name}_sums o ON o._key = c._key AND o._at > c._last AND ({full})
+   GROUP BY c._key, c.bundle, c._last),
+ {name} AS (SELECT r.*, c.bundle FROM {name}_rows r JOIN {name}_cuts c
+   ON c._key = r._key AND r._at BETWEEN c._first AND c._last AND c.bundle >= 0)"""
