@@ -9,6 +9,9 @@ table, and digests of rows combine to digests of ranges in the same way.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -145,6 +148,38 @@ def _side_by_side(source: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
+def deliver(diff: DataFrame, detector: Callable[[int, pa.RecordBatch], int]) -> DataFrame:
+    """Hands every difference to ``detector``; (part, differences, handled) of every part.
+
+    ``diff`` is written once, and its parts are numbered by what was written: ``detector`` is called in tasks with
+    the number of a part and a batch of its rows, and says how many it has dealt with.  A task that is run
+    again calls with the same numbers and rows: delivery is at least once, and once a run where no task fails.
+    """
+    told = settle(diff.withColumn("_at", F.monotonically_increasing_id()), "differences")
+    told = told.withColumn("part", F.shiftright("_at", 33)).repartition("part").sortWithinPartitions("part", "_at")
+
+    def call(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            parts = batch.column(batch.num_columns - 1).to_numpy()
+            for part in dict.fromkeys(parts.tolist()):
+                low, high = parts.searchsorted([part, part + 1])
+                own = batch.slice(low, high - low)
+                handled = detector(part, own.select(own.schema.names[:-1]))
+                yield pa.RecordBatch.from_pylist(
+                    [{"part": part, "differences": own.num_rows, "handled": handled}], DELIVERED
+                )
+
+    counts = told.select(*diff.columns, "part").mapInArrow(call, "part bigint, differences bigint, handled bigint")
+    # Written before anything reads it, so that a look at the counts delivers nothing again.
+    return settle(
+        counts.groupBy("part").agg(F.sum("differences").alias("differences"), F.sum("handled").alias("handled")),
+        "delivered",
+    )
+
+
+DELIVERED = pa.schema([("part", pa.int64()), ("differences", pa.int64()), ("handled", pa.int64())])
+
+
 def by_version_rank(cells: DataFrame) -> DataFrame:
     """Timestamps replaced by the age rank of the version in its column."""
     placed = ranked(cells.select(*CELL), COLUMN, version_order(), "_rank")

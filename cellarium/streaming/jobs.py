@@ -213,11 +213,13 @@ def dual_write(
     checkpoint: str,
     refuses: Column,
     concurrent: bool = False,
+    max_put_bytes: int = m.MAX_CELL_BYTES,
 ) -> None:
     """Writes a stream of mutations (log columns) to two copies.
 
-    One after the other: the second copy gets what the first accepted, increments and
-    appends as puts of their results.  Concurrent: both get everything, which only puts
+    A mutation that no copy could take (``mutate.problem``) is refused before either write.  One after
+    the other: the second copy gets what the first accepted, increments and appends as puts of
+    their results.  Concurrent: both get the accepted mutations as they are, which only puts
     and deletes allow; a batch with other operations is written one after the other.
     ``refuses`` gives the second copy's reason to refuse a mutation, or NULL; those go
     to the failure log ``letters``: a folder, or what is called with them (log columns and
@@ -227,12 +229,12 @@ def dual_write(
     results = [m.INCREMENT, m.APPEND]
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        judged = batch.withColumn("error", m.problem())
+        judged = batch.withColumn("error", m.problem(max_put_bytes))
         good = judged.where("error IS NULL").drop("error")
         primary.append(good, batch_id)
         plain = good.where(~F.col("op").isin(*results))
         if concurrent and good.where(F.col("op").isin(*results)).isEmpty():
-            offered = batch
+            offered = good
         else:
             offered = plain.unionByName(_images(primary, good, batch_id))
         second = offered.withColumn("error", refuses)

@@ -129,6 +129,23 @@ def cell_diff_counts(spark, sf_dir):
     return c.cell_diff_counts(event_cells(spark, sf_dir), mirror_cells(spark, sf_dir))
 
 
+def _values_differ(part: int, differences) -> int:
+    """A detector that deals with cells both sides have."""
+    return sum(verdict == c.DIFFERENT for verdict in differences.column("verdict").to_pylist())
+
+
+@query(
+    "mismatch_delivery",
+    f"""{HEAD}, {_diff_sql('cells', 'mirror')}, told AS ({DIFF})
+SELECT count(*) AS differences, count(*) FILTER (verdict='{c.DIFFERENT}') AS handled FROM told""",
+)
+def mismatch_delivery(spark, sf_dir):
+    """Every difference is handed to a detector, in tasks."""
+    diff = c.cell_diff(event_cells(spark, sf_dir), mirror_cells(spark, sf_dir))
+    told = c.deliver(diff, _values_differ)
+    return told.agg(F.sum("differences").alias("differences"), F.sum("handled").alias("handled"))
+
+
 @query("cell_diff_ignore_ts", f"{HEAD}, {_diff_sql(_rank_sql('cells'), _rank_sql('mirror'))} {DIFF}")
 def cell_diff_ignore_ts(spark, sf_dir):
     return _shown(

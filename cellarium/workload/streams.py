@@ -233,12 +233,12 @@ def _refuses():
     return F.when(bad, F.lit("value out of range"))
 
 
-def _dual(spark, sf_dir, stream=None, concurrent=False):
+def _dual(spark, sf_dir, stream=None, **how):
     primary, secondary = (st.Copy(spark, new_path(spark, side)) for side in ("first", "second"))
     letters = new_path(spark, "letters")
     stream = mutations_of(event_stream(spark, sf_dir)) if stream is None else stream
     progress = new_path(spark, "progress")
-    st.dual_write(stream, primary, secondary, letters, progress, _refuses(), concurrent)
+    st.dual_write(stream, primary, secondary, letters, progress, _refuses(), **how)
     return primary, secondary, letters
 
 
@@ -253,15 +253,28 @@ def dual_write(spark, sf_dir):
     return shown(secondary.read("events"))
 
 
+LARGEST_PUT = 100
+
+
 @query(
     "dual_write_concurrent",
-    f"""{SQL_MUTATIONS}, {_replayed_sql(f"SELECT * FROM muts WHERE op NOT IN ('INCREMENT','MERGE') AND NOT ({REFUSED_SQL})")}
+    f"""{SQL_MUTATIONS}, odd AS (SELECT * REPLACE (CASE WHEN op<>'PUT' THEN value WHEN seq%13=0 THEN NULL
+   WHEN seq%17=0 THEN repeat(value, 40) ELSE value END AS value) FROM muts WHERE op NOT IN ('INCREMENT','MERGE')),
+ taken AS (SELECT * FROM odd WHERE op<>'PUT' OR (value IS NOT NULL AND
+   20+strlen(row_key)+strlen(family)+strlen(qualifier)+strlen(value) <= {LARGEST_PUT})),
+ {_replayed_sql(f"SELECT * FROM taken WHERE NOT ({REFUSED_SQL})")}
 SELECT row_key, family, qualifier, ts, value FROM state""",
 )
 def dual_write_concurrent(spark, sf_dir):
-    """The second copy where both are written at once; counters are left out of the stream."""
+    """The second copy where both are written at once; counters are left out of the stream.
+
+    Some puts are empty and some too large: neither copy gets them.
+    """
     stream = mutations_of(event_stream(spark, sf_dir)).where(F.col("op") != m.INCREMENT)
-    _, secondary, _ = _dual(spark, sf_dir, stream, concurrent=True)
+    value = F.when(F.col("op") != m.PUT, F.col("value")).when(F.col("seq") % 13 == 0, F.lit(None))
+    value = value.when(F.col("seq") % 17 == 0, F.repeat(F.decode("value", "UTF-8"), 40).cast("binary"))
+    stream = stream.withColumn("value", value.otherwise(F.col("value")))
+    _, secondary, _ = _dual(spark, sf_dir, stream, concurrent=True, max_put_bytes=LARGEST_PUT)
     return shown(secondary.read("events"))
 
 

@@ -116,3 +116,22 @@ def test_sampled_rows_are_compared_whole(spark, make_cells):
     some = F.col("row") < F.lit(b"0125")
     counts = c.verdict_counts(c.compare_rows(source.where(some), target.where(some))).collect()
     assert sum(r.rows for r in counts) == 125
+
+
+def test_each_difference_is_delivered_once(spark, make_cells, tmp_path):
+    source, target = (make_cells(t) for t in two_tables())
+    diff = c.cell_diff(source, target)
+    folder = str(tmp_path)
+
+    def detector(part, rows):
+        with open(f"{folder}/{part}", "a") as out:
+            for r in rows.to_pylist():
+                out.write(f"{r['row'].decode()} {r['qualifier'].decode()} {r['ts']} {r['verdict']}\n")
+        return rows.num_rows
+
+    told = c.deliver(diff, detector).collect()
+    assert sum(r.differences for r in told) == sum(r.handled for r in told)
+    want = sorted(f"{bytes(r.row).decode()} {bytes(r.qualifier).decode()} {r.ts} {r.verdict}" for r in diff.collect())
+    assert sorted(line for p in tmp_path.iterdir() for line in p.read_text().splitlines()) == want != []
+    assert {int(p.name) for p in tmp_path.iterdir()} == {r.part for r in told}
+    assert c.deliver(diff.limit(0), detector).collect() == []

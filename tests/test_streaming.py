@@ -220,13 +220,15 @@ def test_an_entry_of_many_cells_keeps_its_own_order(spark, entries):
     assert top == [2**62 * ch.PLACES, 2 * ch.PLACES]
 
 
-def test_concurrent_dual_write_offers_everything(spark, mutations, as_stream, tmp_path):
+def test_a_concurrent_dual_write_offers_what_can_be_written(spark, mutations, as_stream, tmp_path):
     at = {"row": "r", "family": "f", "qualifier": "q"}
-    log = mutations([at | {"ts": 1, "value": "v", "seq": 1, "op": m.PUT}, at | {"ts": 1, "seq": 2, "op": m.PUT}])
+    puts = [at | {"ts": 1, "value": "v", "seq": 1}, at | {"ts": 1, "seq": 2}, at | {"ts": 1, "value": "v" * 99, "seq": 3}]
+    log = mutations([put | {"op": m.PUT} for put in puts])
     one, two = (st.Copy(spark, str(tmp_path / name)) for name in ("one", "two"))
     never = F.lit(None).cast("string")
-    st.dual_write(as_stream(log, [F.lit(True)]), one, two, str(tmp_path / "l"), str(tmp_path / "p"), never, concurrent=True)
-    assert (one.log().count(), two.log().count()) == (1, 2)
+    st.dual_write(as_stream(log, [F.lit(True)]), one, two, str(tmp_path / "l"), str(tmp_path / "p"), never,
+                  concurrent=True, max_put_bytes=60)
+    assert [[r.seq for r in copy.log().collect()] for copy in (one, two)] == [[1], [1]]
 
 
 def test_counters_over_micro_batches(spark, mutations, as_stream, tmp_path):
