@@ -2,7 +2,8 @@
 
 Documents of a source are dealt to shards by a seeded hash, and laid end to end in each shard
 in seeded order.  The words of a shard fall into blocks of ``block`` words (the last may be
-shorter).  Every source's target is a number of blocks; Sainte-Lague quotients (votes over odd
+shorter), or of a sixteenth of the smallest source's target if that is less, so that small sources get
+their blocks too.  Every source's target is a number of blocks; Sainte-Lague quotients (votes over odd
 numbers) give each shard a whole number of them, highest quotients first.  A shard takes as
 many full rounds of its blocks as fit in its quota, and the rest of it as blocks in a row from a
 seeded one, going round at the end.  Documents lie in seeded order already, so blocks in a row are
@@ -12,12 +13,12 @@ The quotas of highest quotients are the votes divided by one common divisor and
 divisor is found by bisection over the shard table, and ties at the last seat go by shard.
 
 Null text has size 0; null source is a source of its own, last in order.  Repeated rows are
-rows of their own.  Documents without words take nothing.  An empty table gives an empty mix.
+rows of their own, laid in the order they are stored in.  Documents without words take nothing.  An empty table gives an empty mix.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -62,14 +63,18 @@ def sources(sized: DataFrame, mix: Mix) -> list[dict]:
 
 
 def quotas(shards: DataFrame, mix: Mix) -> DataFrame:
-    """Adds ``quota``: blocks for each shard, by highest quotients of ``votes``."""
+    """Adds ``quota``: blocks for each shard, by highest quotients of ``votes``.
+
+    Shards with a ``cap`` get no more; the seats go to the next quotients.
+    """
     votes = shards.agg(F.sum("votes")).first()[0] or 0.0
     seats = round(votes / mix.block)
     if seats <= 0:
         return shards.withColumn("quota", F.lit(0).cast("bigint"))
 
     def given(divisor: float) -> Column:
-        return F.floor(F.col("votes") / divisor + 0.5).cast("bigint")
+        quota = F.floor(F.col("votes") / divisor + 0.5).cast("bigint")
+        return F.least(quota, "cap") if "cap" in shards.columns else quota
 
     # Seats fall as the divisor grows; every pass over the table narrows it 32 times.
     low, high = mix.block / 1e6, 4.0 * votes
@@ -103,10 +108,13 @@ def take(docs: DataFrame, mix: Mix = Mix(), carry: list[str] | None = None) -> D
         F.col("doc_id").alias("_id"),
     )
     key = F.coalesce(F.concat(F.lit("="), "_source"), F.lit(""))
-    sized = settle(sized.withColumn("_key", key), "sized")
+    # Written once: a row keeps its place however often it is read.
+    sized = settle(sized.withColumns({"_key": key, "_place": F.monotonically_increasing_id()}), "sized")
+    found = sources(sized, mix)
+    least = min((r["target"] for r in found if r["target"] > 0), default=0)
+    mix = replace(mix, block=max(1, min(mix.block, int(least // 16))))
     listed = [
-        (r["_source"], r["size"], float(r["target"]), -(-r["rows"] // mix.shard_rows))
-        for r in sources(sized, mix)
+        (r["_source"], r["size"], float(r["target"]), -(-r["rows"] // mix.shard_rows)) for r in found
     ]
     schema = "_source string, source_size bigint, target double, shards bigint"
     targets = spark.createDataFrame(listed, schema).withColumn("_key", key).drop("_source")
@@ -120,18 +128,18 @@ def take(docs: DataFrame, mix: Mix = Mix(), carry: list[str] | None = None) -> D
         F.first("source_size").alias("source_size"),
     )
     votes = F.when(F.col("shard_size") > 0, F.col("target") * F.col("shard_size") / F.col("source_size"))
-    totals = settle(totals.withColumn("votes", F.coalesce(votes, F.lit(0.0))), "shards")
-    blocks = F.ceil(F.col("shard_size") / mix.block)
-    plan = quotas(totals, mix).withColumn("blocks", blocks)
-    plan = plan.withColumn("quota", F.least("quota", mix.most * F.col("blocks")))
+    totals = totals.withColumn("votes", F.coalesce(votes, F.lit(0.0)))
+    totals = totals.withColumn("blocks", F.ceil(F.col("shard_size") / mix.block))
+    plan = quotas(settle(totals.withColumn("cap", mix.most * F.col("blocks")), "shards"), mix)
     seeded = F.pmod(F.xxhash64(F.lit(mix.seed), "_key", "shard"), F.greatest("blocks", F.lit(1)))
     rounds = F.when(F.col("blocks") > 0, F.floor(F.col("quota") / F.col("blocks"))).otherwise(0)
     plan = plan.select(
         "_key", "shard", "shard_size", "blocks", rounds.cast("int").alias("rounds"),
         (F.col("quota") - rounds * F.col("blocks")).alias("extra"), seeded.alias("offset"),
     )
-    inside = Window.partitionBy("_key", "shard").orderBy("_at", "_id", "size")
-    placed = dealt.withColumn("_from", F.sum("size").over(inside) - F.col("size"))
+    inside = Window.partitionBy("_key", "shard").orderBy("_at", "_id", "size", "_place")
+    before = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1))
+    placed = dealt.withColumn("_from", F.coalesce(before, F.lit(0).cast("bigint")))
     return _taken(attach(placed, settle(plan, "plan"), ["_key", "shard"], "inner"), mix)
 
 

@@ -91,3 +91,21 @@ def test_nulls_repeats_and_empty_tables(make_docs):
     assert {r["target"] for r in found} == {0.0, 9.0}
     assert mixing.take(docs.limit(0)).count() == 0
     assert mixing.mixed(make_docs([(1, None, None, None)])).count() == 0
+
+
+def test_small_sources_and_equal_rows_come_near_their_targets(make_docs):
+    rows = [(k, "ten words " * 5, "en", f"s{k:02d}") for k in range(60)]
+    rows += [(None, "same text here", "en", "big")] * 40 + [(7, None, "en", "big"), (8, "w " * 300, "en", "big")]
+    found = mixing.take(make_docs(rows)).select("_doc.source", "size", "target", "taken").collect()
+    size, target = plain_targets(rows, Mix())
+    for source in size:
+        own = [r for r in found if r["source"] == source]
+        assert abs(sum(r["taken"] for r in own) - target[source]) <= max(1, 0.1 * target[source])
+    assert all(r["taken"] <= 2 * r["size"] for r in found)
+
+
+def test_seats_over_a_cap_go_to_the_next_quotients(spark):
+    rows = [("k", k, v, c) for k, (v, c) in enumerate([(1000.0, 2), (300.0, 9), (200.0, 9)])]
+    shards = spark.createDataFrame(rows, "_key string, shard int, votes double, cap bigint")
+    got = {r["shard"]: r["quota"] for r in mixing.quotas(shards, Mix(block=150)).collect()}
+    assert sum(got.values()) == 10 and got[0] == 2 and got[1] >= got[2]
