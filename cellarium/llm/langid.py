@@ -3,7 +3,7 @@
 Subwords are the runs of two to four bytes inside a word, its ends marked, hashed to BUCKETS rows
 of an embedding table.  A text is the average of its subwords' rows; a linear softmax over it gives
 the languages.  Both are fitted by stochastic gradient descent in numpy on at most
-``rows_per_language`` rows of each language, chosen by the smallest hash of their ids.  A fifth of them
+``rows_per_language`` rows of each language, chosen by the smallest hash of their ids, then texts.  A fifth of them
 is held back to calibrate: a temperature makes scores probabilities, and the least score at which
 errors among accepted texts stay within ``error`` is the limit below which ``accepted`` is false.
 
@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellarium.llm.common import batches
-from cellarium.plans.skew import topmost
+from cellarium.plans.scratch import settle
+from cellarium.plans.skew import attach, topmost
 
 BUCKETS = 1 << 16
 SIZES = (2, 3, 4)
@@ -118,32 +119,49 @@ def _sampled(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 pa.array(lists, pa.list_(pa.int32())),
                 pa.array(shares, pa.list_(pa.float32())),
-                batch.column(1),
-                batch.column(2),
+                *batch.columns[1:],
             ],
-            names=["buckets", "shares", "lang", "at"],
+            names=["buckets", "shares", "lang", "at", "also"],
         )
 
 
+def _sample(rows: DataFrame, fit: Fit) -> tuple[DataFrame, list[str]]:
+    """rows_per_language rows (text, lang, at, also) of each language, or all of fewer; the languages.
+
+    Rows go by hash of the id, then of the text; where rows are equal in both, as many as are wanted.
+    """
+    at, also = F.xxhash64(F.lit(fit.seed), "doc_id").alias("at"), F.xxhash64("text").alias("also")
+    marked = rows.select("text", "lang", at, also)
+    first = topmost(marked.drop("text"), ["lang"], [F.col("at"), F.col("also")], fit.rows_per_language)
+    counted = first.groupBy("lang", "at", "also").agg(F.count(F.lit(1)).alias("wanted"))
+    ends = counted.groupBy("lang").agg(F.max(F.struct("at", "also", "wanted")).alias("end"))
+    ends = settle(ends, "ends")
+    own = F.struct("at", "also")
+    end = F.struct("end.at", "end.also")
+    inside = attach(marked, ends, ["lang"], "inner").where(own <= end)
+    # Equal rows are added up before they are shuffled, however many they are.
+    found = inside.groupBy("lang", "at", "also").agg(
+        F.first("text").alias("text"), F.count(F.lit(1)).alias("n"), F.first("end").alias("end")
+    )
+    copies = F.when(own == end, F.col("end.wanted")).otherwise(F.col("n"))
+    found = found.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)))
+    return found.select("text", "lang", "at", "also"), sorted(r["lang"] for r in ends.select("lang").collect())
+
+
 def learn(rows: DataFrame, fit: Fit = Fit()) -> Model:  # noqa: B008
     """Fits on rows with text and lang; the sample is rows_per_language rows of each language."""
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    marked = rows.select("text", "lang", F.xxhash64(F.lit(fit.seed), "doc_id").alias("at"))
-    limits = topmost(marked.select("lang", "at"), ["lang"], [F.col("at")], fit.rows_per_language)
-    limits = [(r["lang"], r["at"]) for r in limits.groupBy("lang").agg(F.max("at").alias("at")).collect()]
-    if not limits:
+    sample, languages = _sample(rows, fit)
+    if not languages:
         return Model([], np.zeros((0, BUCKETS), np.float32), np.zeros(0))
-    chosen = F.lit(False)
-    for lang, limit in limits:
-        chosen = chosen | ((F.col("lang") == lang) & (F.col("at") <= limit))
-    sample = marked.where(chosen).limit(2 * fit.rows_per_language * len(limits))
-    schema = "buckets array<int>, shares array<float>, lang string, at bigint"
-    found = sample.mapInArrow(_sampled, schema).toArrow()
-    return _fit(found, sorted(x for x, _ in limits), fit)
+    schema = "buckets array<int>, shares array<float>, lang string, at bigint, also bigint"
+    return _fit(sample.mapInArrow(_sampled, schema).toArrow(), languages, fit)
 
 
 def _fit(sample: pa.Table, languages: list[str], fit: Fit) -> Model:
-    order = np.argsort(sample["at"].to_numpy(), kind="stable")
+    # The order of arrival must not matter: rows equal in both hashes are equal.
+    sample = sample.take(np.lexsort((sample["also"].to_numpy(), sample["at"].to_numpy())))
+    order = np.arange(sample.num_rows)
     number = {x: k for k, x in enumerate(languages)}
     label = np.array([number[x.as_py()] for x in sample["lang"]])
     buckets = [np.array(x.values) for x in sample["buckets"]]

@@ -56,3 +56,20 @@ def test_a_long_text_and_its_subwords():
     assert counts.tolist()[1] == 0 and len(buckets) == counts.sum()
     alone, own = langid.subwords(["ab"])
     assert sorted(buckets[: counts[0]].tolist()) == sorted(alone.tolist()) and own[0] == counts[0]
+
+
+def test_the_sample_has_its_number_of_rows_of_each_language(spark, make_docs):
+    """Null and equal ids tie in the hash; equal rows tie in the text too."""
+    words = {"en": "the cat sat on mat with dog and house", "fr": "le chat est sur la table avec chien"}
+    rows = [(None, f"the cat sat on mat number {k}" if k % 2 else words["en"], "en", "a") for k in range(2000)]
+    rows += [(7, f"{words['fr']} {k}", "fr", "a") for k in range(60)] + [(9, "der hund", "de", "a")]
+    docs = make_docs(rows)
+    fit = langid.Fit(rows_per_language=50)
+    sample, languages = langid._sample(docs, fit)
+    taken = {(r["lang"], r["count"]) for r in sample.groupBy("lang").count().collect()}
+    assert languages == ["de", "en", "fr"] and taken == {("en", 50), ("fr", 50), ("de", 1)}
+    model = langid.learn(docs, fit)
+    again = langid.learn(docs.repartition(7), fit)
+    assert (model.table == again.table).all() and model.limit == again.limit
+    found = langid.predict(docs, model).join(docs.select("doc_id", "lang").distinct(), "doc_id")
+    assert {r["lang_pred"] for r in found.where("lang = 'fr'").select("lang_pred").distinct().collect()} == {"fr"}
