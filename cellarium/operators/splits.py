@@ -91,17 +91,33 @@ def even_cuts(start: bytes, stop: bytes, buckets: int) -> list[tuple[int, bytes]
     return [(i, key.to_bytes(width).rstrip(b"\x00")) for key, i in firsts.items()]
 
 
+def row_sizes(cells: DataFrame) -> DataFrame:
+    return cells.groupBy("row").agg(
+        F.count(F.lit(1)).alias("cells"), F.sum(stored_cell_size()).alias("bytes")
+    )
+
+
 def uniform_buckets(cells: DataFrame, start: bytes, stop: bytes, buckets: int) -> DataFrame:
     """Cells and bytes in each of ``buckets`` even cuts of the key space [start, stop).
 
     Rows are added up first, so what is put into buckets is one record per row.
     """
-    cuts = cells.sparkSession.createDataFrame(
-        even_cuts(start, stop, buckets), "bucket bigint, span_start binary"
-    )
     inside = cells.where((F.col("row") >= F.lit(start)) & (F.col("row") < F.lit(stop)))
-    rows = inside.groupBy("row").agg(
-        F.count(F.lit(1)).alias("cells"), F.sum(stored_cell_size()).alias("bytes")
+    return _in_buckets(row_sizes(inside), start, stop, buckets)
+
+
+def even_buckets(cells: DataFrame, buckets: int) -> DataFrame:
+    """``uniform_buckets`` of the key space from the first key to the last; the cells are read once."""
+    rows = settle(row_sizes(cells), "rows")
+    first, last = rows.agg(F.min("row"), F.max("row")).first()
+    if first is None:
+        return rows.select(F.lit(0).cast("bigint").alias("bucket"), "cells", "bytes")
+    return _in_buckets(rows, bytes(first), bytes(last) + b"\x00", buckets)
+
+
+def _in_buckets(rows: DataFrame, start: bytes, stop: bytes, buckets: int) -> DataFrame:
+    cuts = rows.sparkSession.createDataFrame(
+        even_cuts(start, stop, buckets), "bucket bigint, span_start binary"
     )
     return locate(rows, "row", cuts).groupBy("bucket").agg(
         F.sum("cells").alias("cells"), F.sum("bytes").alias("bytes")

@@ -293,8 +293,7 @@ SELECT CAST(least((x-lo)*16//(hi-lo), 15) AS BIGINT) AS bucket, count(*) AS cell
 def uniform_buckets(spark, sf_dir):
     """Even cuts between the first and the last key; all keys share their first six bytes or more."""
     cells = line_cells(spark, sf_dir).withColumn("row", F.concat(F.lit(b"order:"), "row"))
-    first, last = cells.agg(F.min("row"), F.max("row")).first()
-    return s.uniform_buckets(cells, bytes(first), bytes(last) + b"\x00", 16)
+    return s.even_buckets(cells, 16)
 
 
 def _multi(spark, sf_dir):

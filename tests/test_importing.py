@@ -204,6 +204,14 @@ def test_uniform_buckets(spark, make_cells, buckets, prefix):
     assert {r.bucket: r.cells for r in got} == want
 
 
+def test_even_buckets_span_the_keys(spark, make_cells):
+    keys = [b"user:" + bytes([a, c]) for a in range(1, 200, 7) for c in (0, 255)]
+    cells = make_cells([(k, "f", "q", ts, "v") for k in keys for ts in (1, 2)])
+    whole = s.uniform_buckets(cells, min(keys), max(keys) + b"\x00", 7)
+    assert sorted(s.even_buckets(cells, 7).collect()) == sorted(whole.collect())
+    assert s.even_buckets(cells.limit(0), 7).collect() == []
+
+
 def test_neighbouring_keys_are_cut_evenly(spark, make_cells):
     cells = make_cells([(f"user:{i:04d}", "f", "q", 1, "v") for i in range(8)])
     got = s.uniform_buckets(cells, b"user:0000", b"user:0008", 4).collect()
