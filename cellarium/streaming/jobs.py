@@ -36,6 +36,17 @@ def _with(schema: T.StructType, name: str) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(name, T.LongType())])
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    # The folder is made when the first batch is; until then there is nothing.
+    reader = spark.read.schema(schema).option("ignoreMissingFiles", "true")
+    try:
+        return reader.parquet(path)
+    except Exception as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return spark.createDataFrame([], schema)
+
+
 class Copy:
     """A table kept up to date by micro-batches, under one folder."""
 
@@ -53,14 +64,7 @@ class Copy:
         )
 
     def _read(self, folder: str, schema: T.StructType) -> DataFrame:
-        # The folder is made when the first batch is; until then the copy is empty.
-        reader = self.spark.read.schema(schema).option("ignoreMissingFiles", "true")
-        try:
-            return reader.parquet(f"{self.path}/{folder}")
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            return self.spark.createDataFrame([], schema)
+        return read_or_empty(self.spark, f"{self.path}/{folder}", schema)
 
     def _state(self, before: int | None) -> tuple[DataFrame, DataFrame]:
         """Newest base and the log since, all tables in one, up to a micro-batch."""
@@ -145,19 +149,20 @@ def replicate(
 def dry_run(
     entries: DataFrame, checkpoint: str, loop_tag: bytes | str | None = None
 ) -> dict[str, int]:
-    """Classifies and counts a stream of entries, and writes nothing."""
-    seen: dict[int, dict[str, int]] = {}
+    """Classifies and counts a stream of entries, and writes no entry.
+
+    The counters of a micro-batch are a folder beside the progress: a repeated one overwrites its own, and a
+    later start goes on from those before.
+    """
+    counters = f"{checkpoint}/counters"
 
     def each(batch: DataFrame, batch_id: int) -> None:
         counted = ch.metrics(ch.classify(batch, loop_tag), loop_tag is not None)
-        seen[batch_id] = {row["metric"]: row["n"] for row in counted.collect()}
+        counted.write.mode("overwrite").parquet(f"{counters}/batch_id={batch_id}")
 
     _run(entries, each, checkpoint)
-    total: dict[str, int] = {}
-    for counters in seen.values():
-        for name, n in counters.items():
-            total[name] = total.get(name, 0) + n
-    return total
+    kept = read_or_empty(entries.sparkSession, counters, "metric string, n bigint")
+    return {r["metric"]: r["n"] for r in kept.groupBy("metric").agg(F.sum("n").alias("n")).collect()}
 
 
 # ---- two copies -------------------------------------------------------------

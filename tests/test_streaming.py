@@ -149,6 +149,15 @@ def test_dry_run_writes_nothing(spark, entries, as_stream, tmp_path):
     assert counters["incompatible_mutations"] == 4 and counters["one_way_eligible_entries"] == 4
 
 
+def test_a_dry_run_goes_on_from_its_counters(spark, entries, as_stream, tmp_path):
+    log = entries(*[(i, "t", 20, [cell("PUT"), cell("APPEND")]) for i in range(6)])
+    progress = str(tmp_path / "progress")
+    assert st.dry_run(as_stream(log, [F.col("entry") < 2]), progress)["one_way_eligible_entries"] == 2
+    more = as_stream(log, [F.lit(False), F.col("entry") >= 2])
+    assert st.dry_run(more, progress)["one_way_eligible_entries"] == 6
+    assert st.dry_run(more, progress)["incompatible_mutations"] == 6
+
+
 @pytest.fixture
 def mutations(make_log):
     def make(rows):
