@@ -120,7 +120,7 @@ def row_pass(passed: Callable[[tuple, int | None, bytes | None], bool], max_byte
                     answer = (seq, passed((op, *rest), *newest))
                     out.append(answer)
                 elif kind == "stored" or answer == (seq, True):
-                    _act(state, family, qualifier, op, ts, value, amount, max_bytes)
+                    act(state, family, qualifier, op, ts, value, amount, max_bytes)
             columns = list(zip(*out, strict=True)) if out else [(), ()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], batch.column(1).type), pa.array(columns[1], pa.bool_())],
@@ -175,7 +175,7 @@ def piece_pass(
                     answer = (seq, passed((op, *rest), *newest))
                     out.append((*key, "answer", *answer, None, None, None))
                 elif answer == (seq, True):
-                    _act(state, family, qualifier, op, ts, value, amount, max_bytes, bool(pinned))
+                    act(state, family, qualifier, op, ts, value, amount, max_bytes, bool(pinned))
                     if op in ("DELETE_ROW", "DELETE_FAMILY"):
                         cleared.add((family if op == "DELETE_FAMILY" else None,))
                     else:
@@ -195,7 +195,7 @@ def piece_pass(
     return walk
 
 
-def _act(state: dict, family, qualifier, op, ts, value, amount, max_bytes: int, pinned: bool = True) -> None:
+def act(state: dict, family, qualifier, op, ts, value, amount, max_bytes: int, pinned: bool = True) -> None:
     if op == "DELETE_ROW":
         state.clear()
     elif op == "DELETE_FAMILY":

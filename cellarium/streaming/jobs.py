@@ -8,15 +8,20 @@ twice, increments included; nothing is rewritten per batch.  Reading replays the
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import pickle
+from collections.abc import Callable, Iterator
 from functools import partial
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState
 
-from cellarium.model import CELL_SCHEMA, COLUMN, ROW
+from cellarium.functions.bytewise import long_to_bytes
+from cellarium.model import CELL_SCHEMA, COLUMN, LATEST, ROW
 from cellarium.operators import mutate as m
+from cellarium.operators.sequential import act
 from cellarium.plans.skew import measured
 from cellarium.streaming import changes as ch
 
@@ -289,3 +294,65 @@ def read_counts(spark: SparkSession, path: str) -> DataFrame:
     kept = spark.read.parquet(path)
     return kept.groupBy("table", *COLUMN).agg(F.max_by("total", "batch_id").alias("total"))
 
+
+# ---- newest versions --------------------------------------------------------
+
+
+def _follow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """A row's live versions through one micro-batch; the newest ones of the columns it touched."""
+    columns = pickle.loads(state.get[0]) if state.exists else {}
+    events = pd.concat(list(frames)).sort_values("seq")
+    touched: dict[tuple, None] = {}
+    for e in events.itertuples(index=False):
+        if e.op in (m.DELETE_ROW, m.DELETE_FAMILY):
+            touched.update(dict.fromkeys(c for c in columns if e.op == m.DELETE_ROW or c[0] == e.family))
+        else:
+            touched[(e.family, e.qualifier)] = None
+        amount = int.from_bytes(e.value, "big", signed=True) if e.op == m.INCREMENT else None
+        act(columns, e.family, e.qualifier, e.op, e.ts, e.value, amount, m.MAX_CELL_BYTES)
+    state.update((pickle.dumps({c: live for c, live in columns.items() if live.times}),))
+    newest = [(c, columns[c].newest() if c in columns else (None, None)) for c in touched]
+    yield pd.DataFrame(
+        [(*key, *c, 0 if value is None else ts, value) for c, (ts, value) in newest],
+        columns=["table", *COLUMN, "ts", "value"],
+    )
+
+
+def follow(mutations: DataFrame, path: str, checkpoint: str) -> None:
+    """The newest version of every column, kept by a stream of mutations of all kinds.
+
+    Live versions are streaming state, by row, so deletes reach all they cover and bring older versions
+    back; a folder per micro-batch holds the columns it touched, with no value where none is left.
+    Mutations that are refused, or increments and appends that fail, change nothing.
+    Within a micro-batch seq orders a row's mutations; later micro-batches come after it.
+    """
+    good = mutations.where(m.problem().isNull())
+    # Whole numbers with nulls would become doubles in pandas.
+    value = F.when(F.col("op") == m.INCREMENT, long_to_bytes(F.col("amount"))).otherwise(F.col("value"))
+    good = good.select(
+        "table", *COLUMN, F.coalesce("ts", F.lit(LATEST)).alias("ts"), value.alias("value"), "seq", "op"
+    )
+    kinds = "table string, row binary, family string, qualifier binary, ts bigint, value binary"
+    newest = good.groupBy("table", "row").applyInPandasWithState(
+        _follow, kinds, "columns binary", "update", "NoTimeout"
+    )
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    query = (
+        newest.writeStream.outputMode("update")
+        .foreachBatch(each)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def read_newest(spark: SparkSession, path: str) -> DataFrame:
+    """Cells (with ``table``) that ``follow`` has left: the newest version of every column."""
+    kinds = "table string, row binary, family string, qualifier binary, ts bigint, value binary, batch_id bigint"
+    told = read_or_empty(spark, path, kinds)
+    last = told.groupBy("table", *COLUMN).agg(F.max_by(F.struct("ts", "value"), "batch_id").alias("_new"))
+    return last.select("table", *COLUMN, "_new.*").where(F.col("value").isNotNull())

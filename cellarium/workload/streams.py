@@ -302,3 +302,16 @@ def stream_counters(spark, sf_dir):
     st.count_stream(increments, path, new_path(spark, "progress"))
     totals = st.read_counts(spark, path)
     return totals.select(text("row").alias("row_key"), text("qualifier").alias("qualifier"), "total")
+
+
+@query(
+    "stream_newest",
+    f"""{SQL_MUTATIONS}, {_replayed_sql("SELECT * FROM offered")}
+SELECT row_key, family, qualifier, ts, value FROM state
+QUALIFY row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY ts DESC)=1""",
+)
+def stream_newest(spark, sf_dir):
+    """The newest version of every column, by a stream of puts, deletes and increments."""
+    path = new_path(spark, "newest")
+    st.follow(mutations_of(event_stream(spark, sf_dir)), path, new_path(spark, "progress"))
+    return shown(st.read_newest(spark, path))

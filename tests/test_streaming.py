@@ -1,12 +1,16 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from cellarium.model import LATEST
+from cellarium.model import CELL_SCHEMA, LATEST
 from cellarium.operators import mutate as m
+from cellarium.operators.filters import newest
 from cellarium.streaming import changes as ch
 from cellarium.streaming import jobs as st
+from tests.test_mutate import any_log
 
 ENTRY = f"entry bigint, table string, written bigint, cells array<{ch.CELL_FIELDS}>"
 
@@ -247,3 +251,20 @@ def test_counters_over_micro_batches(spark, mutations, as_stream, tmp_path):
     st.count_stream(stream, str(tmp_path / "totals"), str(tmp_path / "progress"))
     got = {bytes(r.row): r.total for r in st.read_counts(spark, str(tmp_path / "totals")).collect()}
     assert got == {b"r0": 20, b"r1": 16}
+
+
+def test_a_stream_of_all_mutations_is_the_replay(spark, mutations, as_stream, listed, tmp_path):
+    rng = random.Random(8)
+    log = any_log(rng, 90, lambda: rng.choice(["r", "s"]), counters_only=False)
+    for x in log:
+        if x["op"] in (m.DELETE_ROW, m.DELETE_FAMILY):
+            x["ts"] = LATEST
+    df = mutations(log)
+    path, progress = str(tmp_path / "out"), str(tmp_path / "p")
+    st.follow(as_stream(df, [F.col("seq") < 30, (F.col("seq") >= 30) & (F.col("seq") < 50)]), path, progress)
+    early = listed(st.read_newest(spark, path))
+    assert early == listed(newest(m.replay(spark.createDataFrame([], CELL_SCHEMA), df.where("seq < 50").drop("table"))))
+    # A later start goes on from the state of the one before.
+    st.follow(as_stream(df, [F.lit(False), F.lit(False), F.col("seq") >= 50]), path, progress)
+    want = listed(newest(m.replay(spark.createDataFrame([], CELL_SCHEMA), df.drop("table"))))
+    assert listed(st.read_newest(spark, path)) == want != early
