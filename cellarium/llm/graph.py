@@ -1,13 +1,35 @@
-"""Connected components of a link table, by turns of large-star and small-star steps."""
+"""Connected components: of a link table, by turns of large-star and small-star steps; of one task's arrays."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellarium.plans.scratch import settle
 
 
+class Union:
+    """Components of places 0 to n - 1, under links given as arrays."""
+
+    def __init__(self, n: int):
+        self.root = np.arange(n)
+
+    def link(self, i: np.ndarray, j: np.ndarray) -> None:
+        while len(i):
+            a, b = self.root[i], self.root[j]
+            apart = a != b
+            if not apart.any():
+                return
+            i, j = i[apart], j[apart]
+            np.minimum.at(self.root, np.maximum(a, b)[apart], np.minimum(a, b)[apart])
+            while True:
+                up = self.root[self.root]
+                if (up == self.root).all():
+                    break
+                self.root = up
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b); root is the smallest node reachable.
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from cellarium.llm import near_copies
 from cellarium.llm.common import batches
-from cellarium.llm.graph import components
+from cellarium.llm.graph import Union, components
 from cellarium.plans.scratch import settle
 from cellarium.plans.skew import attach
 
@@ -74,27 +74,6 @@ def gray_rank(values: np.ndarray) -> np.ndarray:
     return rank
 
 
-class Union:
-    """Components of places 0 to n - 1, under links given as arrays."""
-
-    def __init__(self, n: int):
-        self.root = np.arange(n)
-
-    def link(self, i: np.ndarray, j: np.ndarray) -> None:
-        while len(i):
-            a, b = self.root[i], self.root[j]
-            apart = a != b
-            if not apart.any():
-                return
-            i, j = i[apart], j[apart]
-            np.minimum.at(self.root, np.maximum(a, b)[apart], np.minimum(a, b)[apart])
-            while True:
-                up = self.root[self.root]
-                if (up == self.root).all():
-                    break
-                self.root = up
-
-
 def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b) <= MOST_BITS
 

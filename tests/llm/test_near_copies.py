@@ -61,7 +61,8 @@ def test_classes_match_all_pairs(spark, seed):
     assert [found[k] for k in range(len(texts))] == plain_classes(texts)
 
 
-def test_pairs_missed_by_the_first_of_a_bucket_are_compared(spark, monkeypatch):
+@pytest.mark.parametrize("block", [150_000, 700])
+def test_pairs_missed_by_the_first_of_a_bucket_are_compared(spark, monkeypatch, block):
     """All texts share every bucket; only neighbours in pairs link, and never with the first."""
     texts = ["a b c d e"]
     for k in range(12):
@@ -69,10 +70,11 @@ def test_pairs_missed_by_the_first_of_a_bucket_are_compared(spark, monkeypatch):
         texts += [own, own + " tail"]
     rng = random.Random(3)
     rng.shuffle(texts)
-    monkeypatch.setattr(near_copies, "WIDEN", 2)
+    monkeypatch.setattr(near_copies, "BLOCK", block)
+    monkeypatch.setattr(near_copies, "COLUMNS", 64)
     docs = spark.createDataFrame(list(enumerate(texts)), "place bigint, text string").repartition(3)
     each = docs.select("place", F.lit(57).cast("bigint").alias("n"), F.array(F.lit(7).cast("bigint")).alias("bands"))
-    edges = {(r["a"], r["b"]) for e in near_copies.links(each, docs) for r in e.collect()}
+    edges = {(min(r["a"], r["b"]), max(r["a"], r["b"])) for e in near_copies.links(each, docs) for r in e.collect()}
     pairs = {(a, b) for a in range(25) for b in range(a + 1, 25)}
     assert edges == {(a, b) for a, b in pairs if texts[a].split()[0] == texts[b].split()[0]}
 
