@@ -1,9 +1,10 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from cellarium.llm import decontaminate, mixing, quality, simhash
+from cellarium.llm import decontaminate, mixing, quality
 from cellarium.llm.common import table
 from cellarium.plans.scratch import settle
+from tests.llm.test_near_copies import plain_classes
 
 DATA = "/root/testdata/sf0.001"
 
@@ -16,7 +17,8 @@ def test_stages_take_effect_one_after_the_other(spark):
 
     kept = {r["doc_id"] for r in quality.judge(docs).where("kept").select("_doc.doc_id").collect()}
     good = docs.where(docs.doc_id.isin(*kept))
-    one = {r["component_id"] for r in simhash.classes(good).collect()}
+    texts = sorted((r["doc_id"], r["text"]) for r in good.collect())
+    one = {texts[k][0] for k in plain_classes([text for _, text in texts])}
     apart = good.where(good.doc_id.isin(*one))
     dirty = {r["doc_id"] for r in decontaminate.overlaps(apart, bench).collect()}
     clean = apart.where(~apart.doc_id.isin(*dirty)) if dirty else apart
