@@ -19,6 +19,8 @@ from cellarium.operators.scan import (
     scan,
 )
 from cellarium.plans.keyspace import KeySet, Span
+from cellarium.plans.scratch import new_path
+from cellarium.sources import manifest
 from cellarium.workload.registry import query
 from cellarium.workload.tables import SQL_CELLS, SQL_LATEST, event_cells, table
 
@@ -251,6 +253,59 @@ def estimate_size(spark, sf_dir):
     return estimated_size(event_cells(spark, sf_dir), KeySet.between("u00010"))
 
 
+def indexed_cells(spark, sf_dir):
+    """The event cells as an export with its manifest, in files of a few thousand cells."""
+    path, cells = new_path(spark, "indexed"), event_cells(spark, sf_dir)
+    manifest.export_indexed(cells, path, parts=cells.count() // 5_000 + 1)
+    return path
+
+
+@query(
+    "multi_get_indexed",
+    f"""WITH {SQL_CELLS}, {SQL_LATEST}, {SQL_REQUESTS}
+SELECT request, req.row_key, family, qualifier, ts, value FROM req LEFT JOIN latest USING (row_key)""",
+)
+def many_gets_indexed(spark, sf_dir):
+    asked = requests(spark, sf_dir)
+    cells = manifest.read_holding(spark, indexed_cells(spark, sf_dir), asked)
+    return text_view(multi_get(cells, asked), "request")
+
+
+@query(
+    "exists_indexed",
+    f"""WITH {SQL_CELLS}, {SQL_REQUESTS}
+SELECT request, row_key, row_key IN (SELECT row_key FROM cells WHERE qualifier='purchase') AS found FROM req""",
+)
+def exists_many_indexed(spark, sf_dir):
+    asked = requests(spark, sf_dir)
+    cells = manifest.read_holding(spark, indexed_cells(spark, sf_dir), asked)
+    found = exists_all(cells, asked, ScanSpec(columns={"tx": ["purchase"]}))
+    return found.select("request", text("row").alias("row_key"), "found")
+
+
+@query(
+    "estimate_from_footers",
+    f"""WITH {SQL_CELLS} SELECT (SELECT count(*) FROM cells) AS table_cells,
+  count(*) AS cells, true AS bounded, true AS near FROM cells WHERE row_key >= 'u00010' AND row_key < 'u00040'""",
+)
+def estimate_from_footers(spark, sf_dir):
+    """The whole table is told exactly; a range within its bounds, which are two row groups apart."""
+    groups = manifest.read_manifest(spark, indexed_cells(spark, sf_dir))
+    rows = KeySet.between("u00010", "u00040")
+    cells = event_cells(spark, sf_dir)
+    whole = manifest.estimated_size(groups, KeySet.all()).first()
+    part = manifest.estimated_size(groups, rows).first()
+    most = groups.agg(F.max("cells")).scalar()
+    exact = estimated_size(cells, rows).select("cells")
+    low, high = F.lit(part["cells_low"]), F.lit(part["cells_high"])
+    return exact.select(
+        F.lit(whole["cells"]).alias("table_cells"),
+        "cells",
+        F.col("cells").between(low, high).alias("bounded"),
+        (high - low <= 2 * F.coalesce(most, F.lit(0))).alias("near"),
+    )
+
+
 @query(
     "scan_spec",
     f"""WITH {SQL_CELLS}, lim AS (SELECT * FROM cells WHERE row_key >= 'u00005' AND ts >= {JAN_10}
