@@ -299,7 +299,7 @@ def estimate_from_footers(spark, sf_dir):
     exact = estimated_size(cells, rows).select("cells")
     low, high = F.lit(part["cells_low"]), F.lit(part["cells_high"])
     return exact.select(
-        F.lit(whole["cells"]).alias("table_cells"),
+        F.lit(whole["cells"]).cast("bigint").alias("table_cells"),
         "cells",
         F.col("cells").between(low, high).alias("bounded"),
         (high - low <= 2 * F.coalesce(most, F.lit(0))).alias("near"),
