@@ -18,13 +18,16 @@ agrees by chance (2**-32).
 from __future__ import annotations
 
 import array
+import codecs
 import functools
+import string
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex as re
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,7 +37,7 @@ from cellarium.llm.common import batches, mix
 END_ID = 1
 BLOCK_IDS = 1 << 18  # a block is closed once it has so many ids
 BUCKET_KEYS = 20_000  # keys of an index bucket, on average
-CACHED_WORDS = 150_000  # words of a generation whose ids a task remembers
+CACHED_WORDS = 300_000  # words of a generation whose ids a task remembers, some 60 MB
 LEVELS = 24
 SPREAD = 2.0  # bits of a level per key still without one
 
@@ -53,9 +56,14 @@ DOCUMENTS = (
 
 # The byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on.
 PLAIN_BYTES = [b for b in range(256) if 0x21 <= b <= 0x7E or (0xA1 <= b and b != 0xAD)]
-LETTERS = {
-    b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in set(PLAIN_BYTES))
-}
+OTHER_BYTES = [b for b in range(256) if b not in PLAIN_BYTES]
+LETTERS = "".join(chr(b) if b in PLAIN_BYTES else chr(256 + OTHER_BYTES.index(b)) for b in range(256))
+# Signs that end a piece of letters or a digit and are one piece; no apostrophe, which may begin an ending.
+SIGNS = string.punctuation.replace("'", "")
+# Characters that normalization leaves alone but for their case, one for one (the dotted capital I gives two).
+LATIN = re.compile(r"[!-~\u00a1-\u012f\u0131-\u024f]+")
+# How the tokenizer cuts a lower-cased word.
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
 
 class WordIds(dict):
@@ -63,10 +71,10 @@ class WordIds(dict):
 
     Words here are runs between ASCII white space.  The tokenizer drops white space before it
     looks at pieces, and no piece, normalization or merge reaches over it, so a text's ids
-    are those of its words, one after the other.  A comma or full stop after a letter or digit is a
-    piece of its own, and letter case is dropped, so such words are put together from known ones.
-    A word of Latin letters is one piece that normalization leaves alone, and goes to the
-    tokenizer's model directly; any other word goes through all of the tokenizer.
+    are those of its words, one after the other.  Letter case is dropped, and a word of Latin characters
+    is cut into pieces as the tokenizer cuts it (runs of letters, digits one by one, runs of other signs,
+    short English endings), so such words are put together from known pieces; a piece goes to the
+    tokenizer's model directly.  Any other word goes through all of the tokenizer.
 
     The words met lately are kept, in two generations: a full one becomes the old one.
     """
@@ -90,15 +98,22 @@ class WordIds(dict):
         return packed
 
     def _encode(self, word: bytes) -> bytes:
-        if word[-1] in b".," and word[-2:-1].isalnum():
-            return self[word[:-1]] + self[word[-1:]]
-        if b"<|" not in word and word.lower() != word:
-            return self[word.lower()]
         text = word.decode()
-        if text.isalpha() and max(text) < "\u0250" and text.islower() and text.lower() == text:
-            pieces = word.decode("latin-1").translate(LETTERS)
-            return array.array("I", [t.id for t in self.model.tokenize(pieces)]).tobytes()
-        return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        latin = text.isprintable() if word.isascii() else LATIN.fullmatch(text)
+        if not latin or b"<|" in word:
+            return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        lower = text.lower()
+        if lower != text:
+            return self[lower.encode()]
+        if not text.isalpha():
+            stem = text.rstrip(SIGNS)
+            if stem and stem != text and stem[-1].isalnum():
+                return self[stem.encode()] + self[text[len(stem) :].encode()]
+            pieces = PIECES.findall(text)
+            if len(pieces) > 1:
+                return b"".join([self[piece.encode()] for piece in pieces])
+        letters = text if word.isascii() else codecs.charmap_decode(word, "strict", LETTERS)[0]
+        return array.array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
 
 @functools.lru_cache(maxsize=2)

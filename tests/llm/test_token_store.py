@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
@@ -84,3 +85,15 @@ def test_words_agree_with_the_whole_tokenizer():
         ids = known.tokenizer.encode(text or "", add_special_tokens=False).ids
         packed = b"".join(known[w] for w in (text or "").encode().split())
         assert np.frombuffer(packed, "<u4").tolist() == ids
+
+
+def test_any_latin_word_agrees_with_the_whole_tokenizer():
+    known = token_store.WordIds(tokenizer_path())
+    rng = random.Random(3)
+    signs = [chr(c) for c in range(0x21, 0x250)] + ["'s", "'LL", "'re", "###", "abc", "Éa", "12", "İ", "\u0301", "<|", "日"]
+    words = ["".join(rng.choice(signs) for _ in range(rng.randrange(1, 9))) for _ in range(20_000)]
+    words += signs
+    for word in words:
+        # Some signs are white space to the tokenizer, or join with what comes before them.
+        ids = known.tokenizer.encode(word, add_special_tokens=False).ids
+        assert np.frombuffer(b"".join(known[w] for w in word.encode().split()), "<u4").tolist() == ids, word
