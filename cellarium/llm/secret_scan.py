@@ -58,7 +58,8 @@ RULES = (
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("signed", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
     Rule("maps", r"AIza[A-Za-z0-9_-]{35}"),
-    Rule("login", r"[A-Za-z][A-Za-z0-9+.-]{0,20}://[^\s/:@]{1,100}:[^\s/:@]{1,100}@"),
+    # User and password are of any length; of a longer scheme the last 21 characters are in the span.
+    Rule("login", r"[A-Za-z][A-Za-z0-9+.-]{0,20}://[^\s/:@]+:[^\s/:@]+@"),
 )
 BASE = ("assign", "access", "hex")
 

@@ -69,3 +69,9 @@ def test_queries_name_every_text_that_matches():
 
 def test_empty_table(make_docs):
     assert s.digest(s.spans(make_docs([]).limit(0))).count() == 0
+
+
+def test_logins_of_any_length(make_docs):
+    texts = [f"see https://me:{'p' * 150}@host/x", f"ftp://{'u' * 5000}:{'p' * 50_000}@h", "http://host:80/a@b", "a://b" * 30_000]
+    rows = sorted(s.digest(s.spans(make_docs(texts))).collect(), key=lambda r: r["doc_id"])
+    assert [r["spans"] for r in rows] == ["login:4:166", "login:0:55008", "", ""]
