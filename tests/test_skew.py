@@ -216,3 +216,15 @@ def test_a_stage_deletes_what_the_one_before_cut(spark):
             spark.read.parquet(cut)
         scratch.end_stage(spark)
         assert result.count() == 4
+
+
+def test_records_over_the_limit_are_never_broadcast(spark):
+    """Adaptive execution would, as they are few bytes once shuffled."""
+    left = spark.range(5000).select((F.col("id") % 50).alias("k"), "id")
+    right = spark.range(50).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    joined = skew.Side(right, False).join(left, ["k"])
+    keys = skew.Side(right.select("k"), False).join(left.select("k"), ["k"], "left_semi")
+    for found, n in ((joined, 5000), (keys, 5000)):
+        assert len(found.collect()) == n
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
