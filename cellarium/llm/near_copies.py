@@ -1,14 +1,15 @@
-"""Near copies by the shingles they share: MinHash bands give candidates, an exact count decides.
+"""Near copies by the shingles they share: fingerprints and MinHash bands give candidates, an exact count decides.
 
 A text is the set of its runs of SHINGLE words (ASCII lower case, white space between them), or of
 all its words if these are fewer.  Two texts link if their sets have a Jaccard similarity of four
 fifths or more; components of links are one class.  Texts with equal sets are one class from the
 start, whatever their number; null text is empty, and all texts without words are one class.
 
-Of every other set BANDS x ROWS minima are taken, and two sets are candidates if all minima of some
-band agree.  That is the one step left to chance: a pair with similarity j is missed by all bands
-with probability (1 - j^ROWS)^BANDS, 0.04% at 0.8 and less above.  Fingerprints don't serve here:
-at 0.8 they differ in about ten of 64 bits, and no cut of the bits is left unchanged by so many.
+Every other set has a SimHash of its shingles, and sets whose fingerprints the index of ``simhash``
+links are candidates first.  At 0.8 fingerprints differ in about ten of 64 bits, and no cut of the bits is
+left unchanged by so many, so BANDS x ROWS minima are taken too: two sets are also candidates if all
+minima of some band agree.  That is the one step left to chance: a pair with similarity j is missed
+by all bands with probability (1 - j^ROWS)^BANDS, 0.04% at 0.8 and less above.
 
 A bucket's members are first compared with its smallest one.  Buckets that are then still in several
 components are compared within one task each, by counts of common shingles, and return the edges that
@@ -18,7 +19,7 @@ every two blocks meet in a task of their own, so no bucket is too large and no p
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -70,6 +71,13 @@ def bands(own: np.ndarray) -> np.ndarray:
     return keys
 
 
+def simhash_of(own: np.ndarray) -> int:
+    """Fingerprint of a set: a bit is 1 if set in over half of its shingles."""
+    bits = np.unpackbits(own.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+    more = 2 * bits.sum(axis=0, dtype=np.int64) > len(own)
+    return int.from_bytes(np.packbits(more).tobytes(), "big", signed=True)
+
+
 def _sketches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
@@ -79,9 +87,10 @@ def _sketches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             batch.column(0),
             pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in own], pa.binary()),
             pa.array([len(s) for s in own], pa.int64()),
+            pa.array([simhash_of(s) for s in own], pa.int64()),
             pa.array([bands(s).view(np.int64) if len(s) else [] for s in own], pa.list_(pa.int64())),
         ]
-        yield pa.RecordBatch.from_arrays(columns, names=["place", "same", "n", "bands"])
+        yield pa.RecordBatch.from_arrays(columns, names=["place", "same", "n", "fp", "bands"])
 
 
 def _sets(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,15 +122,38 @@ def _rooted(rows: DataFrame, edges: list[DataFrame]) -> DataFrame:
     return rooted.withColumn("root", F.coalesce("root", "place"))
 
 
-def links(each: DataFrame, texts: DataFrame) -> list[DataFrame]:
-    """Edges (a, b) that connect the linked ones of distinct sets (place, n, bands)."""
+def _by_prints(each: DataFrame, near: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Pairs (a, b) of sets that have one fingerprint, or the first ones of two that are linked."""
+    prints = each.where("n > 0").select("fp", F.struct("place", "n").alias("set"))
+    first = settle(prints.groupBy("fp").agg(F.min("set").alias("first")), "prints")
+    equal = prints.join(first, "fp").where("set.place <> first.place")
+    equal = equal.select(F.col("first").alias("x"), F.col("set").alias("y"))
+    found = near(first.select("fp"))
+    for end in ("a", "b"):
+        found = found.join(first.select(F.col("fp").alias(end), F.col("first").alias(f"of_{end}")), end)
+    linked = found.select(F.least("of_a", "of_b").alias("x"), F.greatest("of_a", "of_b").alias("y"))
+    fits = equal.unionByName(linked).where(_fits(F.col("x.n"), F.col("y.n")))
+    return settle(fits.select(F.col("x.place").alias("a"), F.col("y.place").alias("b")).distinct(), "near")
+
+
+def links(
+    each: DataFrame, texts: DataFrame, near: Callable[[DataFrame], DataFrame] | None = None
+) -> list[DataFrame]:
+    """Edges (a, b) that connect the linked ones of distinct sets (place, n, fp, bands).
+
+    ``near`` gives the edges (a, b) of distinct fingerprints ``fp`` that are candidates.
+    """
     keyed = each.select("place", "n", F.explode("bands").alias("bucket"))
     met = keyed.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("members"), F.min(F.struct("place", "n")).alias("first")
     )
     met = settle(met.where(F.col("members") > 1), "buckets")
     shared = settle(attach(keyed, met, ["bucket"], "inner"), "shared")
-    asked = settle(shared.select("place").distinct(), "asked")
+    asked = shared.select("place")
+    by_prints = None if near is None else _by_prints(each, near)
+    if by_prints is not None:
+        asked = asked.union(by_prints.select("a")).union(by_prints.select("b"))
+    asked = settle(asked.distinct(), "asked")
     sets = settle(
         attach(texts, asked, ["place"], "left_semi")
         .select("place", "text")
@@ -129,7 +161,8 @@ def links(each: DataFrame, texts: DataFrame) -> list[DataFrame]:
         "sets",
     )
     others = shared.where((F.col("place") != F.col("first.place")) & _fits(F.col("n"), F.col("first.n")))
-    star = others.select(F.col("first.place").alias("a"), F.col("place").alias("b")).distinct()
+    star = others.select(F.col("first.place").alias("a"), F.col("place").alias("b"))
+    star = (star if by_prints is None else by_prints.unionByName(star)).distinct()
     edges = [settle(_linked(settle(star, "pairs"), sets), "edges")]
     rows = shared.where(F.col("members") > 2).select("bucket", "place", "n", "members")
     rooted = settle(_rooted(rows, edges), "rooted")
@@ -219,15 +252,15 @@ def linked_pairs(
     return i, j + cut
 
 
-def classes(docs: DataFrame) -> DataFrame:
+def classes(docs: DataFrame, near: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """place and component_id (the smallest place of the class) of rows with a ``place`` and ``text``.
 
-    Places are distinct numbers, the same whenever ``docs`` is read.
+    Places are distinct numbers, the same whenever ``docs`` is read.  ``near`` is as in ``links``.
     """
-    kind = "place bigint, same binary, n bigint, bands array<bigint>"
+    kind = "place bigint, same binary, n bigint, fp bigint, bands array<bigint>"
     sketches = settle(docs.select("place", "text").mapInArrow(_sketches, kind), "sketches")
-    each = sketches.groupBy("same").agg(F.min(F.struct("place", "n", "bands")).alias("e"))
+    each = sketches.groupBy("same").agg(F.min(F.struct("place", "n", "fp", "bands")).alias("e"))
     each = settle(each.select("same", "e.*"), "classes")
-    found = _rooted(each.select("same", "place"), links(each, docs))
+    found = _rooted(each.select("same", "place"), links(each, docs, near))
     named = settle(found.select("same", F.col("root").alias("component_id")), "components")
     return attach(sketches.select("place", "same"), named, ["same"], "inner").drop("same")

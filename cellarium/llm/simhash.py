@@ -15,7 +15,8 @@ Equal fingerprints are one class from the start, whatever their number.  Null te
 texts without words have fingerprint zero, and link like any other.  Null ids are ignored where
 the smallest id of a component is asked, unless all are null.  Repeated rows share a class.
 
-The pipeline's ``keep_one`` goes by ``near_copies`` instead: two bits miss most near copies.
+The pipeline's ``keep_one`` links fingerprints of five-word shingles by the same index and checks each link by the
+shingles in common; two bits miss most near copies, so ``near_copies`` adds candidates by MinHash bands.
 """
 
 from __future__ import annotations
@@ -227,7 +228,8 @@ def classes(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each class of near copies: the one with the smallest id (null last), as it came.
 
-    Near copies are those of ``near_copies`` (five-word shingles, similarity 0.8), not op7's links.
+    Near copies are those of ``near_copies`` (five-word shingles, similarity 0.8), found by the index of
+    fingerprints and, beyond two bits, by MinHash bands.
     """
     numbered = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
@@ -235,7 +237,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     )
     # Written once, so that a document keeps its number however often it is read.
     stored = settle(numbered, "numbered")
-    found = near_copies.classes(stored.select("place", F.col("_doc.text").alias("text")))
+    found = near_copies.classes(stored.select("place", F.col("_doc.text").alias("text")), links)
     ids = stored.select("place", F.col("_doc.doc_id").alias("_id"))
     ranked = ids.join(found, "place")
     first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "place")).alias("first")

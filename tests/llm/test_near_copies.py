@@ -86,3 +86,16 @@ def test_near_copies_beyond_two_bits_go(make_docs):
     assert any(bin(apart[k] ^ apart[w]).count("1") > 2 for k, w in enumerate(want))
     kept = sorted(r["doc_id"] for r in simhash.keep_one(make_docs(texts)).collect())
     assert kept == sorted(set(want))
+
+
+def test_fingerprints_of_the_index_are_candidates_without_any_common_band(spark):
+    own = " ".join(f"w{k}" for k in range(5000))
+    texts = [own, own + " tail", " ".join(f"v{k}" for k in range(5000)), own + " end"]
+    sets = [near_copies.shingles(t) for t in texts]
+    prints = [near_copies.simhash_of(s) for s in sets]
+    assert all(bin((prints[0] ^ prints[k]) % 2**64).count("1") <= 2 for k in (1, 3))
+    rows = [(k, len(s), prints[k], [k], texts[k]) for k, s in enumerate(sets)]
+    docs = spark.createDataFrame(rows, "place bigint, n bigint, fp bigint, bands array<bigint>, text string")
+    found = near_copies.links(docs.drop("text"), docs, simhash.links)
+    ends = {end for edges in found for r in edges.collect() for end in (r["a"], r["b"])}
+    assert ends == {0, 1, 3}
