@@ -163,6 +163,24 @@ def test_counters(skewed, make_cells, make_log):
     assert {r.seq: r.ts for r in found if r.seq > 30} == {32: 132, 33: 133, 35: 999, 37: 999}
 
 
+@pytest.mark.parametrize("op", [m.INCREMENT, m.APPEND])
+def test_only_the_columns_of_the_operation_are_walked(spark, make_cells, make_log, monkeypatch, op):
+    """On rows that are not hot; columns of the other operation alone are left out."""
+    rng = random.Random(8)
+    log = any_log(rng, 200, lambda: f"r{rng.randrange(12)}", counters_only=False)
+    held = []
+    whole = m.histories.walk
+    monkeypatch.setattr(m.histories, "walk", lambda events, most: held.append(events) or whole(events, most))
+    results: dict = {}
+    one_by_one([], log, results)
+    step = m.increments if op == m.INCREMENT else m.appends
+    found = {r["seq"]: bytes(r["value"]) for r in step(make_cells([]), make_log(log)).collect()}
+    assert found == {x["seq"]: results[x["seq"]] for x in log if x["op"] == op and results[x["seq"]] is not None}
+    named = {(x["row"], x["family"], x["qualifier"]) for x in log if x["op"] == op}
+    walked = {(bytes(r[0]).decode(), r[1], bytes(r[2]).decode()) for r in held[0].select(*m.COLUMN).distinct().collect()}
+    assert walked <= named
+
+
 def test_appends(skewed, make_cells, make_log):
     base = make_cells([("a", "f", "q", 1, "start-"), ("b", "f", "q", 1, "gone")])
     add = lambda seq, row, v: {"row": row, "family": "f", "qualifier": "q", "ts": seq,
