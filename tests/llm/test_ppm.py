@@ -110,3 +110,52 @@ def test_nothing_learned_and_empty_tables(make_docs):
     assert rows[0]["train_tokens"] == 0 and rows[0]["n_known"] == 0
     assert rows[0]["score"] == pytest.approx(-7 * math.log10(256))
     assert ppm.score(docs.limit(0), F.lit(False)).count() == 0
+
+
+def across_words(text):
+    """Bytes of a text's stream with the ORDER bytes before them; zero bytes and a space come first."""
+    words = [*(text or "").encode().lower().split(), bytes([ppm.END])]
+    raw = bytes(ppm.ORDER - 1) + b" " + b" ".join(words)
+    for k in range(ppm.ORDER, len(raw)):
+        yield raw[k], raw[k - ppm.ORDER : k]
+
+
+def test_contexts_reach_across_words(make_docs):
+    texts = [*corpus(random.Random(3)), "the then ther", "ther the then", "then   the\n\nther", "\x00\x00 a"]
+    docs = make_docs([(k, t, "en", "a") for k, t in enumerate(texts)])
+    held = lambda k: k % 10 == 3 or k >= len(texts) - 4
+    held_out = (F.col("doc_id") % 10 == 3) | (F.col("doc_id") >= len(texts) - 4)
+    trie = {}
+    for k, text in enumerate(texts):
+        if not held(k):
+            for symbol, context in across_words(text):
+                for n in range(ppm.ORDER + 1):
+                    seen = trie.setdefault(context[ppm.ORDER - n :], {})
+                    seen[symbol] = seen.get(symbol, 0) + 1
+    found = {r["doc_id"]: r["score"] for r in ppm.score(docs, held_out, across=True).collect()}
+    assert len(found) == len(texts)
+    for k, text in enumerate(texts):
+        want = sum(plain_log10(trie, s, c) for s, c in across_words(text))
+        assert found[k] == pytest.approx(want, rel=1e-9)
+    assert len({found[k] for k in range(len(texts) - 4, len(texts) - 1)}) == 3
+
+
+def test_pieces_of_chunks_match_one_pass(monkeypatch):
+    words = [[*(t or "").encode().lower().split(), ppm.END_WORD] for t in corpus(random.Random(4))]
+    listed = sorted({w for ws in words for w in ws})
+    numbers = np.array([listed.index(w) for ws in words for w in ws], np.uint32)
+    lengths = np.array([len(ws) for ws in words], np.int64)
+    chunk = ppm.Chunk(ppm._zip(b" ".join(listed)), ppm._pack_planes(numbers), ppm._pack(lengths))
+    held_out = np.arange(len(words)) % 3 == 0
+    for across in (False, True):
+        lines = [b" ".join(ws) for ws in words]
+        codes, place = ppm.codes_of(lines, across)
+        with monkeypatch.context() as patch:
+            patch.setattr(ppm, "PIECE", 100)
+            patch.setattr(ppm, "MERGED", 1000)
+            cut = ppm.codes_of(lines, across)
+            distinct, counts = chunk.codes(held_out, across)
+        assert (cut[0] == codes).all() and (cut[1] == place).all()
+        every, own = np.unique(codes.byteswap(), return_inverse=True)
+        assert (distinct == every).all()
+        assert (counts == np.bincount(own, weights=~held_out[place])).all()
