@@ -116,8 +116,10 @@ def origin_tags(log: DataFrame, tag: bytes | str) -> DataFrame:
 
     It changes nothing, but lets the other direction see where the batch came from.
     """
-    last = log.groupBy("table", "row").agg(
-        F.max_by("family", "seq").alias("family"), F.max("seq").alias("_last")
+    # By family first: numbers are aggregated by hash, where a text of a row's last cell takes a sort of all cells.
+    last = log.groupBy("table", "row", "family").agg(F.max("seq").alias("_last"))
+    last = last.groupBy("table", "row").agg(
+        F.max_by("family", "_last").alias("family"), F.max("_last").alias("_last")
     )
     none = F.lit(None)
     return last.select(

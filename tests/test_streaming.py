@@ -268,3 +268,10 @@ def test_a_stream_of_all_mutations_is_the_replay(spark, mutations, as_stream, li
     st.follow(as_stream(df, [F.lit(False), F.lit(False), F.col("seq") >= 50]), path, progress)
     want = listed(newest(m.replay(spark.createDataFrame([], CELL_SCHEMA), df.drop("table"))))
     assert listed(st.read_newest(spark, path)) == want != early
+
+
+def test_origin_tags_are_summed_by_hash(entries):
+    """Sorting is left to one record per row and family."""
+    log = entries((1, "t", 20, [cell("PUT", family="a"), cell("PUT", family="b")]))
+    tags = ch.origin_tags(ch.to_log(ch.classify(log)), "ME")
+    assert "HashAggregate" in tags._jdf.queryExecution().executedPlan().toString().replace("ObjectHashAggregate", "")
