@@ -97,6 +97,10 @@ class WordIds(dict):
         self[word] = packed
         return packed
 
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
+
     def _encode(self, word: bytes) -> bytes:
         text = word.decode()
         latin = text.isprintable() if word.isascii() else LATIN.fullmatch(text)
@@ -121,7 +125,7 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def encoder(path: str):
+def encoder(path: str, remember: bool = True):
     end = END_ID.to_bytes(4, "little")
 
     def encode(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,6 +157,8 @@ def encoder(path: str):
                     block, hashes, lengths, pieces, held = block + 1, [], [], [], 0
         if lengths:
             yield closed()
+        if not remember:
+            known.forget()
 
     return encode
 
@@ -260,16 +266,20 @@ def _digests(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def write_store(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id") -> None:
+def write_store(
+    docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id", remember: bool = True
+) -> None:
     """Encodes ``text`` of all documents and writes payload and index under ``path``.
 
+    Words met are remembered from task to task, unless other work is to have their memory.
+
     Rows are cut by range of (key, text hash), so one key's repeats spread over shards too;
     the text is shuffled once.
     """
     rows = docs.select(F.col(key).alias("_key"), F.col("text"))
     cut = rows.repartitionByRange("_key", F.xxhash64("text")).sortWithinPartitions("_key", "text")
     hashed = cut.select(F.xxhash64("_key").alias("key_hash"), "text")
-    hashed.mapInArrow(encoder(tokenizer), PAYLOAD).write.parquet(f"{path}/payload")
+    hashed.mapInArrow(encoder(tokenizer, remember), PAYLOAD).write.parquet(f"{path}/payload")
     _write_index(docs.sparkSession, path)
 
 

@@ -51,7 +51,8 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 @staged
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = new_path(spark, "tokens")
-    token_store.write_store(docs, path, tokenizer_path())
+    # Workers outlive the stage, and whatever runs next shares the executor's memory with them.
+    token_store.write_store(docs, path, tokenizer_path(), remember=False)
     return token_store.fetch(docs.select("doc_id"), path).select(
         "doc_id", "start", "n_tokens", "ids_crc32", "shard", "block", "bucket", "slot"
     )

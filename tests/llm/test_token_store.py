@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,3 +98,18 @@ def test_any_latin_word_agrees_with_the_whole_tokenizer():
         # Some signs are white space to the tokenizer, or join with what comes before them.
         ids = known.tokenizer.encode(word, add_special_tokens=False).ids
         assert np.frombuffer(b"".join(known[w] for w in word.encode().split()), "<u4").tolist() == ids, word
+
+
+@pytest.mark.parametrize("remember", [True, False])
+def test_a_task_gives_its_words_back_unless_they_are_to_stay(monkeypatch, remember):
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(token_store, "TaskContext", Task)
+    monkeypatch.setattr(token_store, "CACHED_WORDS", 2)
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["one two three four", None])], names=["k", "text"])
+    (block,) = token_store.encoder(tokenizer_path(), remember)(iter([batch]))
+    assert block["n_ids"].to_pylist()[0][1] == 1
+    known = token_store.word_ids(tokenizer_path())
+    assert bool(known or known.old) is remember
