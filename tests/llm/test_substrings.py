@@ -97,3 +97,32 @@ def test_repeated_rows_null_ids_and_empty_tables(make_docs):
         size = len(text.encode())
         assert sorted(found) == [size if n else 0 for n in want]
     assert s.repeats(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("keep", ["first", "none"])
+def test_runs_of_hot_classes_match_a_plain_version(make_docs, monkeypatch, keep):
+    monkeypatch.setattr(s, "HOT_ROWS", 2, raising=False)
+    texts = corpus(random.Random(6))
+    texts += [texts[20]] * 3
+    rows = {r["doc_id"]: r for r in s.repeats(make_docs(texts), keep).collect()}
+    assert len(rows) == len(texts)
+    for k, (spans, digest) in enumerate(plain(texts, keep)):
+        assert [(x["start"], x["end"]) for x in rows[k]["spans"]] == spans, k
+        assert rows[k]["kept_sha256"] == digest
+
+
+def test_runs_of_a_hot_class_do_not_meet_in_one_task(spark):
+    place = F.struct(F.lit(False).alias("_none"), F.lit(0).cast("bigint").alias("_id"), F.lit(0).cast("bigint").alias("_text"), F.lit(0).alias("nth"))
+    rows = spark.range(0, 6000, 1, 8).select(F.col("id").alias("_id"), F.col("id").alias("_text"), F.lit(0).alias("nth"))
+    # One class of 5,900 runs, 50 of two.
+    number = F.when(F.col("_id") < 5900, F.lit(0)).otherwise(F.floor(F.col("_id") / 2)).cast("bigint")
+    shared = rows.withColumn("seed", number).withColumn("stretch", number)
+    classes = shared.groupBy("seed", "stretch").agg(F.count(F.lit(1)).alias("n")).withColumn("place", place)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        parts = s._copies(shared, classes, "none").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sum(r["count"] for r in parts) == 6000
+    assert max(r["count"] for r in parts) < 2000
