@@ -28,7 +28,9 @@ nothing to learn from, all bytes are equally likely.  An empty table gives an em
 
 from __future__ import annotations
 
+import ctypes
 import itertools
+import sys
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -46,7 +48,7 @@ from cellarium.plans.scratch import settle
 ORDER = 7  # with the byte that follows, a context is one 64-bit number
 CHUNK_WORDS = 500_000  # distinct words at which a chunk is closed
 CHUNK_BYTES = 12_000_000
-PIECE = 1 << 21  # bytes whose contexts are made at once
+PIECE = 1 << 20  # bytes whose contexts are made at once
 MERGED = 1 << 21  # codes that are sorted at once
 PART_BYTES = 32 << 20  # of text, for each part of the trie
 SPACE, END = 0x20, 0xFF  # closes a word; closes a text (not a byte of UTF-8)
@@ -65,7 +67,8 @@ KNOWN = np.array([(1 << (8 * min(k + 2, ORDER + 1))) - 1 for k in range(ORDER)],
 def _zip(raw: bytes) -> bytes:
     import zstandard
 
-    return zstandard.ZstdCompressor(level=1).compress(raw)
+    # A copy, as the compressor's own result keeps the room of the whole input.
+    return bytes(memoryview(zstandard.ZstdCompressor(level=1).compress(raw)))
 
 
 def _unzip(raw: bytes) -> bytes:
@@ -74,6 +77,15 @@ def _unzip(raw: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(raw)
 
 
+def _give_back() -> None:
+    """Returns freed memory to the system: Python workers outlive their tasks, two of them beside one JVM."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
 def _pack(array: np.ndarray) -> bytes:
     return _zip(np.ascontiguousarray(array).tobytes())
 
@@ -92,10 +104,6 @@ def _unpack_planes(raw: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(_unpack(raw, np.uint8).reshape(size, -1).T).reshape(-1).view(kind)
 
 
-def _bucket(word: bytes, buckets: int) -> int:
-    return zlib.crc32(word) % buckets
-
-
 def dealer(across: bool):
     """Chunks of texts, see ``CHUNKS``."""
     schema = pa.schema(
@@ -107,6 +115,7 @@ def dealer(across: bool):
     )
 
     def deal(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _give_back()
         task = TaskContext.get().partitionId()
 
         def fresh() -> tuple:
@@ -117,7 +126,8 @@ def dealer(across: bool):
         def closed() -> pa.RecordBatch:
             runs, counts = np.zeros(0, U64), np.zeros(0, np.int64)
             for codes in pieces(train, across):
-                runs, counts = _summed(runs, counts, *np.unique(codes & U64(0xFFFFFF), return_counts=True))
+                more, their = np.unique((codes & U64(0xFFFFFF)).astype(np.uint32), return_counts=True)
+                runs, counts = _summed(runs, counts, more.astype(U64), their)
             row = {
                 "chunk": f"{task}-{nth}", "words": _zip(b" ".join(known)),
                 "numbers": _pack_planes(np.concatenate(texts)),
@@ -148,12 +158,18 @@ def dealer(across: bool):
 
 
 def _summed(keys, counts, more, their) -> tuple[np.ndarray, np.ndarray]:
-    """Two lists of distinct ascending keys as one, with their counts."""
-    place, has = _find(keys, more)
-    counts = counts.copy()
+    """Two lists of distinct ascending keys as one, with their counts; takes the first ``counts`` over."""
+    place = np.searchsorted(keys, more)
+    has = place < len(keys)
+    has[has] = keys[place[has]] == more[has]
     counts[place[has]] += their[has]
-    place = np.searchsorted(keys, more[~has])
-    return np.insert(keys, place, more[~has]), np.insert(counts, place, their[~has])
+    new = place[~has] + np.arange(len(more) - np.count_nonzero(has))
+    old = np.ones(len(keys) + len(new), bool)
+    old[new] = False
+    every, sums = np.empty(len(old), keys.dtype), np.empty(len(old), counts.dtype)
+    every[new], sums[new] = more[~has], their[~has]
+    every[old], sums[old] = keys, counts
+    return every, sums
 
 
 class Chunk:
@@ -182,7 +198,7 @@ class Chunk:
 
     def codes(self, held_out: np.ndarray, across: bool) -> tuple[np.ndarray, np.ndarray]:
         """All distinct codes with their training counts, ascending by their bytes from the last one back."""
-        codes, counts = np.zeros(0, U64), np.zeros(0, np.int64)
+        codes, counts = np.zeros(0, U64), np.zeros(0, np.uint32)
         for wanted in (~held_out, held_out):
             waiting, size = [], 0
             for found in itertools.chain((c for x in self.lines(wanted) for c in pieces(x, across)), [None]):
@@ -191,19 +207,38 @@ class Chunk:
                     size += len(found)
                 if waiting and (found is None or size >= MERGED):
                     every = np.concatenate(waiting)
-                    waiting, size = [], 0
-                    every, n = np.unique(every, return_counts=True)
-                    codes, counts = _summed(codes, counts, every, n * int(wanted is not held_out))
+                    waiting, size, total = [], 0, size
+                    every.sort()
+                    every, first = _distinct(every)
+                    n = np.diff(first, append=total).astype(np.uint32) * np.uint32(wanted is not held_out)
+                    codes, counts = _summed(codes, counts, every, n)
         return codes, counts
 
+    def uses(self, across: bool) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+        """All distinct codes as ``codes`` gives them, and of each piece its own, in bits where each one's uses begin, and their texts."""
+        used, first, kind = [], 0, np.min_scalar_type(len(self.n_words))
+        for lines in self.lines(np.ones(len(self.n_words), bool)):
+            for asked in pieces(lines, across):
+                place = _place(asked, first)
+                first = int(place[-1] + (asked[-1] & U64(0xFF) == END))
+                asked.byteswap(inplace=True)
+                order = np.argsort(asked)
+                own, begin = _distinct(asked[order])
+                starts = np.zeros(len(asked), bool)
+                starts[begin] = True
+                used.append((own, np.packbits(starts), place.astype(kind)[order]))
+        codes = np.concatenate([own for own, _, _ in used])
+        codes.sort()
+        return codes[np.append(True, codes[1:] != codes[:-1])], used
+
     def buckets(self, buckets: int) -> np.ndarray:
         """The vocabulary bucket of each word."""
-        return np.array([_bucket(w, buckets) for w in self.words], np.int64)
+        return np.fromiter(map(zlib.crc32, self.words), np.int64, len(self.words)) % buckets
 
 
 def _groups(to: np.ndarray) -> list[np.ndarray]:
     """Places by the part they go to, ascending."""
-    order = np.argsort(to, kind="stable")
+    order = np.argsort(to.astype(np.min_scalar_type(to.max(initial=0))), kind="stable")  # 16 bits are sorted by digits
     return np.split(order, np.flatnonzero(np.diff(to[order])) + 1)
 
 
@@ -269,20 +304,20 @@ def pieces(words: list[bytes], across: bool) -> Iterator[np.ndarray]:
     """
     if not words:
         return
-    raw = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8)
+    stream = bytes(ORDER - 1) + b" " + b" ".join(words) + b" "
+    raw = np.frombuffer(stream, np.uint8, offset=ORDER - 1)
     starts = np.append(1, np.flatnonzero(raw == END) + 2) if across else np.flatnonzero(raw == SPACE) + 1
     for at in range(1, len(raw), PIECE):
         until = min(at + PIECE, len(raw))
-        near = raw[max(0, at - ORDER) : until].astype(U64)
-        codes = near.copy()
-        for k in range(1, ORDER + 1):
-            codes[k:] |= near[:-k] << U64(8 * k)
-        codes = codes[at - until :]
+        # The eight bytes up to each one, read as they lie.
+        codes = np.ndarray(until - at, ">u8", stream, at - 1, (1,)).astype(U64)
         for k in range(ORDER - 1):
             # Where the next start comes sooner, its own bytes are masked to fewer.
             first, last = np.searchsorted(starts, [at - k, until - k])
             codes[starts[first:last] + k - at] &= KNOWN[k]
-        yield codes[raw[at - 1 : until - 1] != END]
+        codes = codes[raw[at - 1 : until - 1] != END]
+        if len(codes):  # a piece may be the space after an end alone
+            yield codes
 
 
 def _place(codes: np.ndarray, first: int) -> np.ndarray:
@@ -410,6 +445,7 @@ def _contexts(tries: int, across: bool):
     def split(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for name, held_out, chunk in _rows_of(part):
+                _give_back()
                 codes, counts = chunk.codes(held_out, across)
                 to = _trie_of(codes, tries)
                 groups = _groups(to)
@@ -418,9 +454,10 @@ def _contexts(tries: int, across: bool):
                         "chunk": name,
                         "trie": [int(to[g[0]]) for g in groups],
                         "codes": [_pack_planes(np.diff(codes[g], prepend=U64(0))) for g in groups],
-                        "counts": [_pack(counts[g]) for g in groups],
+                        "counts": [_pack(counts[g].astype(np.int64)) for g in groups],
                     }
                 )
+                del chunk, codes, counts, to, groups  # before the next chunk is made
 
     return split
 
@@ -442,15 +479,24 @@ def _price(low: Low):
     """
 
     def price(parts: pd.DataFrame) -> pd.DataFrame:
+        _give_back()
         codes = [np.cumsum(_unpack_planes(x, U64), dtype=U64) for x in parts["codes"]]
-        cuts = np.cumsum([len(c) for c in codes])[:-1]
-        distinct, own = np.unique(np.concatenate(codes).byteswap(), return_inverse=True)
-        counts = np.concatenate([_unpack(x, np.int64) for x in parts["counts"]])
-        n = np.bincount(own, weights=counts, minlength=len(distinct)).astype(np.int64)
+        # In the order in which they were asked the look-ups are neighbours.
+        distinct = np.concatenate(codes)
+        distinct.sort()
+        distinct, _ = _distinct(distinct)
+        places = [np.searchsorted(distinct, c) for c in codes]
+        del codes
+        n = np.zeros(len(distinct), np.int64)
+        for place, counts in zip(places, parts["counts"], strict=True):
+            n[place] += _unpack(counts, np.int64)
+        distinct = distinct.byteswap()
+        order = np.argsort(distinct)
+        distinct, counts = distinct[order], n[order]
         _, first = _distinct(distinct >> U64(8))
-        total = np.repeat(np.add.reduceat(n, first), np.diff(first, append=len(n)))
-        value = log10_of(distinct, n, low)
-        places = np.split(own, cuts)
+        total, value = np.empty(len(n), np.int64), np.empty(len(n))
+        total[order] = np.repeat(np.add.reduceat(counts, first), np.diff(first, append=len(n)))
+        value[order] = log10_of(distinct, counts, low)
         learned = [p[n[p] > 0] for p in places]
         return pd.DataFrame(
             {
@@ -485,26 +531,21 @@ def _scores(tokens: int, kinds: int, buckets: int, tries: int, across: bool):
         return result
 
     def score(dealt: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        _give_back()
         _, held_out, chunk = next(_rows_of(dealt))
         answers = answers.sort_values("part")
         found = answers[answers["kind"] == "counts"]
         found = (_unpack_planes(x, np.int64) for x in found["counts"])
         counts = answered(found, chunk.buckets(buckets), np.int64)
-        codes, _ = chunk.codes(held_out, across)
+        codes, used = chunk.uses(across)
         found = answers[answers["kind"] == "prices"]
         found = map(_prices, found["counts"], found["totals"], found["prices"])
         prices = answered(found, _trie_of(codes, tries), np.float64)
-        total, first = np.zeros(len(held_out)), 0
-        for lines in chunk.lines(np.ones(len(held_out), bool)):
-            for asked in pieces(lines, across):
-                place = _place(asked, first)
-                first = int(place[-1] + (asked[-1] & U64(0xFF) == END))
-                # In ascending order the look-ups are neighbours.
-                asked = asked.byteswap()
-                order = np.argsort(asked)
-                value = np.empty(len(asked))
-                value[order] = prices[np.searchsorted(codes, asked[order])]
-                total += np.bincount(place, weights=value, minlength=len(total))
+        total = np.zeros(len(held_out))
+        for own, starts, place in used:
+            begin = np.flatnonzero(np.unpackbits(starts, count=len(place)))
+            value = np.repeat(prices[np.searchsorted(codes, own)], np.diff(begin, append=len(place)))
+            total += np.bincount(place, weights=value, minlength=len(total))
         plain, known = np.log10((counts + 0.1) / below)[chunk.numbers], (counts > 0)[chunk.numbers]
         starts = chunk.ends - chunk.n_words
         return pd.DataFrame(

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -159,3 +160,50 @@ def test_pieces_of_chunks_match_one_pass(monkeypatch):
         every, own = np.unique(codes.byteswap(), return_inverse=True)
         assert (distinct == every).all()
         assert (counts == np.bincount(own, weights=~held_out[place])).all()
+
+
+def test_a_chunk_makes_its_codes_once_to_be_scored(monkeypatch):
+    texts = [[*(t or "").encode().lower().split(), ppm.END_WORD] for t in corpus(random.Random(5))]
+    listed = sorted({w for ws in texts for w in ws})
+    numbers = np.array([listed.index(w) for ws in texts for w in ws], np.uint32)
+    lengths = np.array([len(ws) for ws in texts], np.int64)
+    held_out = np.arange(len(texts)) % 3 == 0
+    row = {
+        "chunk": "0-0", "words": ppm._zip(b" ".join(listed)), "numbers": ppm._pack_planes(numbers),
+        "n_words": ppm._pack(lengths), "ids": list(range(len(texts))), "held_out": held_out.tolist(),
+    }
+    dealt = pd.DataFrame([row])
+    lines = [b" ".join(ws) for ws in texts]
+    codes, place = ppm.codes_of(lines, True)
+    runs, counts = np.unique(codes[~held_out[place]] & np.uint64(0xFFFFFF), return_counts=True)
+    price = ppm._price(ppm.Low.of(runs, counts))
+    sent = pd.concat(ppm._contexts(3, True)(iter([dealt])))
+    answers = [price(part) for _, part in sent.groupby("trie")]
+    for _, part in pd.concat(ppm._words(2)(iter([dealt]))).groupby("bucket"):
+        found = ppm._vocabulary(part).dropna(subset="chunk").rename(columns={"bucket": "part"})
+        answers.append(found.assign(kind="counts")[["chunk", "kind", "part", "counts"]])
+    made, plain = [], ppm.pieces
+
+    def counted(*given):
+        for found in plain(*given):
+            made.append(len(found))
+            yield found
+
+    monkeypatch.setattr(ppm, "PIECE", 1000)
+    monkeypatch.setattr(ppm, "pieces", counted)
+    scored = ppm._scores(1000, 100, 2, 3, True)(dealt, pd.concat(answers))
+    assert sum(made) == len(codes)
+    trie = {}
+    for ws, held in zip(texts, held_out, strict=True):
+        for symbol, context in across_words(b" ".join(ws[:-1]).decode()) if not held else ():
+            for n in range(ppm.ORDER + 1):
+                seen = trie.setdefault(context[ppm.ORDER - n :], {})
+                seen[symbol] = seen.get(symbol, 0) + 1
+    for ws, score in zip(texts, scored["score"], strict=True):
+        want = sum(plain_log10(trie, s, c) for s, c in across_words(b" ".join(ws[:-1]).decode()))
+        assert score == pytest.approx(want, rel=1e-9)
+
+
+def test_no_piece_is_empty(monkeypatch):
+    monkeypatch.setattr(ppm, "PIECE", 3)
+    assert [len(found) for found in ppm.pieces([b"a " + ppm.END_WORD], True)] == [3]
